@@ -379,8 +379,8 @@ def q_run_series(spark, sf_dir):
         F.col("o_orderpriority").alias("experiment"),
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
         F.when(k % 13 == 0, F.lit("n/a"))
-         .otherwise(F.round(F.col("o_totalprice") / 600000.0, 6).cast("string")).alias("accuracy"),
-        F.round(F.col("o_totalprice") / 1000.0, 4).cast("string").alias("fit_time_sec"),
+         .otherwise((F.col("o_totalprice") / 600000.0).cast("string")).alias("accuracy"),
+        (F.col("o_totalprice") / 1000.0).cast("string").alias("fit_time_sec"),
         F.when(k % 17 == 0, F.lit("x")).otherwise((k % 8).cast("string"))
          .alias("shuffle_partitions"),
         k.cast("string").alias("run_id"))
