@@ -4,9 +4,10 @@ Exact quantiles (NumPy's linear interpolation, or the lower element that an
 exact ``approxQuantile`` returns) and exact ROC AUC both need the running
 count of rows in value order. A window ordered by value over a whole column
 would put every distinct value of that column into one task. Here the
-ordered keys are range-partitioned instead; each partition adds the totals
-of the partitions before it (a table of at most ``P + groups`` rows), so no
-task ever holds more than one range partition.
+ordered keys are range-partitioned instead (and checkpointed, so the
+partition ids are fixed); each partition adds the totals of the partitions
+before it (a table of at most ``P + groups`` rows), so no task ever holds
+more than one range partition.
 """
 
 from __future__ import annotations
@@ -17,28 +18,37 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 _PID = "_dl_pid"
 
 
-def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
+def running_totals(df: DataFrame, order_col: str | Sequence[str], sum_cols: Sequence[str],
                    by: Sequence[str] = (), num_partitions: int | None = None,
                    suffix: str = "_cum") -> DataFrame:
     """Add inclusive running sums ``<c><suffix>`` of ``sum_cols`` in
-    ``order_col`` order within each ``by`` group.
+    ``order_col`` order (one column or several) within each ``by`` group.
 
-    ``(by..., order_col)`` must be unique (callers aggregate first, so hot
-    values have already collapsed to one row). Shuffles: one range exchange
-    on ``(by, order_col)`` and one hash exchange on ``(partition, by)`` for the
-    in-partition window; the partition offsets are a broadcast of at most
-    ``num_partitions + groups`` rows.
+    Rows tied on ``(by..., order)`` fall in the same range partition and get
+    distinct running sums in arbitrary order (like ``row_number``); callers
+    that need exact ranks aggregate first, so a hot value is one row.
+    Shuffles: one range exchange on ``(by, order)`` and one hash exchange on
+    ``(partition, by)`` for the in-partition window; the partition offsets
+    are a broadcast of at most ``num_partitions + groups`` rows.
     """
     spark = df.sparkSession
     n_parts = num_partitions or shuffle_partitions(spark)
     by = list(by)
-    ranged = (df.repartitionByRange(n_parts, *[F.col(c) for c in by], F.col(order_col))
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    ranged = (df.repartitionByRange(n_parts, *[F.col(c) for c in by + order])
                 .withColumn(_PID, F.spark_partition_id()))
+    # The partition totals and the rows must see the same range bounds. Two
+    # branches over one DataFrame may be planned as two exchanges, each
+    # sampling its own bounds, so the partition ids are materialized once in
+    # the shared checkpoint folder (this also cuts the lineage: a lost
+    # executor re-reads them instead of re-sampling).
+    ensure_checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     part_totals = ranged.groupBy(_PID, *by).agg(
         *[F.sum(c).alias(f"_dl_t_{c}") for c in sum_cols])
     before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(
@@ -49,7 +59,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
           for c in sum_cols])
     # Bounded: one row per (range partition, group) pair that has data.
     joined = ranged.join(F.broadcast(offsets), on=[_PID, *by], how="inner")
-    within = Window.partitionBy(_PID, *by).orderBy(order_col).rowsBetween(
+    within = Window.partitionBy(_PID, *by).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = joined.select(
         *df.columns,
@@ -135,38 +145,120 @@ def order_statistics(df: DataFrame, key_col: str, value_col: str,
     return out
 
 
+def _positions(n: int, probs: Sequence[float], method: str):
+    """Per probability: (ranks needed, how to combine them)."""
+    if method == "linear":
+        pos = linear_positions(n, probs)
+        return [(lo, hi) for lo, hi, _ in pos], pos
+    if method == "lower":
+        rs = [lower_rank(n, q) for q in probs]
+        return [(r, r) for r in rs], rs
+    raise ValueError(f"unknown quantile method {method!r}")
+
+
+def _combine(got: dict, plan, method: str) -> list:
+    if method == "linear":
+        return [lerp(got[lo], got[hi], t) for lo, hi, t in plan]
+    return [got[r] for r in plan]
+
+
+def bracket_order_statistics(df: DataFrame, key_col: str, value_col: str, brackets: dict,
+                             num_partitions: int | None = None) -> dict:
+    """Exact values at given ranks, looking only inside value brackets.
+
+    ``brackets`` maps key → list of (a, b, ranks): each rank is expected to
+    fall among the values in [a, b]. Rows below a are only counted; rows in
+    [a, b] are grouped by value and ranked with ``running_totals``. A rank
+    that is not inside its bracket is left out of the result (the caller
+    falls back). Returns key → {rank: value}.
+    """
+    spark = df.sparkSession
+    key_type = df.schema[key_col].dataType.simpleString()
+    tgt_rows, rank_rows = [], []
+    for k, items in brackets.items():
+        for tid, (a, b, ranks) in enumerate(items):
+            tgt_rows.append((k, tid, float(a), float(b)))
+            rank_rows += [(k, tid, int(r)) for r in sorted(set(ranks))]
+    if not tgt_rows:
+        return {}
+    # One row per (monitored column, quantile): bounded by the schema.
+    tdf = spark.createDataFrame(tgt_rows, f"{key_col} {key_type}, _dl_t int, _dl_a double, _dl_b double")
+    rdf = spark.createDataFrame(rank_rows, f"{key_col} {key_type}, _dl_t int, _dl_r long")
+    v = F.col(value_col)
+    valid = df.where(v.isNotNull() & ~F.isnan(v)).select(key_col, value_col)
+    met = valid.join(F.broadcast(tdf), key_col)
+    below = met.groupBy(key_col, "_dl_t").agg(
+        F.count_if(v < F.col("_dl_a")).alias("_dl_below"))
+    inside = (met.where((v >= F.col("_dl_a")) & (v <= F.col("_dl_b")))
+                 .groupBy(key_col, "_dl_t", value_col).agg(F.count(F.lit(1)).alias("cnt")))
+    cum = running_totals(inside, value_col, ["cnt"], by=[key_col, "_dl_t"],
+                         num_partitions=num_partitions)
+    local = rdf.join(F.broadcast(below), [key_col, "_dl_t"]).select(
+        key_col, "_dl_t", "_dl_r", (F.col("_dl_r") - F.col("_dl_below")).alias("_dl_rr"))
+    hit = cum.join(
+        F.broadcast(local),
+        on=(cum[key_col] == local[key_col]) & (cum["_dl_t"] == local["_dl_t"])
+        & ((cum["cnt_cum"] - cum["cnt"]) <= local["_dl_rr"]) & (local["_dl_rr"] < cum["cnt_cum"]),
+        how="inner",
+    ).select(cum[key_col].alias("k"), local["_dl_r"].alias("r"), cum[value_col].alias("v"))
+    out: dict = {}
+    for row in hit.collect():
+        out.setdefault(row["k"], {})[int(row["r"])] = float(row["v"])
+    return out
+
+
 def exact_quantiles(df: DataFrame, key_col: str, value_col: str,
                     probs: Sequence[float], method: str = "linear",
-                    num_partitions: int | None = None) -> dict:
+                    num_partitions: int | None = None, accuracy: int = 10000,
+                    full_limit: int = 2_000_000) -> dict:
     """Exact quantiles per key.
 
     ``method="linear"`` reproduces ``numpy.quantile`` (default method);
     ``method="lower"`` returns the element an exact ``approxQuantile`` returns.
     Result: key → dict(n, min, max, quantiles=[...]).
+
+    One pass gives count, min, max and a ``percentile_approx`` sketch at
+    q -/+ 3/accuracy for every q. Keys with at most ``full_limit`` values are
+    ranked whole (distinct values, range-partitioned running counts). Larger
+    keys are ranked only inside the sketch's brackets, which hold about
+    6/accuracy of the rows per quantile; a rank found outside its bracket
+    (the sketch's error bound failed) sends that key to the whole ranking.
     """
-    sizes = column_sizes(df, key_col, value_col)
-    ranks: dict = {}
-    plan: dict = {}
-    for k, (n, _, _) in sizes.items():
-        if method == "linear":
-            pos = linear_positions(n, probs)
-            plan[k] = pos
-            ranks[k] = [r for lo, hi, _ in pos for r in (lo, hi)]
-        elif method == "lower":
-            rs = [lower_rank(n, q) for q in probs]
-            plan[k] = rs
-            ranks[k] = rs
-        else:
-            raise ValueError(f"unknown quantile method {method!r}")
-    stats = order_statistics(df, key_col, value_col, ranks, num_partitions)
+    delta = 3.0 / accuracy
+    lows = [min(max(q - delta, 0.0), 1.0) for q in probs]
+    highs = [min(max(q + delta, 0.0), 1.0) for q in probs]
+    sketch_probs = sorted(set(lows) | set(highs))
+    v = F.col(value_col)
+    rows = (df.where(v.isNotNull() & ~F.isnan(v))
+              .groupBy(key_col)
+              .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("mn"), F.max(v).alias("mx"),
+                   F.percentile_approx(v, sketch_probs, accuracy).alias("sk"))
+              .collect())
+    sizes, plans, full, bracketed = {}, {}, {}, {}
+    for row in rows:
+        k, n = row[key_col], int(row["n"])
+        mn, mx = float(row["mn"]), float(row["mx"])
+        sizes[k] = (n, mn, mx)
+        pairs, plans[k] = _positions(n, probs, method)
+        if n <= full_limit:
+            full[k] = [r for pair in pairs for r in pair]
+            continue
+        approx = dict(zip(sketch_probs, [float(x) for x in row["sk"]]))
+        bracketed[k] = [(mn if lo <= 0.0 else approx[lo], mx if hi >= 1.0 else approx[hi], pair)
+                        for lo, hi, pair in zip(lows, highs, pairs)]
+    stats = bracket_order_statistics(df, key_col, value_col, bracketed, num_partitions) \
+        if bracketed else {}
+    for k, items in bracketed.items():
+        needed = {r for _, _, pair in items for r in pair}
+        if not needed <= set(stats.get(k, {})):
+            full[k] = sorted(needed)
+    if full:
+        sub = df.where(F.col(key_col).isin(list(full)))
+        stats.update(order_statistics(sub, key_col, value_col, full, num_partitions))
     result = {}
     for k, (n, mn, mx) in sizes.items():
-        got = stats.get(k, {})
-        if method == "linear":
-            qs = [lerp(got[lo], got[hi], t) for lo, hi, t in plan[k]]
-        else:
-            qs = [got[r] for r in plan[k]]
-        result[k] = {"n": n, "min": mn, "max": mx, "quantiles": qs}
+        result[k] = {"n": n, "min": mn, "max": mx,
+                     "quantiles": _combine(stats.get(k, {}), plans[k], method)}
     return result
 
 

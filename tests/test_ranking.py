@@ -66,3 +66,28 @@ def test_order_statistics_ranks(spark):
     vals = [5.0, 1.0, 1.0, 3.0]
     got = order_statistics(_frame(spark, vals), "column", "value", {"k": [0, 1, 2, 3]}, 2)
     assert got["k"] == {0: 1.0, 1: 1.0, 2: 3.0, 3: 5.0}
+
+
+@pytest.mark.parametrize("values", [
+    list(np.random.default_rng(8).normal(size=3000).round(3)),
+    list(np.concatenate([np.full(1000, 7.0), np.random.default_rng(9).normal(size=2000)])),
+    list(np.random.default_rng(10).integers(0, 20, 2500).astype(float)),
+])
+@pytest.mark.parametrize("method", ["linear", "lower"])
+def test_bracketed_path_equals_whole_ranking(spark, values, method):
+    probs = [i * 0.1 + 0.0 for i in range(10)] + [1.0]
+    df = _frame(spark, values)
+    whole = exact_quantiles(df, "column", "value", probs, method, num_partitions=3)["k"]
+    # full_limit=0 forces the sketch brackets; a coarse sketch makes them wide
+    br = exact_quantiles(df, "column", "value", probs, method, num_partitions=3,
+                         accuracy=200, full_limit=0)["k"]
+    assert br["quantiles"] == whole["quantiles"]
+    if method == "linear":
+        assert whole["quantiles"] == [float(x) for x in np.quantile(values, np.linspace(0, 1, 11))]
+
+
+def test_bracket_miss_falls_back(spark):
+    from driftline.operators.ranking import bracket_order_statistics
+    df = _frame(spark, [float(i) for i in range(100)])
+    got = bracket_order_statistics(df, "column", "value", {"k": [(10.0, 20.0, (15, 50))]}, 2)
+    assert got["k"] == {15: 15.0}      # rank 50 lies outside [10, 20]: left out
