@@ -75,20 +75,29 @@ def is_alone(a: str, b: str) -> Column:
     return F.when((F.col(a) + F.col(b)) == 0, F.lit(1)).otherwise(F.lit(0))
 
 
-def hash_bucket(key: str | Column, seed: int, modulus: int = 1000) -> Column:
-    """Stable bucket in [0, modulus) from the md5 of ``key:seed``.
+def hash_bucket(key: str | Column, seed: int, modulus: int = 1000,
+                method: str = "xxhash64") -> Column:
+    """Stable bucket in [0, modulus) from a hash of the key and seed.
 
     Unlike ``randomSplit`` the result depends on the key only, not on the
     partitioning, so a split survives re-partitioning and task retries.
+    ``method="xxhash64"`` (default) is Spark's built-in 64-bit hash, about
+    five times cheaper per row; ``method="md5"`` (first 8 hex digits of
+    ``md5(key:seed)``) gives the same buckets in any SQL engine with md5.
     """
-    digest = F.md5(F.concat(col_(key).cast("string"), F.lit(f":{seed}")))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(modulus)).cast("int")
+    if method == "md5":
+        digest = F.md5(F.concat(col_(key).cast("string"), F.lit(f":{seed}")))
+        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+                % F.lit(modulus)).cast("int")
+    if method == "xxhash64":
+        return F.pmod(F.xxhash64(col_(key), F.lit(seed)), F.lit(modulus)).cast("int")
+    raise ValueError(f"unknown hash method {method!r}")
 
 
 def hash_split(key: str | Column, seed: int = 42, train_fraction: float = 0.8,
-               modulus: int = 1000) -> Column:
+               modulus: int = 1000, method: str = "xxhash64") -> Column:
     """True for the training side."""
-    return hash_bucket(key, seed, modulus) < F.lit(int(round(train_fraction * modulus)))
+    return hash_bucket(key, seed, modulus, method) < F.lit(int(round(train_fraction * modulus)))
 
 
 def tolerant_double(c: str | Column, default: float | None = 0.0) -> Column:

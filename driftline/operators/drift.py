@@ -139,14 +139,23 @@ class BinEdges:
                 for i, e in enumerate(es)]
         return spark.createDataFrame(rows, "column string, edge_index int, edge double")
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(column, m, e0 .. e<bins>): one row per column that has edges,
+        ``m`` edges, unused slots null. Joined to the rows by broadcast (its
+        size is bounded by the number of monitored columns), so the
+        generated code does not change with the edge values."""
+        width = self.bins + 1
+        rows = []
+        for c, es in self.edges.items():
+            if es:
+                rows.append((c, len(es), *[float(e) for e in es], *([None] * (width - len(es)))))
+        schema = "column string, m int, " + ", ".join(f"e{i} double" for i in range(width))
+        return spark.createDataFrame(rows, schema)
 
-def bin_code(c: str | Column, edges: Sequence[float] | None) -> Column:
-    """-2 for null/NaN, -1 outside [first, last] edge, else the bin index.
 
-    Bins are half open [e_i, e_i+1) except the last, which is closed, as in
-    ``numpy.histogram``. The edges are literals: a handful of comparisons per
-    row, all in generated code, no join.
-    """
+def bin_code(c: str | Column, edges: Sequence[float] | None) -> Column:
+    """Literal-edge form of the bin code (for a single known column):
+    -2 for null/NaN, -1 outside [first, last] edge, else the bin index."""
     v = (F.col(c) if isinstance(c, str) else c).cast("double")
     valid = valid_number(v)
     if not edges:
@@ -160,13 +169,41 @@ def bin_code(c: str | Column, edges: Sequence[float] | None) -> Column:
              .otherwise(F.lit(-1)))
 
 
+def code_from_table(value: str = "value", bins: int = N_BINS) -> Column:
+    """Bin code of ``value`` against the joined edge row (e0.., m).
+
+    Bins are half open [e_i, e_i+1) except the last, which is closed, as in
+    ``numpy.histogram``; values outside [e0, e_(m-1)] are dropped (-1), null
+    and NaN are -2. Comparisons with the null padding count as false.
+    """
+    v = F.col(value)
+    m = F.col("m")
+    idx = sum((F.coalesce(v >= F.col(f"e{i}"), F.lit(False)).cast("int")
+               for i in range(1, bins + 1)), F.lit(0))
+    last = F.element_at(F.array(*[F.col(f"e{i}") for i in range(bins + 1)]), m)
+    return (F.when(v.isNull() | F.isnan(v), F.lit(-2))
+             .when(m.isNull(), F.lit(-1))
+             .when((v >= F.col("e0")) & (v <= last), F.least(idx, m - 2))
+             .otherwise(F.lit(-1)))
+
+
+def coded_long(df: DataFrame, cols: Sequence[str], edges: BinEdges,
+               ids: Sequence[str] = (SIDE,)) -> DataFrame:
+    """(ids..., column, code): unpivot, then look the column's edges up in
+    the broadcast edge table."""
+    spark = df.sparkSession
+    long = to_long(df, cols, ids=ids)
+    table = F.broadcast(edges.table(spark))
+    joined = long.join(table, "column", "left")
+    return joined.select(*ids, "column", code_from_table("value", edges.bins).alias("code"))
+
+
 def histogram(sides: DataFrame, cols: Sequence[str], edges: BinEdges) -> DataFrame:
     """(column, side, code, cnt): counts per bin, plus code -1 (out of range)
     and -2 (null/NaN). One scan; partial aggregation leaves at most
     2 * columns * (bins + 2) rows per task before the shuffle."""
-    coded = sides.select(SIDE, *[bin_code(c, edges.edges.get(c)).alias(c) for c in cols])
-    long = coded.unpivot([SIDE], list(cols), "column", "code")
-    return long.groupBy("column", SIDE, "code").agg(F.count(F.lit(1)).alias("cnt"))
+    return (coded_long(sides, cols, edges)
+            .groupBy("column", SIDE, "code").agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def _columns_frame(spark: SparkSession, cols: Sequence[str]) -> DataFrame:

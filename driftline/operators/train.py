@@ -42,6 +42,17 @@ def classifier(model_type: str = "logreg", max_iter: int = MAX_ITER,
     raise ValueError(f"unknown model type {model_type!r}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Iterative fits read the training rows once per iteration: when they
+    come in fewer partitions than the cluster can run at once (a few large
+    files), spread them over all cores with one round-robin shuffle. Inputs
+    that are already wide enough are left as they are."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 @dataclass
 class TrainResult:
     model: PipelineModel
@@ -67,34 +78,38 @@ def fit(df: DataFrame, spec: FeatureSpec, model_type: str = "logreg", *,
         train_df, test_df = split_by_hash(data, split_key, seed, test_fraction)
     else:
         train_df, test_df = data.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
-    spec.check(train_df, numeric_nulls=True)
-    stages = spec.stages()
     use_cv = cv and model_type == "logreg"
+    if use_cv and split_key:
+        train_df = train_df.withColumn("_fold", fold_column(split_key, seed, folds))
+    # Every pipeline stage, iteration, fold and grid point re-reads the
+    # training rows: spread them if needed and keep them for the fit. The
+    # null / cardinality check is the first reader.
+    train_df = spread(train_df).persist(StorageLevel.MEMORY_AND_DISK)
+    stages = spec.stages()
     t0 = time.time()
-    if use_cv:
-        lr = classifier("logreg", max_iter=max_iter)
-        grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_grid))
-                .addGrid(lr.elasticNetParam, list(elastic_grid)).build())
-        evaluator = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction",
-                                                  labelCol="label", metricName="areaUnderROC")
-        kwargs = dict(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=grid,
-                      evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=seed)
-        fitted_on = train_df
-        if split_key:
-            fitted_on = train_df.withColumn("_fold", fold_column(split_key, seed, folds))
-            kwargs["foldCol"] = "_fold"
-        # Every fold and grid point re-reads the training rows: keep them.
-        fitted_on = fitted_on.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            cv_model = CrossValidator(**kwargs).fit(fitted_on)
-        finally:
-            fitted_on.unpersist()
-        model = cv_model.bestModel
-        extra = {"cv_avg_auc": [float(x) for x in cv_model.avgMetrics]}
-    else:
-        clf = classifier(model_type, max_iter=max_iter, num_trees=num_trees, seed=seed)
-        model = Pipeline(stages=stages + [clf]).fit(train_df)
-        extra = {}
+    try:
+        spec.check(train_df, numeric_nulls=True)
+        if use_cv:
+            lr = classifier("logreg", max_iter=max_iter)
+            grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_grid))
+                    .addGrid(lr.elasticNetParam, list(elastic_grid)).build())
+            evaluator = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction",
+                                                      labelCol="label",
+                                                      metricName="areaUnderROC")
+            kwargs = dict(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=grid,
+                          evaluator=evaluator, numFolds=folds, parallelism=parallelism,
+                          seed=seed)
+            if split_key:
+                kwargs["foldCol"] = "_fold"
+            cv_model = CrossValidator(**kwargs).fit(train_df)
+            model = cv_model.bestModel
+            extra = {"cv_avg_auc": [float(x) for x in cv_model.avgMetrics]}
+        else:
+            clf = classifier(model_type, max_iter=max_iter, num_trees=num_trees, seed=seed)
+            model = Pipeline(stages=stages + [clf]).fit(train_df)
+            extra = {}
+    finally:
+        train_df.unpersist()
     fit_time = time.time() - t0
     preds = model.transform(test_df)
     acc_row = accuracy(preds).collect()[0]

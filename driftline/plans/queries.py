@@ -264,8 +264,9 @@ def q_assembled(spark, sf_dir):
 def q_hash_split(spark, sf_dir):
     od = table(spark, sf_dir, "orders")
     from ..functions.exprs import hash_bucket, hash_split
-    return od.select("o_orderkey", hash_bucket("o_orderkey", 42).alias("bucket"),
-                     hash_split("o_orderkey", 42, 0.8).alias("is_train"))
+    # md5 form: the same buckets in any engine (the oracle recomputes them).
+    return od.select("o_orderkey", hash_bucket("o_orderkey", 42, method="md5").alias("bucket"),
+                     hash_split("o_orderkey", 42, 0.8, method="md5").alias("is_train"))
 
 
 # ---------------------------------------------------------------------------

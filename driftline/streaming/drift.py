@@ -1,8 +1,9 @@
 """Drift per event-time window against a fixed baseline.
 
 The baseline is static: its bin edges and bin counts are fitted once. The
-arriving rows are binned with the same literal edges and counted per
-(window, column, bin): that count is the only streaming state. With a
+arriving rows are binned against the same edge table (a stream-static
+broadcast join, one row per column) and counted per (window, column, bin):
+that count is the only streaming state. With a
 watermark and append mode a window is emitted once, when it has closed; each
 micro-batch then turns its closed windows into PSI rows. The batch form runs
 the same code on a static frame.
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clip_share, psi_status
-from ..operators.drift import BASE, SIDE, BinEdges, bin_code, histogram, to_long
+from ..operators.drift import BASE, SIDE, BinEdges, coded_long, histogram, to_long
 
 
 def fit_baseline(base: DataFrame, cols: Sequence[str], method: str = "exact"):
@@ -39,10 +40,11 @@ def window_counts(df: DataFrame, ts_col: str, cols: Sequence[str], edges: BinEdg
     ts = F.col(ts_col)
     if dict(df.dtypes)[ts_col] == "timestamp_ntz":
         ts = ts.cast("timestamp")
-    coded = df.select(ts.alias("_ts"), *[bin_code(c, edges.edges.get(c)).alias(c) for c in cols])
+    timed = df.select(ts.alias("_ts"), *cols)
     if watermark:
-        coded = coded.withWatermark("_ts", watermark)
-    long = coded.unpivot(["_ts"], list(cols), "column", "code")
+        timed = timed.withWatermark("_ts", watermark)
+    # Stream-static broadcast join with the fixed edge table.
+    long = coded_long(timed, cols, edges, ids=["_ts"])
     return (long.groupBy(F.window("_ts", window).alias("w"), "column", "code")
                 .agg(F.count(F.lit(1)).alias("a_cnt"))
                 .select(F.col("w.start").alias("window_start"),
