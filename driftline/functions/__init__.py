@@ -1,4 +1,4 @@
-"""Column expressions and the one Python helper (chi-square p-value)."""
+"""Column expressions, including the chi-square p-value."""
 
 from .exprs import *  # noqa: F401,F403
-from .stats import chi2_sf, chi2_sf_udf  # noqa: F401
+from .stats import chi2_sf  # noqa: F401

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import (N_BINS, as_category, clip_share, p_status,
                                psi_status, valid_number)
-from ..functions.stats import chi2_sf_udf
+from ..functions.stats import chi2_sf
 from .ranking import approx_quantiles, exact_quantiles
 
 BASE, NEW = "base", "new"
@@ -258,14 +258,17 @@ def psi(sides: DataFrame, cols: Sequence[str], bins: int = N_BINS,
 # Chi-square
 # ---------------------------------------------------------------------------
 
-def contingency(sides: DataFrame, cols: Sequence[str]) -> DataFrame:
+def contingency(sides: DataFrame, cols: Sequence[str], ordered: bool = False) -> DataFrame:
     """(column, category, n_base, n_new) over the union of categories of both
-    sides; a category absent on one side gets 0 there without any join."""
+    sides; a category absent on one side gets 0 there without any join.
+    ``ordered=True`` sorts by (column, category) for display; the tests do
+    not need an order."""
     coded = sides.select(SIDE, *[as_category(c).alias(c) for c in cols])
     long = coded.unpivot([SIDE], list(cols), "column", "category")
-    return long.groupBy("column", "category").agg(
+    table = long.groupBy("column", "category").agg(
         F.count_if(F.col(SIDE) == BASE).alias("n_base"),
         F.count_if(F.col(SIDE) == NEW).alias("n_new"))
+    return table.orderBy("column", "category") if ordered else table
 
 
 def chi_square(sides: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -307,5 +310,5 @@ def chi_square(sides: DataFrame, cols: Sequence[str]) -> DataFrame:
     out = out.select("column", "ordinal", k.cast("int").alias("k"), dof.alias("dof"),
                      stat.alias("statistic"), n_base.alias("n_base"), n_new.alias("n_new"))
     p = (F.when(F.col("k") < 2, F.lit(1.0))
-          .when(F.col("statistic").isNotNull(), chi2_sf_udf(F.col("statistic"), F.col("dof"))))
+          .when(F.col("statistic").isNotNull(), chi2_sf(F.col("statistic"), F.col("dof"))))
     return out.withColumn("p_value", p).withColumn("status", p_status(F.col("p_value")))

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.functions.stats import chi2_sf
+from driftline.functions.stats import chi2_sf as chi2_sf_expr
 from driftline.operators import drift as D
 from driftline.plans import jobs
 
@@ -168,19 +168,72 @@ def test_chi_square_symmetric(spark):
     assert a.statistic == pytest.approx(b.statistic, rel=1e-12)
 
 
-@pytest.mark.parametrize("stat,dof,p", [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05),
-                                        (9.487729036781154, 4, 0.05), (6.6348966010212145, 1, 0.01),
-                                        (11.070497693516351, 5, 0.05)])
-def test_chi2_sf_critical_values(stat, dof, p):
-    assert chi2_sf(stat, dof) == pytest.approx(p, abs=1e-12)
-
-
-def test_chi2_sf_even_dof_closed_form():
-    for dof in (2, 4, 10):
-        for x in (0.5, 3.0, 17.0, 80.0):
-            h = x / 2
-            closed = math.exp(-h) * sum(h ** i / math.factorial(i) for i in range(dof // 2))
-            assert chi2_sf(x, dof) == pytest.approx(closed, rel=1e-12, abs=1e-300)
+def chi2_sf_ref(x, dof):
+    """Independent oracle: regularized upper incomplete gamma by series
+    (x < a + 1) or Lentz continued fraction, in plain Python."""
+    a, h = dof / 2.0, x / 2.0
+    if h <= 0:
+        return 1.0
+    if h < a + 1:
+        term = total = 1.0 / a
+        k = a
+        while abs(term) > abs(total) * 1e-17:
+            k += 1
+            term *= h / k
+            total += term
+        return 1.0 - total * math.exp(-h + a * math.log(h) - math.lgamma(a))
+    b, c, d = h + 1 - a, 1e300, 1.0 / (h + 1 - a)
+    f = d
+    for i in range(1, 100000):
+        an = -i * (i - a)
+        b += 2
+        d = an * d + b
+        d = 1e-300 if abs(d) < 1e-300 else d
+        c = b + an / c
+        c = 1e-300 if abs(c) < 1e-300 else c
+        d = 1.0 / d
+        f *= d * c
+        if abs(d * c - 1) < 1e-16:
+            break
+    return math.exp(-h + a * math.log(h) - math.lgamma(a)) * f
+
+
+def spark_sf(spark, pairs):
+    df = spark.createDataFrame([(float(x), int(d)) for x, d in pairs], "x double, d int")
+    return [r.p for r in df.select(chi2_sf_expr(F.col("x"), F.col("d")).alias("p")).collect()]
+
+
+def test_chi2_sf_critical_values(spark):
+    cases = [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05),
+             (9.487729036781154, 4, 0.05), (6.6348966010212145, 1, 0.01),
+             (11.070497693516351, 5, 0.05)]
+    got = spark_sf(spark, [(x, d) for x, d, _ in cases])
+    for g, (_, _, p) in zip(got, cases):
+        assert g == pytest.approx(p, abs=1e-12)
+
+
+def test_chi2_sf_against_reference(spark):
+    pairs = [(x, d) for d in (1, 2, 3, 4, 5, 7, 10, 19, 20, 21, 40, 101, 999)
+             for x in (0.01, 0.5, 1.0, 3.0, 9.5, 17.0, 30.0, 80.0, 150.0, 400.0, 1200.0)]
+    got = spark_sf(spark, pairs)
+    for g, (x, d) in zip(got, pairs):
+        assert g == pytest.approx(chi2_sf_ref(x, d), abs=1e-11), (x, d)
+
+
+def test_chi2_sf_edges(spark):
+    df = spark.createDataFrame([(0.0, 3), (None, 3), (5.0, None), (5.0, 0), (1e12, 2)],
+                               "x double, d int")
+    got = [r.p for r in df.select(chi2_sf_expr(F.col("x"), F.col("d")).alias("p")).collect()]
+    assert got == [1.0, None, None, None, 0.0]
+
+
+def test_chi2_sf_even_dof_closed_form(spark):
+    pairs = [(x, d) for d in (2, 4, 10) for x in (0.5, 3.0, 17.0, 80.0)]
+    got = spark_sf(spark, pairs)
+    for g, (x, dof) in zip(got, pairs):
+        h = x / 2
+        closed = math.exp(-h) * sum(h ** i / math.factorial(i) for i in range(dof // 2))
+        assert g == pytest.approx(closed, abs=1e-13)
 
 
 def test_report_kinds_ids_and_type_mismatch(spark):

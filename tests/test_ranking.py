@@ -78,9 +78,10 @@ def test_bracketed_path_equals_whole_ranking(spark, values, method):
     probs = [i * 0.1 + 0.0 for i in range(10)] + [1.0]
     df = _frame(spark, values)
     whole = exact_quantiles(df, "column", "value", probs, method, num_partitions=3)["k"]
-    # full_limit=0 forces the sketch brackets; a coarse sketch makes them wide
+    # window_limit=0 forces the sketch brackets and range-partitioned ranking
+    # inside them; a coarse sketch makes the brackets wide
     br = exact_quantiles(df, "column", "value", probs, method, num_partitions=3,
-                         accuracy=200, full_limit=0)["k"]
+                         accuracy=200, window_limit=0)["k"]
     assert br["quantiles"] == whole["quantiles"]
     if method == "linear":
         assert whole["quantiles"] == [float(x) for x in np.quantile(values, np.linspace(0, 1, 11))]
@@ -91,3 +92,20 @@ def test_bracket_miss_falls_back(spark):
     df = _frame(spark, [float(i) for i in range(100)])
     got = bracket_order_statistics(df, "column", "value", {"k": [(10.0, 20.0, (15, 50))]}, 2)
     assert got["k"] == {15: 15.0}      # rank 50 lies outside [10, 20]: left out
+
+
+def test_bracket_path_with_bounded_window(spark):
+    vals = list(np.random.default_rng(12).normal(size=4000).round(2))
+    probs = [i * 0.1 + 0.0 for i in range(10)] + [1.0]
+    got = exact_quantiles(_frame(spark, vals), "column", "value", probs, "linear",
+                          accuracy=100)["k"]
+    assert got["quantiles"] == [float(x) for x in np.quantile(vals, np.linspace(0, 1, 11))]
+    from driftline.operators import ranking as R
+    old = R.WINDOW_LIMIT
+    try:
+        R.WINDOW_LIMIT = 1000   # columns above it take the sketch; brackets fit a window
+        got = exact_quantiles(_frame(spark, vals), "column", "value", probs, "linear",
+                              accuracy=100)["k"]
+    finally:
+        R.WINDOW_LIMIT = old
+    assert got["quantiles"] == [float(x) for x in np.quantile(vals, np.linspace(0, 1, 11))]

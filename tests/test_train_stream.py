@@ -161,3 +161,33 @@ def test_retrain_gate(spark):
     assert d.collect()[0].retrained is False and res is None
     d, res = jobs.retrain_on_drift(base, base, df, spec, split_key="k", force=True)
     assert d.collect()[0].retrained is True and res is not None
+
+
+def test_records_to_frame_and_score(spark):
+    from driftline.streaming.score import records_to_frame
+    rows = [{"Age": 29.0, "Fare": 35.0, "SibSp": 1, "Parch": 0, "Sex": "male",
+             "Embarked": "S", "Pclass": 3},
+            {"Age": 22.0, "Fare": 7.25, "SibSp": 1, "Parch": 0, "Sex": "male",
+             "Embarked": "S", "Pclass": 3}]
+    df = records_to_frame(spark, rows)
+    assert dict(df.dtypes) == {"Age": "double", "Fare": "double", "SibSp": "int", "Parch": "int",
+                               "Sex": "string", "Embarked": "string", "Pclass": "int"}
+    train = records_to_frame(spark, rows * 20).withColumn(
+        "Survived", (F.col("Fare") > 10).cast("double"))
+    spec = FE.serving_spec(train.columns)
+    res = TR.fit(train.withColumn("k", F.monotonically_increasing_id()), spec, "logreg",
+                 split_key="k")
+    out = SC.score_batch(res.model, spec.prepare(df)).collect()
+    assert [r.prediction for r in out] in ([1, 0], [0, 0], [1, 1], [0, 1])
+    assert all(len(r.probability) == 2 for r in out)
+
+
+def test_train_and_record(spark):
+    df, _ = labelled(spark, 200, 6)
+    spec = FE.FeatureSpec(numeric=["x1", "x2"], label="y")
+    path = scratch_path(spark, "runs2")
+    res = jobs.train_and_record(df, spec, path, experiment="e1", split_key="k",
+                                model_path=scratch_path(spark, "m3"))
+    row = spark.read.parquet(path).collect()[0]
+    assert row.experiment == "e1" and row.dataset_rows == 200 and row.feature_count == 2
+    assert row.accuracy == round(res.metrics["accuracy"], 6)
