@@ -422,7 +422,7 @@ ORACLE_SQL = {
     "drift_by_window": DRIFT_BY_WINDOW,
     "prep_fill_constant": PREP_FILL_CONSTANT,
     "baseline_median_unknown": BASELINE_MEDIAN_UNKNOWN,
-    "baseline_single_csv": BASELINE_MEDIAN_UNKNOWN,
+    "baseline_csv": BASELINE_MEDIAN_UNKNOWN,
     "parquet_roundtrip": CUSTOMER,
     "csv_roundtrip": CUSTOMER,
     "na_tokens_cast": NA_TOKENS_CAST,

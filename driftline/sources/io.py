@@ -1,5 +1,5 @@
 """Scans and sinks: Parquet, CSV (with pandas-style NA tokens), JSON reports,
-single-file CSV export and model directories. Paths may be on any Hadoop
+CSV folder export and model directories. Paths may be on any Hadoop
 file system; nothing here uses the local file API."""
 
 from __future__ import annotations
@@ -93,12 +93,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> str:
-    """CSV with a header. ``single_file=True`` funnels all rows through one
-    task (``coalesce(1)``), as a one-file export needs; the default writes
-    one file per partition, in parallel."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """CSV folder with a header in every part, one part per partition,
+    written in parallel. (A single-file export would pass every row through
+    one task; the folder reads back as one table.)"""
+    df.write.mode(mode).option("header", True).csv(path)
     return path
 
 

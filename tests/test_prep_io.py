@@ -84,12 +84,13 @@ def test_missing_input(spark):
         io.read_csv(spark, "/nonexistent/driftline/x.csv")
 
 
-def test_single_file_csv(spark):
-    path = scratch_path(spark, "single")
+def test_csv_folder_export(spark):
+    path = scratch_path(spark, "folder")
     df = spark.range(1000).repartition(5)
-    io.write_csv(df, path, single_file=True)
-    assert len(glob.glob(os.path.join(local_path(path), "part-*.csv"))) == 1
-    assert io.read_csv(spark, path, schema="id long").count() == 1000
+    io.write_csv(df, path)
+    assert len(glob.glob(os.path.join(local_path(path), "part-*.csv"))) == 5
+    back = io.read_csv(spark, path, schema="id long")
+    assert back.count() == 1000 and back.agg({"id": "sum"}).collect()[0][0] == 499500
 
 
 def test_json_report_sink(spark):
