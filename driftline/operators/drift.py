@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import (N_BINS, as_category, clip_share, p_status,
-                               psi_status, valid_number)
+from ..functions.exprs import N_BINS, as_category, clip_share, p_status, psi_status
 from ..functions.stats import chi2_sf
 from .ranking import approx_quantiles, exact_quantiles
 
@@ -153,22 +152,6 @@ class BinEdges:
         return spark.createDataFrame(rows, schema)
 
 
-def bin_code(c: str | Column, edges: Sequence[float] | None) -> Column:
-    """Literal-edge form of the bin code (for a single known column):
-    -2 for null/NaN, -1 outside [first, last] edge, else the bin index."""
-    v = (F.col(c) if isinstance(c, str) else c).cast("double")
-    valid = valid_number(v)
-    if not edges:
-        return F.when(valid, F.lit(-1)).otherwise(F.lit(-2))
-    m = len(edges)
-    idx = sum(((v >= F.lit(float(e))).cast("int") for e in edges[1:]), F.lit(0))
-    idx = F.least(idx, F.lit(m - 2))
-    in_range = (v >= F.lit(float(edges[0]))) & (v <= F.lit(float(edges[-1])))
-    return (F.when(~valid, F.lit(-2))
-             .when(in_range, idx)
-             .otherwise(F.lit(-1)))
-
-
 def code_from_table(value: str = "value", bins: int = N_BINS) -> Column:
     """Bin code of ``value`` against the joined edge row (e0.., m).
 

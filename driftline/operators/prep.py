@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .drift import is_numeric_type, to_long
+from .drift import to_long
 from .ranking import exact_quantiles
 
 
@@ -73,11 +73,6 @@ def fill_unknown(df: DataFrame, cols: Sequence[str], token: str = "Unknown") ->
     return df.na.fill({c: token for c in present}) if present else df
 
 
-def numeric_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return [c for c in (cols or df.columns) if c in types and is_numeric_type(types[c])]
-
-
 def inject_nulls(df: DataFrame, key: str, every: Mapping[str, int]) -> DataFrame:
     """Null out ``col`` on rows whose ``key % k == 0`` (test fixtures only:
     the driver tables carry no nulls)."""

@@ -76,16 +76,6 @@ def value_counts(df: DataFrame, key_col: str, value_col: str) -> DataFrame:
               .groupBy(key_col, value_col).agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def column_sizes(df: DataFrame, key_col: str, value_col: str) -> dict:
-    """Per key: count, min, max of non-null, non-NaN values (one small job)."""
-    v = F.col(value_col)
-    rows = (df.where(v.isNotNull() & ~F.isnan(v))
-              .groupBy(key_col)
-              .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("mn"), F.max(v).alias("mx"))
-              .collect())
-    return {r[key_col]: (int(r["n"]), float(r["mn"]), float(r["mx"])) for r in rows}
-
-
 def linear_positions(n: int, probs: Iterable[float]) -> list[tuple[int, int, float]]:
     """NumPy 'linear' quantile positions: (lower rank, upper rank, gamma)."""
     out = []

@@ -159,13 +159,3 @@ def coefficients(spark: SparkSession, model: PipelineModel, spec: FeatureSpec) -
     return spark.createDataFrame(rows, "feature string, weight double")
 
 
-def metrics_frame(spark: SparkSession, metrics: dict) -> DataFrame:
-    keys = ["model_type", "fit_time_sec", "accuracy", "test_rows", "feature_count"]
-    return spark.createDataFrame(
-        [tuple(metrics.get(k) for k in keys)],
-        "model_type string, fit_time_sec double, accuracy double, test_rows long, "
-        "feature_count int")
-
-
-__all__ = ["classifier", "fit", "TrainResult", "coefficients", "feature_names",
-           "metrics_frame"]
