@@ -22,7 +22,7 @@ from ..operators import evaluate as E
 from ..operators import features as FE
 from ..operators import train as TR
 from ..operators.prep import inject_nulls
-from ..operators.runs import run_series
+from ..operators.runs import read_runs, run_series
 from ..session import scratch_path
 from ..sources import io
 from ..streaming import drift as SD
@@ -388,8 +388,7 @@ def q_run_series(spark, sf_dir):
         k.cast("string").alias("run_id"))
     path = scratch_path(spark, "runs-csv")
     io.write_csv(runs, path)
-    text_schema = ", ".join(f"{c} string" for c in runs.columns)
-    back = io.read_csv(spark, path, schema=text_schema, na_tokens=None)
+    back = read_runs(spark, path)  # every column as text, like the reference's reader
     back = back.withColumn("run_key", F.col("run_id").cast("long"))
     return run_series(back, order_cols=("timestamp", "run_key"))
 

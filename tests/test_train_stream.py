@@ -191,3 +191,20 @@ def test_train_and_record(spark):
     row = spark.read.parquet(path).collect()[0]
     assert row.experiment == "e1" and row.dataset_rows == 200 and row.feature_count == 2
     assert row.accuracy == round(res.metrics["accuracy"], 6)
+
+
+def test_read_runs_text_and_empty(spark):
+    from driftline.operators.runs import EmptyRunHistory, read_runs
+    path = scratch_path(spark, "runs-csv")
+    spark.createDataFrame([("2024-01-01T00:00:00Z", "e", "0.9", "1.5", "8")],
+                          "timestamp string, experiment string, accuracy string, "
+                          "fit_time_sec string, shuffle_partitions string") \
+        .write.option("header", True).csv(path)
+    runs = read_runs(spark, path)
+    assert set(t for _, t in runs.dtypes) == {"string"}
+    assert run_series(runs).collect()[0].accuracy == 0.9
+    empty = scratch_path(spark, "runs-empty")
+    spark.createDataFrame([], "timestamp string, experiment string").write \
+        .option("header", True).csv(empty)
+    with pytest.raises(EmptyRunHistory):
+        read_runs(spark, empty)
