@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import N_BINS, as_category, clip_share, p_status, psi_status
 from ..functions.stats import chi2_sf
+from ..session import ensure_checkpoint_dir
 from .ranking import approx_quantiles, exact_quantiles
 
 BASE, NEW = "base", "new"
@@ -262,8 +263,55 @@ def chi_square(sides: DataFrame, cols: Sequence[str]) -> DataFrame:
     (Yates), else 0. Fewer than two categories: p = 1. An empty side has no
     defined expected counts: insufficient_data.
     """
+    return chi_square_from_table(contingency(sides, cols), cols)
+
+
+def drift_counts(sides: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                 edges: BinEdges) -> DataFrame:
+    """Both count tables of a drift report from one scan and one aggregation:
+    (column, side, code, category, cnt). Numeric columns carry a bin code
+    (category null); categorical ones carry their category (code null)."""
     spark = sides.sparkSession
-    table = contingency(sides, cols)
+    cells = ([F.struct(F.col(c).cast("double").alias("v"), F.lit(None).cast("string").alias("c"))
+              .alias(c) for c in numeric]
+             + [F.struct(F.lit(None).cast("double").alias("v"), as_category(c).alias("c"))
+                .alias(c) for c in categorical])
+    cols = list(numeric) + list(categorical)
+    long = sides.select(SIDE, *cells).unpivot([SIDE], cols, "column", "val")
+    joined = long.select(SIDE, "column", F.col("val.v").alias("value"), F.col("val.c").alias("category")) \
+        .join(F.broadcast(edges.table(spark)), "column", "left")
+    code = F.when(F.col("category").isNull(), code_from_table("value", edges.bins))
+    return (joined.select("column", SIDE, code.alias("code"), "category")
+                  .groupBy("column", SIDE, "code", "category")
+                  .agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def psi_and_chi_square(sides: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                       bins: int = N_BINS, method: str = "exact", accuracy: int = 10000):
+    """(psi frame, chi-square frame) sharing one counting pass."""
+    edges = BinEdges(edges={}, bins=bins)
+    if numeric:
+        base_long = to_long(sides.where(F.col(SIDE) == BASE), numeric)
+        edges = BinEdges.fit(base_long, numeric, bins, method, accuracy)
+    # Both tests read the aggregated counts (bins and categories per column,
+    # not rows). Checkpointed once: otherwise each test's filter is pushed
+    # below the aggregate and the input is scanned twice.
+    ensure_checkpoint_dir(sides.sparkSession)
+    counts = drift_counts(sides, numeric, categorical, edges).checkpoint(eager=True)
+    hist = (counts.where(F.col("category").isNull())
+                  .select("column", SIDE, "code", "cnt"))
+    table = (counts.where(F.col("category").isNotNull())
+                   .groupBy("column", "category")
+                   .agg(F.sum(F.when(F.col(SIDE) == BASE, F.col("cnt")).otherwise(0)).alias("n_base"),
+                        F.sum(F.when(F.col(SIDE) == NEW, F.col("cnt")).otherwise(0)).alias("n_new")))
+    psi_df = psi_from_histogram(hist, numeric) if numeric else None
+    chi_df = chi_square_from_table(table, categorical) if categorical else None
+    return psi_df, chi_df
+
+
+def chi_square_from_table(table: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Chi-square per column from a (column, category, n_base, n_new) table."""
+    spark = table.sparkSession
     totals = table.groupBy("column").agg(
         F.sum("n_base").alias("r_base"), F.sum("n_new").alias("r_new"),
         F.count(F.lit(1)).alias("k"))
