@@ -54,11 +54,15 @@ def running_totals(df: DataFrame, order_col: str | Sequence[str], sum_cols: Sequ
     before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = part_totals.select(
-        _PID, *by,
+        F.col(_PID).alias("_dl_opid"), *[F.col(c).alias(f"_dl_k_{c}") for c in by],
         *[F.coalesce(F.sum(f"_dl_t_{c}").over(before), F.lit(0)).alias(f"_dl_o_{c}")
           for c in sum_cols])
-    # Bounded: one row per (range partition, group) pair that has data.
-    joined = ranged.join(F.broadcast(offsets), on=[_PID, *by], how="inner")
+    # Bounded: one row per (range partition, group) pair that has data. Group
+    # keys match null-safely, so a null group keeps its rows.
+    cond = F.col(_PID) == F.col("_dl_opid")
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_dl_k_{c}"))
+    joined = ranged.join(F.broadcast(offsets), on=cond, how="inner")
     within = Window.partitionBy(_PID, *by).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = joined.select(

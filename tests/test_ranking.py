@@ -109,3 +109,12 @@ def test_bracket_path_with_bounded_window(spark):
     finally:
         R.WINDOW_LIMIT = old
     assert got["quantiles"] == [float(x) for x in np.quantile(vals, np.linspace(0, 1, 11))]
+
+
+def test_running_totals_keep_null_groups(spark):
+    pdf = pd.DataFrame({"g": [None, None, "a", "a", None], "x": [1.0, 2.0, 1.0, 2.0, 3.0],
+                        "w": [1, 1, 1, 1, 1]})
+    df = spark.createDataFrame(pdf, "g string, x double, w long")
+    got = {(r.g, r.x): r.w_cum for r in running_totals(df, "x", ["w"], by=["g"],
+                                                        num_partitions=3).collect()}
+    assert got == {(None, 1.0): 1, (None, 2.0): 2, (None, 3.0): 3, ("a", 1.0): 1, ("a", 2.0): 2}
