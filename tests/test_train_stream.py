@@ -208,3 +208,25 @@ def test_read_runs_text_and_empty(spark):
         .option("header", True).csv(empty)
     with pytest.raises(EmptyRunHistory):
         read_runs(spark, empty)
+
+
+def test_report_prepare_both_and_include_new(spark):
+    from driftline.operators.prep import fill_constants
+    base = spark.createDataFrame([(float(i % 10), "a" if i % 3 else None) for i in range(60)],
+                                 "x double, c string")
+    new = spark.createDataFrame([(None if i % 4 == 0 else float(i % 10), "a") for i in range(60)],
+                                "x double, c string")
+    plain = {r.column: r for r in jobs.drift_report(base, new).collect()}
+    filled = {r.column: r for r in jobs.drift_report(
+        base, new, prepare_both=lambda d: fill_constants(d, {"x": 0.0, "c": "a"})).collect()}
+    assert plain["c"].statistic != filled["c"].statistic   # 'nan' category gone after fill
+    assert filled["c"].dof == 0 and filled["c"].p_value == 1.0
+    df, _ = labelled(spark, 200, 7)
+    spec = FE.FeatureSpec(numeric=["x1", "x2"], label="y")
+    shifted = df.withColumn("x1", F.col("x1") + 5).withColumn("k", F.col("k") + 1000)
+    d, res = jobs.retrain_on_drift(df.select("x1", "x2"), shifted.select("x1", "x2"), df, spec,
+                                   split_key="k", include_new=False)
+    d2, res2 = jobs.retrain_on_drift(df.select("x1", "x2"), shifted.select("x1", "x2"), df, spec,
+                                     split_key="k", include_new=True)
+    assert d.collect()[0].retrained and d2.collect()[0].retrained
+    assert res2.metrics["test_rows"] > res.metrics["test_rows"]
