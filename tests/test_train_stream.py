@@ -224,9 +224,13 @@ def test_report_prepare_both_and_include_new(spark):
     df, _ = labelled(spark, 200, 7)
     spec = FE.FeatureSpec(numeric=["x1", "x2"], label="y")
     shifted = df.withColumn("x1", F.col("x1") + 5).withColumn("k", F.col("k") + 1000)
-    d, res = jobs.retrain_on_drift(df.select("x1", "x2"), shifted.select("x1", "x2"), df, spec,
-                                   split_key="k", include_new=False)
-    d2, res2 = jobs.retrain_on_drift(df.select("x1", "x2"), shifted.select("x1", "x2"), df, spec,
-                                     split_key="k", include_new=True)
+    ids = ["k", "y", "c"]
+    d, res = jobs.retrain_on_drift(df, shifted, df, spec, id_cols=ids, split_key="k",
+                                   include_new=False)
+    d2, res2 = jobs.retrain_on_drift(df, shifted, df, spec, id_cols=ids, split_key="k",
+                                     include_new=True)
+    with pytest.raises(ValueError):
+        jobs.retrain_on_drift(df, shifted.drop("y"), df, spec, id_cols=ids, split_key="k",
+                              include_new=True)
     assert d.collect()[0].retrained and d2.collect()[0].retrained
     assert res2.metrics["test_rows"] > res.metrics["test_rows"]
