@@ -230,6 +230,24 @@ DRIFT_REPORT = f"WITH {ORDERS_REPORT_CTES}\nSELECT * FROM report"
 DRIFT_ANY = (f"WITH {ORDERS_REPORT_CTES}\nSELECT coalesce(bool_or(status = 'drift'), false) "
              "AS drift FROM report")
 
+DRIFT_REPORT_MISMATCH = f"""WITH src AS (
+  SELECT CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 'base' ELSE 'new' END
+         AS side, o_orderstatus, o_orderpriority
+  FROM orders WHERE o_orderdate IS NOT NULL),{chi_ctes(["o_orderstatus", "o_orderpriority"])}
+SELECT 'o_totalprice' AS "column", 'numeric' AS kind, CAST(NULL AS DOUBLE) AS psi,
+       CAST(NULL AS DOUBLE) AS statistic, CAST(NULL AS INTEGER) AS dof,
+       CAST(NULL AS DOUBLE) AS p_value, 'type_mismatch' AS status
+UNION ALL
+SELECT col, 'categorical', CAST(NULL AS DOUBLE), round(statistic, 6), dof, round(p_value, 6),
+       {P_STATUS}
+FROM c_out"""
+
+FAMILY_FEATURES = """SELECT l_orderkey, l_linenumber,
+       1 + (l_linenumber - 1) + CAST(round(l_tax * 100) AS INTEGER) % 3 AS FamilySize,
+       CASE WHEN (l_linenumber - 1) + CAST(round(l_tax * 100) AS INTEGER) % 3 = 0 THEN 1 ELSE 0 END
+         AS IsAlone
+FROM lineitem"""
+
 DRIFT_BY_WINDOW = f"""WITH src AS (
   SELECT 'base' AS side, value FROM events WHERE ts < TIMESTAMP '2024-01-08 00:00:00'),
 {psi_ctes(["value"])},
@@ -419,6 +437,7 @@ ORACLE_SQL = {
     "chi_square_categorical": CHI_SQUARE_CATEGORICAL,
     "drift_report": DRIFT_REPORT,
     "drift_any": DRIFT_ANY,
+    "drift_report_mismatch": DRIFT_REPORT_MISMATCH,
     "drift_by_window": DRIFT_BY_WINDOW,
     "prep_fill_constant": PREP_FILL_CONSTANT,
     "baseline_median_unknown": BASELINE_MEDIAN_UNKNOWN,
@@ -429,6 +448,7 @@ ORACLE_SQL = {
     "category_index": CATEGORY_INDEX,
     "one_hot": ONE_HOT,
     "assembled": ASSEMBLED,
+    "family_features": FAMILY_FEATURES,
     "hash_split": HASH_SPLIT,
     "accuracy": ACCURACY,
     "auc_exact": AUC_EXACT,

@@ -154,6 +154,14 @@ def q_drift_report_json(spark, sf_dir):
     return jobs.report_json(orders_report(spark, sf_dir))
 
 
+def q_drift_report_mismatch(spark, sf_dir):
+    """The orders report when the new batch carries o_totalprice as text:
+    that column is reported as type_mismatch, the others are tested."""
+    od = table(spark, sf_dir, "orders")
+    new = od.where(~orders_base()).withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+    return jobs.drift_report(od.where(orders_base()), new, ORDERS_IDS)
+
+
 def q_drift_by_window(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     base = ev.where(F.col("ts") < ntz(EVENTS_BASE_END))
@@ -262,6 +270,17 @@ def q_assembled(spark, sf_dir):
     return FE.vector_slots(enc, "features", ["l_orderkey", "l_linenumber"])
 
 
+def q_family_features(spark, sf_dir):
+    """Family size and alone flag over counts derived from lineitem
+    (siblings = line number - 1, parents = tax in cents mod 3)."""
+    li = table(spark, sf_dir, "lineitem")
+    counts = li.select("l_orderkey", "l_linenumber",
+                       (F.col("l_linenumber") - 1).alias("SibSp"),
+                       (F.round(F.col("l_tax") * 100).cast("int") % 3).alias("Parch"))
+    spec = FE.serving_spec(counts.columns)
+    return spec.prepare(counts).select("l_orderkey", "l_linenumber", "FamilySize", "IsAlone")
+
+
 def q_hash_split(spark, sf_dir):
     od = table(spark, sf_dir, "orders")
     from ..functions.exprs import hash_bucket, hash_split
@@ -401,6 +420,7 @@ QUERIES = {
     "drift_report": q_drift_report,
     "drift_any": q_drift_any,
     "drift_report_json": q_drift_report_json,
+    "drift_report_mismatch": q_drift_report_mismatch,
     "drift_by_window": q_drift_by_window,
     "prep_fill_constant": q_prep_fill_constant,
     "baseline_median_unknown": q_baseline_median_unknown,
@@ -412,6 +432,7 @@ QUERIES = {
     "category_index": q_category_index,
     "one_hot": q_one_hot,
     "assembled": q_assembled,
+    "family_features": q_family_features,
     "hash_split": q_hash_split,
     "accuracy": q_accuracy,
     "auc_exact": q_auc_exact,
