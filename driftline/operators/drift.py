@@ -140,16 +140,18 @@ class BinEdges:
         return spark.createDataFrame(rows, "column string, edge_index int, edge double")
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """(column, m, e0 .. e<bins>): one row per column that has edges,
-        ``m`` edges, unused slots null. Joined to the rows by broadcast (its
+        """(column, m, hi, e0 .. e<bins>): one row per column that has edges,
+        ``m`` edges, ``hi`` the last one, unused slots null. Joined to the rows by broadcast (its
         size is bounded by the number of monitored columns), so the
         generated code does not change with the edge values."""
         width = self.bins + 1
         rows = []
         for c, es in self.edges.items():
             if es:
-                rows.append((c, len(es), *[float(e) for e in es], *([None] * (width - len(es)))))
-        schema = "column string, m int, " + ", ".join(f"e{i} double" for i in range(width))
+                rows.append((c, len(es), float(es[-1]), *[float(e) for e in es],
+                             *([None] * (width - len(es)))))
+        schema = ("column string, m int, hi double, "
+                  + ", ".join(f"e{i} double" for i in range(width)))
         return spark.createDataFrame(rows, schema)
 
 
@@ -164,10 +166,9 @@ def code_from_table(value: str = "value", bins: int = N_BINS) -> Column:
     m = F.col("m")
     idx = sum((F.coalesce(v >= F.col(f"e{i}"), F.lit(False)).cast("int")
                for i in range(1, bins + 1)), F.lit(0))
-    last = F.element_at(F.array(*[F.col(f"e{i}") for i in range(bins + 1)]), m)
     return (F.when(v.isNull() | F.isnan(v), F.lit(-2))
              .when(m.isNull(), F.lit(-1))
-             .when((v >= F.col("e0")) & (v <= last), F.least(idx, m - 2))
+             .when((v >= F.col("e0")) & (v <= F.col("hi")), F.least(idx, m - 2))
              .otherwise(F.lit(-1)))
 
 
