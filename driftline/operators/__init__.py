@@ -1,0 +1 @@
+"""Composable DataFrame operators: distributed ranking, drift tests, prep, features, training, evaluation, run history."""

@@ -1,0 +1 @@
+"""Composed jobs, registered queries and their DuckDB oracle SQL."""

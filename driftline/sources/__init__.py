@@ -1,0 +1 @@
+"""Scans and sinks."""

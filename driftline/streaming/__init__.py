@@ -1,0 +1 @@
+"""Structured Streaming: scoring, model hot swap, windowed drift."""
