@@ -310,14 +310,19 @@ def psi_and_chi_square(sides: DataFrame, numeric: Sequence[str], categorical: Se
     return psi_df, chi_df
 
 
-def chi_square_from_table(table: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Chi-square per column from a (column, category, n_base, n_new) table."""
-    spark = table.sparkSession
-    totals = table.groupBy("column").agg(
+def chi_square_stats(table: DataFrame, keys: Sequence[str] = ("column",),
+                     broadcast_totals: bool = True) -> DataFrame:
+    """Chi-square per ``keys`` group of a (keys..., category, n_base, n_new)
+    table: (keys..., k, n_base, n_new, statistic) before the final checks.
+
+    ``broadcast_totals``: the per-group totals are one row per monitored
+    column when keys = (column,), bounded by the schema; for other keys
+    (e.g. windows) Spark's own size check decides."""
+    keys = list(keys)
+    totals = table.groupBy(*keys).agg(
         F.sum("n_base").alias("r_base"), F.sum("n_new").alias("r_new"),
         F.count(F.lit(1)).alias("k"))
-    # One row per monitored column: bounded by the schema, safe to broadcast.
-    cells = table.join(F.broadcast(totals), "column")
+    cells = table.join(F.broadcast(totals) if broadcast_totals else totals, keys)
     total = (F.col("r_base") + F.col("r_new")).cast("double")
     cat_total = (F.col("n_base") + F.col("n_new")).cast("double")
     defined = (F.col("r_base") > 0) & (F.col("r_new") > 0)
@@ -329,18 +334,29 @@ def chi_square_from_table(table: DataFrame, cols: Sequence[str]) -> DataFrame:
         return F.pow(diff - yates, 2) / expected
 
     term = F.when(defined, cell("n_base", "r_base") + cell("n_new", "r_new"))
-    stats = cells.groupBy("column").agg(
+    return cells.groupBy(*keys).agg(
         F.first("k").alias("k"), F.first("r_base").alias("n_base"),
         F.first("r_new").alias("n_new"), F.sum(term).alias("statistic"))
-    out = _columns_frame(spark, cols).join(stats, "column", "left")
+
+
+def chi_square_finish(stats: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Degrees of freedom, p-value and status from (keep..., k, n_base,
+    n_new, statistic); a group without rows counts as k = 0."""
     k = F.coalesce(F.col("k"), F.lit(0))
     n_base = F.coalesce(F.col("n_base"), F.lit(0)).cast("long")
     n_new = F.coalesce(F.col("n_new"), F.lit(0)).cast("long")
     dof = F.greatest(k - 1, F.lit(0)).cast("int")
-    degenerate = k < 2
-    stat = F.when(degenerate, F.lit(0.0)).when((n_base > 0) & (n_new > 0), F.col("statistic"))
-    out = out.select("column", "ordinal", k.cast("int").alias("k"), dof.alias("dof"),
-                     stat.alias("statistic"), n_base.alias("n_base"), n_new.alias("n_new"))
+    stat = F.when(k < 2, F.lit(0.0)).when((n_base > 0) & (n_new > 0), F.col("statistic"))
+    out = stats.select(*keep, k.cast("int").alias("k"), dof.alias("dof"),
+                       stat.alias("statistic"), n_base.alias("n_base"), n_new.alias("n_new"))
     p = (F.when(F.col("k") < 2, F.lit(1.0))
           .when(F.col("statistic").isNotNull(), chi2_sf(F.col("statistic"), F.col("dof"))))
     return out.withColumn("p_value", p).withColumn("status", p_status(F.col("p_value")))
+
+
+def chi_square_from_table(table: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Chi-square per column from a (column, category, n_base, n_new) table."""
+    spark = table.sparkSession
+    stats = chi_square_stats(table, ["column"])
+    out = _columns_frame(spark, cols).join(stats, "column", "left")
+    return chi_square_finish(out, ["column", "ordinal"])

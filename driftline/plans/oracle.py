@@ -289,6 +289,54 @@ fin AS (
 SELECT window_day, col AS "column", n_new, round(psi, 6) AS psi, {PSI_STATUS} AS status
 FROM fin"""
 
+def _chi_square_by_window():
+    cell = ("pow(abs(CAST({o} AS DOUBLE) - CAST({r} AS DOUBLE) * cat_total / total) - "
+            "CASE WHEN k = 2 THEN least(CAST(0.5 AS DOUBLE), abs(CAST({o} AS DOUBLE) - "
+            "CAST({r} AS DOUBLE) * cat_total / total)) ELSE CAST(0.0 AS DOUBLE) END, 2) / "
+            "(CAST({r} AS DOUBLE) * cat_total / total)")
+    term = cell.format(o="n_base", r="r_base") + " + " + cell.format(o="n_new", r="r_new")
+    return f"""WITH b AS (
+  SELECT 'event_type' AS col, coalesce(CAST(event_type AS VARCHAR), 'nan') AS category,
+         count(*) AS e_cnt
+  FROM events WHERE ts < TIMESTAMP '2024-01-08 00:00:00' GROUP BY ALL),
+w AS (
+  SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS window_day, 'event_type' AS col,
+         coalesce(CAST(event_type AS VARCHAR), 'nan') AS category, count(*) AS a_cnt
+  FROM events GROUP BY ALL),
+wins AS (SELECT DISTINCT window_day, col FROM w),
+grid AS (SELECT wins.window_day, wins.col, b.category, b.e_cnt FROM wins JOIN b ON b.col = wins.col),
+t AS (
+  SELECT coalesce(g.window_day, w.window_day) AS window_day, coalesce(g.col, w.col) AS col,
+         coalesce(g.e_cnt, 0) AS n_base, coalesce(w.a_cnt, 0) AS n_new
+  FROM grid g FULL OUTER JOIN w
+    ON g.window_day = w.window_day AND g.col = w.col AND g.category = w.category),
+tot AS (SELECT window_day, col, sum(n_base) AS r_base, sum(n_new) AS r_new, count(*) AS k
+        FROM t GROUP BY ALL),
+cells AS (
+  SELECT t.*, tot.r_base, tot.r_new, tot.k, CAST(tot.r_base + tot.r_new AS DOUBLE) AS total,
+         CAST(t.n_base + t.n_new AS DOUBLE) AS cat_total
+  FROM t JOIN tot ON tot.window_day = t.window_day AND tot.col = t.col),
+st AS (
+  SELECT window_day, col, any_value(k) AS k, any_value(r_base) AS r_base,
+         any_value(r_new) AS r_new,
+         sum(CASE WHEN r_base > 0 AND r_new > 0 THEN {term} END) AS statistic
+  FROM cells GROUP BY ALL),
+pre AS (
+  SELECT window_day, col, CAST(k AS INTEGER) AS k, CAST(greatest(k - 1, 0) AS INTEGER) AS dof,
+         CASE WHEN k < 2 THEN CAST(0.0 AS DOUBLE)
+              WHEN r_base > 0 AND r_new > 0 THEN statistic END AS statistic
+  FROM st),
+fin AS (
+  SELECT *, CASE WHEN k < 2 THEN CAST(1.0 AS DOUBLE) ELSE {chi2_sf_sql('statistic', 'dof')} END
+            AS p_value
+  FROM pre)
+SELECT window_day, col AS "column", k, dof, round(statistic, 6) AS statistic,
+       round(p_value, 6) AS p_value, {P_STATUS} AS status
+FROM fin"""
+
+
+CHI_SQUARE_BY_WINDOW = _chi_square_by_window()
+
 LINEITEM_NULLS = """src AS (
   SELECT l_orderkey,
          CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_linenumber END AS l_linenumber,
@@ -439,6 +487,7 @@ ORACLE_SQL = {
     "drift_any": DRIFT_ANY,
     "drift_report_mismatch": DRIFT_REPORT_MISMATCH,
     "drift_by_window": DRIFT_BY_WINDOW,
+    "chi_square_by_window": CHI_SQUARE_BY_WINDOW,
     "prep_fill_constant": PREP_FILL_CONSTANT,
     "baseline_median_unknown": BASELINE_MEDIAN_UNKNOWN,
     "baseline_csv": BASELINE_MEDIAN_UNKNOWN,

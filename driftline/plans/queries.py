@@ -170,6 +170,16 @@ def q_drift_by_window(spark, sf_dir):
                       "column", "n_new", F.round("psi", 6).alias("psi"), "status")
 
 
+def q_chi_square_by_window(spark, sf_dir):
+    """event_type per day window against the first seven days."""
+    ev = table(spark, sf_dir, "events")
+    base = ev.where(F.col("ts") < ntz(EVENTS_BASE_END))
+    out = SD.chi_square_by_window_batch(ev, "ts", ["event_type"], base, "1 day")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"),
+                      "column", "k", "dof", F.round("statistic", 6).alias("statistic"),
+                      F.round("p_value", 6).alias("p_value"), "status")
+
+
 # ---------------------------------------------------------------------------
 # Preparation, baseline, IO
 # ---------------------------------------------------------------------------
@@ -422,6 +432,7 @@ QUERIES = {
     "drift_report_json": q_drift_report_json,
     "drift_report_mismatch": q_drift_report_mismatch,
     "drift_by_window": q_drift_by_window,
+    "chi_square_by_window": q_chi_square_by_window,
     "prep_fill_constant": q_prep_fill_constant,
     "baseline_median_unknown": q_baseline_median_unknown,
     "baseline_median_approx": q_baseline_median_approx,

@@ -16,8 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import clip_share, psi_status
-from ..operators.drift import BASE, SIDE, BinEdges, coded_long, histogram, to_long
+from ..functions.exprs import as_category, clip_share, psi_status
+from ..operators.drift import (BASE, SIDE, BinEdges, chi_square_finish, chi_square_stats,
+                               coded_long, histogram, to_long)
 
 
 def fit_baseline(base: DataFrame, cols: Sequence[str], method: str = "exact"):
@@ -105,3 +106,68 @@ def drift_by_window_stream(stream: DataFrame, ts_col: str, cols: Sequence[str],
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+# ---------------------------------------------------------------------------
+# Categorical columns: chi-square per window against the baseline categories
+# ---------------------------------------------------------------------------
+
+def fit_category_baseline(base: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, category, e_cnt) of the baseline; null is the category 'nan'."""
+    coded = base.select(*[as_category(c).alias(c) for c in cols])
+    return (coded.unpivot([], list(cols), "column", "category")
+                 .groupBy("column", "category").agg(F.count(F.lit(1)).alias("e_cnt")))
+
+
+def window_category_counts(df: DataFrame, ts_col: str, cols: Sequence[str],
+                           window: str = "1 day", watermark: str | None = None) -> DataFrame:
+    """(window_start, window_end, column, category, a_cnt); works on a stream."""
+    ts = F.col(ts_col)
+    if dict(df.dtypes)[ts_col] == "timestamp_ntz":
+        ts = ts.cast("timestamp")
+    timed = df.select(ts.alias("_ts"), *[as_category(c).alias(c) for c in cols])
+    if watermark:
+        timed = timed.withWatermark("_ts", watermark)
+    long = timed.unpivot(["_ts"], list(cols), "column", "category")
+    return (long.groupBy(F.window("_ts", window).alias("w"), "column", "category")
+                .agg(F.count(F.lit(1)).alias("a_cnt"))
+                .select(F.col("w.start").alias("window_start"),
+                        F.col("w.end").alias("window_end"), "column", "category", "a_cnt"))
+
+
+def window_chi_square(counts: DataFrame, base_counts: DataFrame) -> DataFrame:
+    """Chi-square per (window, column): the 2 x K table over the union of the
+    baseline's and the window's categories (absent ones count 0)."""
+    keys = ["window_start", "window_end", "column"]
+    windows = counts.select(*keys).distinct()
+    # Every window meets all baseline categories of its column; Spark's own
+    # size check picks the join side to broadcast.
+    grid = windows.join(base_counts, "column")
+    cells = grid.join(counts, keys + ["category"], "full_outer").select(
+        *keys, "category", F.coalesce("e_cnt", F.lit(0)).alias("n_base"),
+        F.coalesce("a_cnt", F.lit(0)).alias("n_new"))
+    return chi_square_finish(chi_square_stats(cells, keys, broadcast_totals=False), keys)
+
+
+def chi_square_by_window_batch(df: DataFrame, ts_col: str, cols: Sequence[str],
+                               base: DataFrame, window: str = "1 day") -> DataFrame:
+    return window_chi_square(window_category_counts(df, ts_col, cols, window),
+                             fit_category_baseline(base, cols))
+
+
+def chi_square_by_window_stream(stream: DataFrame, ts_col: str, cols: Sequence[str],
+                                base: DataFrame, sink_path: str, checkpoint: str,
+                                window: str = "1 day", watermark: str = "1 hour",
+                                available_now: bool = True):
+    """Streaming form: closed windows' chi-square rows appended to Parquet."""
+    base_counts = fit_category_baseline(base, cols).cache()
+    counts = window_category_counts(stream, ts_col, cols, window, watermark)
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        window_chi_square(batch, base_counts).write.mode("append").parquet(sink_path)
+
+    writer = (counts.writeStream.outputMode("append").foreachBatch(per_batch)
+              .option("checkpointLocation", checkpoint))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

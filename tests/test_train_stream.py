@@ -234,3 +234,22 @@ def test_report_prepare_both_and_include_new(spark):
                               include_new=True)
     assert d.collect()[0].retrained and d2.collect()[0].retrained
     assert res2.metrics["test_rows"] > res.metrics["test_rows"]
+
+
+def test_window_chi_square_stream_equals_batch(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    base = ev.where(F.col("ts") < F.lit("2024-01-08 00:00:00").cast("timestamp_ntz"))
+    batch = {(r.window_start, r.column): (r.statistic, r.p_value, r.k)
+             for r in SD.chi_square_by_window_batch(ev, "ts", ["event_type"], base).collect()}
+    stream = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
+              .parquet(SF_SMALL))
+    sink = scratch_path(spark, "csink")
+    SD.chi_square_by_window_stream(stream, "ts", ["event_type"], base, sink,
+                                   scratch_path(spark, "cck")).awaitTermination()
+    got = {(r.window_start, r.column): (r.statistic, r.p_value, r.k)
+           for r in spark.read.parquet(sink).collect()}
+    assert len(batch) - 1 <= len(got) <= len(batch)
+    for key, (stat, p, k) in got.items():
+        assert k == batch[key][2]
+        assert stat == pytest.approx(batch[key][0], rel=1e-12)
+        assert p == pytest.approx(batch[key][1], abs=1e-12)
