@@ -74,17 +74,16 @@ class FeatureSpec:
                                       outputCol=self.features_col, handleInvalid="keep"))
         return stages
 
-    def check(self, df: DataFrame, numeric_nulls: bool = True) -> None:
-        """One aggregation: nulls in numeric inputs, category counts."""
-        aggs = []
+    def check(self, df: DataFrame, numeric_nulls: bool = True) -> int:
+        """One aggregation: nulls in numeric inputs, category counts. Returns
+        the row count."""
+        aggs = [F.count(F.lit(1)).alias("_rows")]
         if numeric_nulls:
             aggs += [F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double")))
                      .alias(f"n_{i}") for i, c in enumerate(self.numeric)]
         if self.max_categories:
             aggs += [F.approx_count_distinct(c).alias(f"k_{i}")
                      for i, c in enumerate(self.categorical)]
-        if not aggs:
-            return
         row = df.agg(*aggs).collect()[0]
         if numeric_nulls:
             bad = [c for i, c in enumerate(self.numeric) if row[f"n_{i}"]]
@@ -96,6 +95,7 @@ class FeatureSpec:
             if wide:
                 raise HighCardinalityError(
                     f"more than {self.max_categories} categories in {wide}")
+        return int(row["_rows"])
 
     def fit(self, df: DataFrame, check: bool = True) -> PipelineModel:
         prepared = self.prepare(df)

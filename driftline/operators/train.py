@@ -42,13 +42,17 @@ def classifier(model_type: str = "logreg", max_iter: int = MAX_ITER,
     raise ValueError(f"unknown model type {model_type!r}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Iterative fits read the training rows once per iteration: when they
-    come in fewer partitions than the cluster can run at once (a few large
-    files), spread them over all cores with one round-robin shuffle. Inputs
-    that are already wide enough are left as they are."""
+SPREAD_MIN_ROWS = 100_000
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Iterative fits read the training rows once per iteration: when there
+    are many rows (``SPREAD_MIN_ROWS``) in fewer partitions than the cluster
+    can run at once (a few large files), spread them over all cores with one
+    round-robin shuffle. Small inputs stay as they are: for them the extra
+    tasks per iteration cost more than they save."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if rows >= SPREAD_MIN_ROWS and df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
 
@@ -82,13 +86,20 @@ def fit(df: DataFrame, spec: FeatureSpec, model_type: str = "logreg", *,
     if use_cv and split_key:
         train_df = train_df.withColumn("_fold", fold_column(split_key, seed, folds))
     # Every pipeline stage, iteration, fold and grid point re-reads the
-    # training rows: spread them if needed and keep them for the fit. The
-    # null / cardinality check is the first reader.
-    train_df = spread(train_df).persist(StorageLevel.MEMORY_AND_DISK)
+    # training rows: keep them for the fit. The null / cardinality check is
+    # the first reader and counts them; large inputs in few partitions are
+    # then spread over all cores (read from the cached copy).
+    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
     stages = spec.stages()
     t0 = time.time()
     try:
-        spec.check(train_df, numeric_nulls=True)
+        rows = spec.check(train_df, numeric_nulls=True)
+        spread_df = spread(train_df, rows)
+        if spread_df is not train_df:
+            spread_df = spread_df.persist(StorageLevel.MEMORY_AND_DISK)
+            spread_df.count()
+            train_df.unpersist()
+            train_df = spread_df
         if use_cv:
             lr = classifier("logreg", max_iter=max_iter)
             grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_grid))
