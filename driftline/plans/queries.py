@@ -95,12 +95,15 @@ EVENTS_BASE_END = "2024-01-08 00:00:00"
 # ---------------------------------------------------------------------------
 
 def q_psi_numeric(spark, sf_dir):
+    """PSI of lineitem numerics (baseline: ship year <= 1998), with a constant and a
+    two-valued column."""
     sides, cols = lineitem_psi_frame(spark, sf_dir)
     out = D.psi(sides, cols)
     return out.select("column", "n_base", "n_new", F.round("psi", 6).alias("psi"), "status")
 
 
 def q_bin_edges(spark, sf_dir):
+    """The fitted decile edges of the lineitem baseline, one row per edge."""
     sides, cols = lineitem_psi_frame(spark, sf_dir)
     base_long = D.to_long(sides.where(F.col(D.SIDE) == D.BASE), cols)
     edges = D.BinEdges.fit(base_long, cols)
@@ -108,6 +111,7 @@ def q_bin_edges(spark, sf_dir):
 
 
 def q_histogram(spark, sf_dir):
+    """Bin counts per side, plus out-of-range counts (bin -1)."""
     sides, cols = lineitem_psi_frame(spark, sf_dir)
     edges = D.BinEdges.fit(D.to_long(sides.where(F.col(D.SIDE) == D.BASE), cols), cols)
     h = D.histogram(sides, cols, edges)
@@ -123,6 +127,8 @@ def _chi(sides, cols, source):
 
 
 def q_chi_square_categorical(spark, sf_dir):
+    """Chi-square for events.event_type (K=5), orders status/priority (K=3, 5) and
+    lineitem flags (K=2 with Yates, K=3)."""
     ev = table(spark, sf_dir, "events")
     ev_sides = D.split_sides(ev, F.col("ts") < ntz(EVENTS_SPLIT), ["event_type"])
     od = table(spark, sf_dir, "orders")
@@ -143,14 +149,17 @@ def orders_report(spark, sf_dir):
 
 
 def q_drift_report(spark, sf_dir):
+    """The report over orders: baseline before 1998, ids and the date left out."""
     return orders_report(spark, sf_dir)
 
 
 def q_drift_any(spark, sf_dir):
+    """Whether any column of the orders report drifted."""
     return jobs.any_drift(orders_report(spark, sf_dir))
 
 
 def q_drift_report_json(spark, sf_dir):
+    """The orders report as one nested JSON text."""
     return jobs.report_json(orders_report(spark, sf_dir))
 
 
@@ -163,6 +172,7 @@ def q_drift_report_mismatch(spark, sf_dir):
 
 
 def q_drift_by_window(spark, sf_dir):
+    """PSI of events.value per day window against the first seven days."""
     ev = table(spark, sf_dir, "events")
     base = ev.where(F.col("ts") < ntz(EVENTS_BASE_END))
     out = SD.drift_by_window_batch(ev, "ts", ["value"], base, "1 day")
@@ -194,6 +204,7 @@ BASE_CATEGORICAL = ["l_returnflag", "l_linestatus"]
 
 
 def q_prep_fill_constant(spark, sf_dir):
+    """Allow-list projection and constant fills on lineitem with injected nulls."""
     return jobs.prepare(lineitem_with_nulls(spark, sf_dir), PREP_KEEP, PREP_FILLS)
 
 
@@ -203,10 +214,12 @@ def _baseline(spark, sf_dir):
 
 
 def q_baseline_median_unknown(spark, sf_dir):
+    """Baseline export: list-order projection, exact median and 'Unknown' fills."""
     return _baseline(spark, sf_dir)
 
 
 def q_baseline_median_approx(spark, sf_dir):
+    """The same with approxQuantile medians (relative error 0.01)."""
     return jobs.baseline(lineitem_with_nulls(spark, sf_dir), BASE_COLS, BASE_NUMERIC,
                          BASE_CATEGORICAL, relative_error=0.01, exact=False)
 
@@ -220,6 +233,7 @@ def q_baseline_csv(spark, sf_dir):
 
 
 def q_parquet_roundtrip(spark, sf_dir):
+    """customer written as Parquet and read back."""
     cust = table(spark, sf_dir, "customer")
     path = scratch_path(spark, "customer-parquet")
     io.write_parquet(cust, path)
@@ -227,6 +241,7 @@ def q_parquet_roundtrip(spark, sf_dir):
 
 
 def q_csv_roundtrip(spark, sf_dir):
+    """customer written as a CSV folder and read back with its schema."""
     cust = table(spark, sf_dir, "customer")
     path = scratch_path(spark, "customer-csv")
     io.write_csv(cust, path)
@@ -261,11 +276,13 @@ def _orders_encoded(spark, sf_dir):
 
 
 def q_category_index(spark, sf_dir):
+    """Category indexes of orders priority and status."""
     enc = _orders_encoded(spark, sf_dir)
     return enc.select("o_orderkey", "o_orderpriority_idx", "o_orderstatus_idx")
 
 
 def q_one_hot(spark, sf_dir):
+    """One-hot slot and size of orders priority and status."""
     enc = _orders_encoded(spark, sf_dir)
     return enc.select("o_orderkey",
                       FE.hot_slot("o_orderpriority_ohe").alias("priority_slot"),
@@ -275,6 +292,7 @@ def q_one_hot(spark, sf_dir):
 
 
 def q_assembled(spark, sf_dir):
+    """Non-zero slots of the assembled lineitem feature vector."""
     li = lineitem_labeled(spark, sf_dir)
     enc = FE.encode(li, lineitem_spec())
     return FE.vector_slots(enc, "features", ["l_orderkey", "l_linenumber"])
@@ -292,6 +310,7 @@ def q_family_features(spark, sf_dir):
 
 
 def q_hash_split(spark, sf_dir):
+    """md5 hash buckets and train flags of orders keys."""
     od = table(spark, sf_dir, "orders")
     from ..functions.exprs import hash_bucket, hash_split
     # md5 form: the same buckets in any engine (the oracle recomputes them).
@@ -310,16 +329,19 @@ def _scored_rule(spark, sf_dir):
 
 
 def q_accuracy(spark, sf_dir):
+    """Accuracy of the rule l_quantity > 25 against the noisy label."""
     acc = E.accuracy(_scored_rule(spark, sf_dir))
     return acc.select(F.round("accuracy", 6).alias("accuracy"), F.col("n").cast("long"))
 
 
 def q_auc_exact(spark, sf_dir):
+    """Exact ROC AUC of l_quantity as a score for the noisy label."""
     auc = E.auc_exact(_scored_rule(spark, sf_dir), "label", "score")
     return auc.select(F.round("auc", 6).alias("auc"), "positives", "negatives")
 
 
 def q_confusion(spark, sf_dir):
+    """Confusion matrix of the same rule."""
     return E.confusion(_scored_rule(spark, sf_dir))
 
 
@@ -329,11 +351,13 @@ def _train(spark, sf_dir, model_type, cv=False):
 
 
 def q_train_logreg(spark, sf_dir):
+    """Logistic regression on lineitem features; coefficients and intercept."""
     res = _train(spark, sf_dir, "logreg")
     return TR.coefficients(spark, res.model, lineitem_spec())
 
 
 def q_train_forest(spark, sf_dir):
+    """Random forest (100 trees, seeded) on lineitem features; importances."""
     res = _train(spark, sf_dir, "random_forest")
     return TR.coefficients(spark, res.model, lineitem_spec())
 
@@ -366,6 +390,7 @@ def _fitted_model_path(spark, sf_dir):
 
 
 def q_score_batch(spark, sf_dir):
+    """Fit, save, load, and score every lineitem row."""
     path = _fitted_model_path(spark, sf_dir)
     model = io.load_model(path)
     li = lineitem_labeled(spark, sf_dir)
@@ -379,6 +404,7 @@ def lineitem_stream(spark, sf_dir):
 
 
 def q_score_stream(spark, sf_dir):
+    """The same model over lineitem read as a file stream."""
     path = _fitted_model_path(spark, sf_dir)
     stream = lineitem_stream(spark, sf_dir).select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
