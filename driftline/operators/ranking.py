@@ -25,7 +25,7 @@ _PID = "_dl_pid"
 
 def running_totals(df: DataFrame, order_col: str | Sequence[str], sum_cols: Sequence[str],
                    by: Sequence[str] = (), num_partitions: int | None = None,
-                   suffix: str = "_cum") -> DataFrame:
+                   suffix: str = "_cum", bounded_groups: bool = True) -> DataFrame:
     """Add inclusive running sums ``<c><suffix>`` of ``sum_cols`` in
     ``order_col`` order (one column or several) within each ``by`` group.
 
@@ -33,8 +33,10 @@ def running_totals(df: DataFrame, order_col: str | Sequence[str], sum_cols: Sequ
     distinct running sums in arbitrary order (like ``row_number``); callers
     that need exact ranks aggregate first, so a hot value is one row.
     Shuffles: one range exchange on ``(by, order)`` and one hash exchange on
-    ``(partition, by)`` for the in-partition window; the partition offsets
-    are a broadcast of at most ``num_partitions + groups`` rows.
+    ``(partition, by)`` for the in-partition window. The partition offsets
+    have at most ``num_partitions + groups`` rows: broadcast when the caller
+    knows the groups are few (``bounded_groups``, e.g. monitored columns),
+    else the join strategy is left to Spark's runtime size check.
     """
     spark = df.sparkSession
     n_parts = num_partitions or shuffle_partitions(spark)
@@ -57,12 +59,13 @@ def running_totals(df: DataFrame, order_col: str | Sequence[str], sum_cols: Sequ
         F.col(_PID).alias("_dl_opid"), *[F.col(c).alias(f"_dl_k_{c}") for c in by],
         *[F.coalesce(F.sum(f"_dl_t_{c}").over(before), F.lit(0)).alias(f"_dl_o_{c}")
           for c in sum_cols])
-    # Bounded: one row per (range partition, group) pair that has data. Group
-    # keys match null-safely, so a null group keeps its rows.
+    # One row per (range partition, group) pair that has data. Group keys
+    # match null-safely, so a null group keeps its rows.
     cond = F.col(_PID) == F.col("_dl_opid")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_dl_k_{c}"))
-    joined = ranged.join(F.broadcast(offsets), on=cond, how="inner")
+    joined = ranged.join(F.broadcast(offsets) if bounded_groups else offsets, on=cond,
+                         how="inner")
     within = Window.partitionBy(_PID, *by).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = joined.select(
