@@ -337,6 +337,23 @@ FROM fin"""
 
 CHI_SQUARE_BY_WINDOW = _chi_square_by_window()
 
+def _report_by_window():
+    psi_part = DRIFT_BY_WINDOW.replace(
+        'SELECT window_day, col AS "column", n_new, round(psi, 6) AS psi, ' + PSI_STATUS
+        + ' AS status\nFROM fin',
+        'SELECT window_day, col AS "column", \'numeric\' AS kind, round(psi, 4) AS psi, '
+        'CAST(NULL AS DOUBLE) AS statistic, CAST(NULL AS INTEGER) AS dof, '
+        'CAST(NULL AS DOUBLE) AS p_value, ' + PSI_STATUS + ' AS status\nFROM fin')
+    chi_part = CHI_SQUARE_BY_WINDOW.replace(
+        'SELECT window_day, col AS "column", k, dof, round(statistic, 6) AS statistic,',
+        'SELECT window_day, col AS "column", \'categorical\' AS kind, '
+        'CAST(NULL AS DOUBLE) AS psi, round(statistic, 6) AS statistic, dof,')
+    assert psi_part != DRIFT_BY_WINDOW and chi_part != CHI_SQUARE_BY_WINDOW
+    return f"SELECT * FROM ({psi_part}) UNION ALL SELECT * FROM ({chi_part})"
+
+
+REPORT_BY_WINDOW = _report_by_window()
+
 LINEITEM_NULLS = """src AS (
   SELECT l_orderkey,
          CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_linenumber END AS l_linenumber,
@@ -488,6 +505,7 @@ ORACLE_SQL = {
     "drift_report_mismatch": DRIFT_REPORT_MISMATCH,
     "drift_by_window": DRIFT_BY_WINDOW,
     "chi_square_by_window": CHI_SQUARE_BY_WINDOW,
+    "report_by_window": REPORT_BY_WINDOW,
     "prep_fill_constant": PREP_FILL_CONSTANT,
     "baseline_median_unknown": BASELINE_MEDIAN_UNKNOWN,
     "baseline_csv": BASELINE_MEDIAN_UNKNOWN,

@@ -190,6 +190,16 @@ def q_chi_square_by_window(spark, sf_dir):
                       F.round("p_value", 6).alias("p_value"), "status")
 
 
+def q_report_by_window(spark, sf_dir):
+    """The events report per day window against the first seven days:
+    value by PSI, event_type by chi-square (ids left out)."""
+    ev = table(spark, sf_dir, "events")
+    base = ev.where(F.col("ts") < ntz(EVENTS_BASE_END))
+    out = SD.report_by_window_batch(ev, "ts", base, id_cols=["event_id", "user_id", "props"])
+    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"),
+                      "column", "kind", "psi", "statistic", "dof", "p_value", "status")
+
+
 # ---------------------------------------------------------------------------
 # Preparation, baseline, IO
 # ---------------------------------------------------------------------------
@@ -459,6 +469,7 @@ QUERIES = {
     "drift_report_mismatch": q_drift_report_mismatch,
     "drift_by_window": q_drift_by_window,
     "chi_square_by_window": q_chi_square_by_window,
+    "report_by_window": q_report_by_window,
     "prep_fill_constant": q_prep_fill_constant,
     "baseline_median_unknown": q_baseline_median_unknown,
     "baseline_median_approx": q_baseline_median_approx,
