@@ -92,14 +92,17 @@ def drift_by_window_stream(stream: DataFrame, ts_col: str, cols: Sequence[str],
                            base: DataFrame, sink_path: str, checkpoint: str,
                            window: str = "1 day", watermark: str = "1 hour",
                            method: str = "exact", available_now: bool = True):
-    """Start the streaming form; closed windows' PSI rows are appended to a
-    Parquet folder at ``sink_path``."""
+    """Start the streaming form; closed windows' PSI rows land under
+    ``sink_path`` in one folder per micro-batch (``epoch=<id>``), rewritten
+    whole if the batch is retried, so a restart never duplicates rows."""
     edges, base_counts = fit_baseline(base, cols, method)
     base_counts = base_counts.cache()  # reused by every micro-batch; tiny
     counts = window_counts(stream, ts_col, cols, edges, window, watermark)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        window_psi(batch, base_counts).write.mode("append").parquet(sink_path)
+        # One folder per micro-batch, overwritten on a retry: exactly once.
+        out = f"{sink_path.rstrip('/')}/epoch={epoch_id}"
+        window_psi(batch, base_counts).write.mode("overwrite").parquet(out)
 
     writer = (counts.writeStream.outputMode("append").foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint))
@@ -164,7 +167,8 @@ def chi_square_by_window_stream(stream: DataFrame, ts_col: str, cols: Sequence[s
     counts = window_category_counts(stream, ts_col, cols, window, watermark)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        window_chi_square(batch, base_counts).write.mode("append").parquet(sink_path)
+        out = f"{sink_path.rstrip('/')}/epoch={epoch_id}"
+        window_chi_square(batch, base_counts).write.mode("overwrite").parquet(out)
 
     writer = (counts.writeStream.outputMode("append").foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint))
