@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import hash_bucket, hash_split, tolerant_double
 from ..operators import drift as D
 from ..operators import evaluate as E
 from ..operators import features as FE
@@ -269,7 +270,6 @@ def q_na_tokens_cast(spark, sf_dir):
     path = scratch_path(spark, "events-csv")
     io.write_csv(ev.select("event_id", txt.alias("txt")), path)
     back = io.read_csv(spark, path)  # pandas NA tokens, inferred types
-    from ..functions.exprs import tolerant_double
     return back.select(F.col("event_id").cast("long").alias("event_id"),
                        F.col("txt").isNull().alias("txt_is_null"),
                        tolerant_double("txt", 0.0).alias("parsed"))
@@ -322,7 +322,6 @@ def q_family_features(spark, sf_dir):
 def q_hash_split(spark, sf_dir):
     """md5 hash buckets and train flags of orders keys."""
     od = table(spark, sf_dir, "orders")
-    from ..functions.exprs import hash_bucket, hash_split
     # md5 form: the same buckets in any engine (the oracle recomputes them).
     return od.select("o_orderkey", hash_bucket("o_orderkey", 42, method="md5").alias("bucket"),
                      hash_split("o_orderkey", 42, 0.8, method="md5").alias("is_train"))
