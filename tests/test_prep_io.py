@@ -98,3 +98,8 @@ def test_json_report_sink(spark):
     df = spark.createDataFrame([("a", 0.1)], "column string, psi double")
     io.write_json_report(df, path)
     assert spark.read.json(path).collect()[0].psi == 0.1
+
+
+def test_missing_model(spark):
+    with pytest.raises(io.MissingInput):
+        io.load_model(scratch_path(spark, "no-model"))
