@@ -27,9 +27,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_documents(docs, out_col="found")
     base_kinds = [r.kind for r in secrets.BASE_RULES]
     base = F.filter("found", lambda s: s["kind"].isin(base_kinds))
-    count = {k: F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint") for k in base_kinds}
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint")
+
     return found.select(
-        "doc_id", *(count[k].alias(f"n_{k}") for k in base_kinds),
+        "doc_id", *(count(k).alias(f"n_{k}") for k in base_kinds),
         _hex(_span_text(base).cast("binary")).alias("base_sha256"),
         _span_text(F.col("found")).alias("spans"))
 
