@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, quality, secrets, sharding, token_counts
+from driftline.llm import arc, bpe, omh, quality, secrets, sharding, token_counts
 from driftline.llm.common import table
+from driftline.session import scratch_path
 
 SHARDS = 8
 TOKEN_LIMIT = 2048
@@ -54,6 +55,19 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _hex(bpe.decode(F.col("ids"), path, pattern)).alias("decoded_sha256"))
 
 
+def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arcs, warcs = scratch_path(spark, "arc"), scratch_path(spark, "warc")
+    arc.write_arc(table(spark, sf_dir, "pages"), arcs, "page_id", "url", "html")
+    arc.arc_to_warc(spark, arcs, warcs, min_bytes=0, key_type="bigint")
+    return arc.read_warc(spark, warcs).select(
+        F.col("key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to_key").cast("bigint").alias("refers_to"))
+
+
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return omh.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -72,6 +86,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_classifier, op5_byte_bpe,
-                                   op8_token_counts, op10_sharding)}
+                                   op6_arc_to_warc, op7_order_minhash, op8_token_counts, op10_sharding)}
 
 ORACLE_SQL: dict[str, str] = {}
