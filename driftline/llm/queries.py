@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import arc, bpe, neardup, omh, quality, secrets, sharding, token_counts
+from driftline.llm import arc, bpe, neardup, omh, quality, secrets, sharding, substring, token_counts
 from driftline.llm.common import table
 from driftline.session import scratch_path
 
@@ -79,6 +79,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", _hex(F.col("kept_text").cast("binary")).alias("kept_sha256"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -90,6 +95,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_classifier, op3_minhash_neardup,
-                                   op5_byte_bpe, op6_arc_to_warc, op7_order_minhash, op8_token_counts, op10_sharding)}
+                                   op5_byte_bpe, op6_arc_to_warc, op7_order_minhash, op8_token_counts, op9_substring_dedup,
+                                   op10_sharding)}
 
 ORACLE_SQL: dict[str, str] = {}
