@@ -14,8 +14,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, quality, secrets
-from driftline.llm.common import table
+from driftline.llm import bpe, decontam, neardup, quality, secrets
+from driftline.llm.common import checkpointed, small, table
 from driftline.session import scratch_path
 
 
@@ -25,6 +25,16 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.where(quality.score(F.col("text"), model) >= 0.5)
 
 
+def stage_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the rows marked as kept; a row without doc_id always is."""
+    gone = checkpointed(neardup.group_near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+    return docs.join(small(gone), "doc_id", "left_anti").select(docs.columns)
+
+
+def stage_decontam(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.without_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
 def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Redact; ``n_chars`` follows the new text."""
     return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
@@ -36,7 +46,8 @@ def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
-STAGES = [("quality", stage_quality), ("secrets", stage_secrets), ("bpe", stage_bpe)]
+STAGES = [("quality", stage_quality), ("neardup", stage_neardup), ("decontam", stage_decontam),
+          ("secrets", stage_secrets), ("bpe", stage_bpe)]
 
 #: SQL cannot express the classifier or the byte-pair merges; the tests hold each
 #: stage against a brute-force version.

@@ -31,6 +31,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a few numbers each that may be broadcast; larger sides are shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A checkpointed frame of narrow rows, marked for broadcast if it is counted to
+    be small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def partitions(spark: SparkSession) -> int:
     """Partitions of an explicit repartition: the session's shuffle setting."""
     return max(1, shuffle_partitions(spark))

@@ -22,15 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import checkpointed, utf8_values
+from driftline.llm.common import checkpointed, small, utf8_values
 from driftline.llm.words import mix, shingles
 
 #: 44 bands of 8 bins. A pair with a similarity of 0.85 shares no bucket once in a
 #: million; unlike documents (0.5) share one in 6 of 100 cases.
 BANDS, ROWS = 44, 8
 BINS = BANDS * ROWS
-#: Node sets are looked up by broadcast up to so many nodes (8 bytes each).
-BROADCAST_NODES = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
 _LOANS = np.argsort(np.random.default_rng(3).random((BINS, BINS)), axis=1)
 SIGNATURE = "struct<n:bigint,key:binary,bands:array<bigint>>"
@@ -121,9 +119,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, hashes) of the nodes that pairs name, made anew from their texts."""
     nodes = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    if nodes.count() <= BROADCAST_NODES:
-        nodes = F.broadcast(nodes)
-    texts = docs.join(nodes, "id")
+    texts = docs.join(small(nodes), "id")
     return checkpointed(texts.select(F.col("id").alias("node"), shingle_set(F.col("text")).alias("hashes"))
                         .distinct())
 

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import arc, bpe, neardup, omh, quality, secrets, sharding, substring, token_counts
+from driftline.llm import arc, bpe, decontam, neardup, omh, quality, secrets, sharding, substring, token_counts
 from driftline.llm.common import table
 from driftline.session import scratch_path
 
@@ -50,6 +50,10 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group_near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,7 +99,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_classifier, op3_minhash_neardup,
-                                   op5_byte_bpe, op6_arc_to_warc, op7_order_minhash, op8_token_counts, op9_substring_dedup,
+                                   op4_decontamination, op5_byte_bpe, op6_arc_to_warc, op7_order_minhash, op8_token_counts, op9_substring_dedup,
                                    op10_sharding)}
 
 ORACLE_SQL: dict[str, str] = {}
