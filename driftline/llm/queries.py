@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.llm import arc, bpe, decontam, neardup, omh, quality, secrets, sharding, substring, token_counts
 from driftline.llm.common import table
+from driftline.llm.oracle import ORACLE_SQL
 from driftline.session import scratch_path
 
 SHARDS = 8
@@ -102,4 +103,4 @@ QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_classifier, op3_
                                    op4_decontamination, op5_byte_bpe, op6_arc_to_warc, op7_order_minhash, op8_token_counts, op9_substring_dedup,
                                    op10_sharding)}
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLE_SQL"]
