@@ -71,12 +71,3 @@ def fill_median(df: DataFrame, cols: Sequence[str], relative_error: float = 0.01
 def fill_unknown(df: DataFrame, cols: Sequence[str], token: str = "Unknown") -> DataFrame:
     present = [c for c in cols if c in df.columns]
     return df.na.fill({c: token for c in present}) if present else df
-
-
-def inject_nulls(df: DataFrame, key: str, every: Mapping[str, int]) -> DataFrame:
-    """Null out ``col`` on rows whose ``key % k == 0`` (test fixtures only:
-    the driver tables carry no nulls)."""
-    out = df
-    for c, k in every.items():
-        out = out.withColumn(c, F.when(F.col(key) % k == 0, F.lit(None)).otherwise(F.col(c)))
-    return out

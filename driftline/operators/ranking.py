@@ -2,12 +2,11 @@
 
 Exact quantiles (NumPy's linear interpolation, or the lower element that an
 exact ``approxQuantile`` returns) and exact ROC AUC both need the running
-count of rows in value order. A window ordered by value over a whole group
-is only used when the group's size is known to be below ``WINDOW_LIMIT``.
-Beyond that the ordered keys are range-partitioned (and checkpointed, so
-the partition ids are fixed); each partition adds the totals of the
-partitions before it (a table of at most ``P + groups`` rows), so no task
-ever holds more than one range partition.
+count of rows in value order. The ordered keys are range-partitioned (and
+checkpointed, so the partition ids are fixed); each partition adds the totals
+of the partitions before it (a table of at most ``P + groups`` rows), so no
+task ever holds more than one range partition. Inputs of every size take this
+one path.
 """
 
 from __future__ import annotations
@@ -111,57 +110,39 @@ def lower_rank(n: int, q: float) -> int:
     return max(int(math.ceil(q * n)) - 1, 0)
 
 
-WINDOW_LIMIT = 2_000_000
-
-
-def _ranked(counts: DataFrame, key_cols: Sequence[str], value_col: str, bounded: bool,
-            num_partitions: int | None) -> DataFrame:
-    """Running counts ``cnt_cum`` over a (keys..., value, cnt) table.
-
-    ``bounded=True`` means every key group is known to hold at most
-    ``WINDOW_LIMIT`` rows (checked by the caller from exact counts), so a
-    plain window per group is safe; otherwise the range-partitioned running
-    totals split groups across tasks.
-    """
-    if bounded:
-        w = (Window.partitionBy(*key_cols).orderBy(value_col)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return counts.withColumn("cnt_cum", F.sum("cnt").over(w))
-    return running_totals(counts, value_col, ["cnt"], by=list(key_cols),
-                          num_partitions=num_partitions)
-
-
-def order_statistics(df: DataFrame, key_col: str, value_col: str,
-                     ranks: dict, num_partitions: int | None = None,
-                     bounded: bool = False) -> dict:
-    """Values at the given 0-based ranks, per key, exactly.
-
-    ``ranks`` maps key → iterable of ranks. Returns key → {rank: value}.
-    Only the selected values (at most ``sum(len(ranks))`` rows) reach the
-    driver. ``bounded``: see ``_ranked``.
-    """
-    spark = df.sparkSession
+def _values_at(cum: DataFrame, key_col: str, value_col: str, ranks: dict) -> dict:
+    """key → {rank: value} from a table with running counts ``cnt_cum``. Only the
+    selected values (at most ``sum(len(ranks))`` rows) reach the driver; a rank that
+    falls on a row without value is left out."""
     wanted = [(k, int(r)) for k, rs in ranks.items() for r in sorted(set(rs))]
     if not wanted:
         return {}
-    counts = value_counts(df, key_col, value_col)
-    cum = _ranked(counts, [key_col], value_col, bounded, num_partitions)
-    key_type = df.schema[key_col].dataType.simpleString()
-    targets = spark.createDataFrame(wanted, f"{key_col} {key_type}, _dl_rank long")
+    key_type = cum.schema[key_col].dataType.simpleString()
+    targets = cum.sparkSession.createDataFrame(wanted, f"_dl_key {key_type}, _dl_rank long")
     hit = cum.join(
         F.broadcast(targets),
-        on=(cum[key_col] == targets[key_col])
-        & ((cum["cnt_cum"] - cum["cnt"]) <= targets["_dl_rank"])
-        & (targets["_dl_rank"] < cum["cnt_cum"]),
+        on=(F.col(key_col) == F.col("_dl_key"))
+        & ((F.col("cnt_cum") - F.col("cnt")) <= F.col("_dl_rank"))
+        & (F.col("_dl_rank") < F.col("cnt_cum")),
         how="inner",
-    ).select(cum[key_col].alias("k"), targets["_dl_rank"].alias("r"),
-             cum[value_col].alias("v"))
+    ).where(F.col(value_col).isNotNull())
     out: dict = {}
-    for row in hit.collect():
-        out.setdefault(row["k"], {})[int(row["r"])] = float(row["v"])
+    for k, r, v in hit.select(key_col, "_dl_rank", value_col).collect():
+        out.setdefault(k, {})[int(r)] = float(v)
     return out
 
 
+def order_statistics(df: DataFrame, key_col: str, value_col: str,
+                     ranks: dict, num_partitions: int | None = None) -> dict:
+    """Values at the given 0-based ranks, per key, exactly.
+
+    ``ranks`` maps key → iterable of ranks. Returns key → {rank: value}.
+    """
+    cum = running_totals(value_counts(df, key_col, value_col), value_col, ["cnt"],
+                         by=[key_col], num_partitions=num_partitions)
+    return _values_at(cum, key_col, value_col, ranks)
+
+
 def _positions(n: int, probs: Sequence[float], method: str):
     """Per probability: (ranks needed, how to combine them)."""
     if method == "linear":
@@ -179,124 +160,88 @@ def _combine(got: dict, plan, method: str) -> list:
     return [got[r] for r in plan]
 
 
+def disjoint(brackets: Iterable[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Closed intervals merged where they meet, ascending."""
+    out: list[tuple[float, float]] = []
+    for a, b in sorted(brackets):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def bracket_order_statistics(df: DataFrame, key_col: str, value_col: str, brackets: dict,
-                             num_partitions: int | None = None,
-                             window_limit: int | None = None) -> dict:
-    """Exact values at given ranks, looking only inside value brackets.
-
-    ``brackets`` maps key → list of (a, b, ranks): each rank is expected to
-    fall among the values in [a, b]. One pass counts, per bracket, the rows
-    below a and inside [a, b]; a second ranks the rows inside (a plain window
-    when every bracket holds at most ``window_limit`` rows, else
-    range-partitioned running totals). A rank that is not inside its bracket
-    is left out of the result (the caller falls back). Returns key →
-    {rank: value}.
+                             ranks: dict, num_partitions: int | None = None) -> dict:
+    """Exact values at given ranks, keeping only values inside brackets.
+
+    ``brackets`` maps key → disjoint ascending intervals (a, b). One pass looks each
+    row's interval up in a one-row-per-key table and counts rows per (key, interval,
+    value), where all values between two intervals are one row; running totals of
+    those counts are the rows' ranks. A rank outside the brackets is left out of the
+    result (the caller falls back). Returns key → {rank: value}.
     """
     spark = df.sparkSession
-    limit = WINDOW_LIMIT if window_limit is None else window_limit
     key_type = df.schema[key_col].dataType.simpleString()
-    tgt_rows, rank_rows = [], []
-    for k, items in brackets.items():
-        for tid, (a, b, ranks) in enumerate(items):
-            tgt_rows.append((k, tid, float(a), float(b)))
-            rank_rows += [(k, tid, int(r)) for r in sorted(set(ranks))]
-    if not tgt_rows:
+    rows = [(k, [float(a) for a, _ in iv], [float(b) for _, b in iv]) for k, iv in brackets.items()]
+    if not rows:
         return {}
-    # One row per (monitored column, quantile): bounded by the schema.
-    tdf = spark.createDataFrame(tgt_rows, f"{key_col} {key_type}, _dl_t int, _dl_a double, _dl_b double")
+    # One row per monitored column: bounded by the schema.
+    table = spark.createDataFrame(rows, f"_dl_key {key_type}, _dl_a array<double>, _dl_b array<double>")
     v = F.col(value_col)
-    valid = df.where(v.isNotNull() & ~F.isnan(v)).select(key_col, value_col)
-    met = valid.join(F.broadcast(tdf), key_col)
-    inside_rows = (v >= F.col("_dl_a")) & (v <= F.col("_dl_b"))
-    tallies = met.groupBy(key_col, "_dl_t").agg(
-        F.count_if(v < F.col("_dl_a")).alias("_dl_below"),
-        F.count_if(inside_rows).alias("_dl_inside")).collect()
-    below = {(r[key_col], r["_dl_t"]): int(r["_dl_below"]) for r in tallies}
-    largest = max((int(r["_dl_inside"]) for r in tallies), default=0)
-    local = [(k, t, r, r - below.get((k, t), 0)) for k, t, r in rank_rows]
-    rdf = spark.createDataFrame(local, f"{key_col} {key_type}, _dl_t int, _dl_r long, _dl_rr long")
-    inside = (met.where(inside_rows)
-                 .groupBy(key_col, "_dl_t", value_col).agg(F.count(F.lit(1)).alias("cnt")))
-    cum = _ranked(inside, [key_col, "_dl_t"], value_col, largest <= limit, num_partitions)
-    hit = cum.join(
-        F.broadcast(rdf),
-        on=(cum[key_col] == rdf[key_col]) & (cum["_dl_t"] == rdf["_dl_t"])
-        & ((cum["cnt_cum"] - cum["cnt"]) <= rdf["_dl_rr"]) & (rdf["_dl_rr"] < cum["cnt_cum"]),
-        how="inner",
-    ).select(cum[key_col].alias("k"), rdf["_dl_r"].alias("r"), cum[value_col].alias("v"))
-    out: dict = {}
-    for row in hit.collect():
-        out.setdefault(row["k"], {})[int(row["r"])] = float(row["v"])
-    return out
+    valid = df.where(v.isNotNull() & ~F.isnan(v)).select(key_col, v.cast("double").alias(value_col))
+    met = valid.join(F.broadcast(table), F.col(key_col) == F.col("_dl_key"))
+    at = F.size(F.filter("_dl_a", lambda a: a <= v)) - 1
+    inside = (F.col("_dl_at") >= 0) & (v <= F.get("_dl_b", F.col("_dl_at")))
+    counts = (met.withColumn("_dl_at", at)
+                 .select(key_col, "_dl_at", F.when(inside, v).alias(value_col),
+                         (~inside).alias("_dl_gap"))
+                 .groupBy(key_col, "_dl_at", "_dl_gap", value_col)
+                 .agg(F.count(F.lit(1)).alias("cnt")))
+    cum = running_totals(counts, ["_dl_at", "_dl_gap", value_col], ["cnt"], by=[key_col],
+                         num_partitions=num_partitions)
+    return _values_at(cum, key_col, value_col, ranks)
 
 
 def exact_quantiles(df: DataFrame, key_col: str, value_col: str,
                     probs: Sequence[float], method: str = "linear",
-                    num_partitions: int | None = None, accuracy: int = 10000,
-                    window_limit: int | None = None) -> dict:
+                    num_partitions: int | None = None, accuracy: int = 10000) -> dict:
     """Exact quantiles per key.
 
     ``method="linear"`` reproduces ``numpy.quantile`` (default method);
     ``method="lower"`` returns the element an exact ``approxQuantile`` returns.
     Result: key → dict(n, min, max, quantiles=[...]).
 
-    A first pass counts values per key. Keys with at most ``window_limit``
-    values (a proven bound) are ranked with one window per key over their
-    distinct values. Larger keys get a ``percentile_approx`` sketch at
-    q -/+ 3/accuracy and are ranked only inside those brackets (about
-    6/accuracy of the rows per quantile); a rank found outside its bracket
-    (the sketch's error bound failed) sends the key to whole ranking with
-    range-partitioned running totals.
+    Inputs of every size take the same two passes. The first gives count, minimum,
+    maximum and a ``percentile_approx`` sketch at q -/+ 3/accuracy per key; the second
+    ranks the values inside those brackets (about 6/accuracy of the rows per
+    quantile). A rank found outside (the sketch's error bound failed) sends the key to
+    whole ranking with running totals.
     """
-    limit = WINDOW_LIMIT if window_limit is None else window_limit
     v = F.col(value_col)
     valid = df.where(v.isNotNull() & ~F.isnan(v))
-    rows = (valid.groupBy(key_col)
-                 .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("mn"), F.max(v).alias("mx"))
-                 .collect())
-    sizes, plans, small, large = {}, {}, {}, {}
-    for row in rows:
-        k, n = row[key_col], int(row["n"])
-        sizes[k] = (n, float(row["mn"]), float(row["mx"]))
-        pairs, plans[k] = _positions(n, probs, method)
-        (small if n <= limit else large)[k] = pairs
-    stats: dict = {}
-    if small:
-        stats.update(order_statistics(valid.where(F.col(key_col).isin(list(small))), key_col,
-                                      value_col, {k: [r for p in ps for r in p]
-                                                  for k, ps in small.items()},
-                                      num_partitions, bounded=True))
-    if large:
-        delta = 3.0 / accuracy
-        lows = [min(max(q - delta, 0.0), 1.0) for q in probs]
-        highs = [min(max(q + delta, 0.0), 1.0) for q in probs]
-        sketch_probs = sorted(set(lows) | set(highs))
-        big = valid.where(F.col(key_col).isin(list(large)))
-        sketches = {r[key_col]: dict(zip(sketch_probs, [float(x) for x in r["sk"]]))
-                    for r in big.groupBy(key_col).agg(
-                        F.percentile_approx(v, sketch_probs, accuracy).alias("sk")).collect()}
-        bracketed = {}
-        for k, pairs in large.items():
-            n, mn, mx = sizes[k]
-            approx = sketches[k]
-            bracketed[k] = [(mn if lo <= 0.0 else approx[lo], mx if hi >= 1.0 else approx[hi], pair)
-                            for lo, hi, pair in zip(lows, highs, pairs)]
-        stats.update(bracket_order_statistics(big, key_col, value_col, bracketed,
-                                              num_partitions, limit))
-        missed = {}
-        for k, items in bracketed.items():
-            needed = {r for _, _, pair in items for r in pair}
-            if not needed <= set(stats.get(k, {})):
-                missed[k] = sorted(needed)
-        if missed:
-            stats.update(order_statistics(valid.where(F.col(key_col).isin(list(missed))),
-                                          key_col, value_col, missed, num_partitions,
-                                          bounded=False))
-    result = {}
-    for k, (n, mn, mx) in sizes.items():
-        result[k] = {"n": n, "min": mn, "max": mx,
-                     "quantiles": _combine(stats.get(k, {}), plans[k], method)}
-    return result
+    delta = 3.0 / accuracy
+    lows = [min(max(q - delta, 0.0), 1.0) for q in probs]
+    highs = [min(max(q + delta, 0.0), 1.0) for q in probs]
+    sketch_probs = sorted(set(lows) | set(highs))
+    sizes, plans, ranks, brackets = {}, {}, {}, {}
+    for k, n, mn, mx, found in valid.groupBy(key_col).agg(
+            F.count(F.lit(1)), F.min(v), F.max(v),
+            F.percentile_approx(v, sketch_probs, accuracy)).collect():
+        sizes[k] = (int(n), float(mn), float(mx))
+        pairs, plans[k] = _positions(int(n), probs, method)
+        ranks[k] = sorted({r for pair in pairs for r in pair})
+        sketch = dict(zip(sketch_probs, map(float, found)))
+        brackets[k] = disjoint((float(mn) if lo <= 0.0 else sketch[lo],
+                                float(mx) if hi >= 1.0 else sketch[hi])
+                               for lo, hi in zip(lows, highs))
+    stats = bracket_order_statistics(valid, key_col, value_col, brackets, ranks, num_partitions)
+    missed = {k: rs for k, rs in ranks.items() if not set(rs) <= set(stats.get(k, {}))}
+    if missed:
+        stats.update(order_statistics(valid.where(F.col(key_col).isin(list(missed))), key_col,
+                                      value_col, missed, num_partitions))
+    return {k: {"n": n, "min": mn, "max": mx, "quantiles": _combine(stats.get(k, {}), plans[k], method)}
+            for k, (n, mn, mx) in sizes.items()}
 
 
 def approx_quantiles(df: DataFrame, key_col: str, value_col: str,

@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -42,8 +43,9 @@ def get_session(master: str = "local[*]", app_name: str = "driftline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) do we create our own.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
+    leave it unset (tests): there a temporary folder is one that all threads
+    share. Elsewhere a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="driftline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

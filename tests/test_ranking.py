@@ -78,10 +78,9 @@ def test_bracketed_path_equals_whole_ranking(spark, values, method):
     probs = [i * 0.1 + 0.0 for i in range(10)] + [1.0]
     df = _frame(spark, values)
     whole = exact_quantiles(df, "column", "value", probs, method, num_partitions=3)["k"]
-    # window_limit=0 forces the sketch brackets and range-partitioned ranking
-    # inside them; a coarse sketch makes the brackets wide
+    # a coarse sketch makes the brackets wide, so that some of them meet
     br = exact_quantiles(df, "column", "value", probs, method, num_partitions=3,
-                         accuracy=200, window_limit=0)["k"]
+                         accuracy=200)["k"]
     assert br["quantiles"] == whole["quantiles"]
     if method == "linear":
         assert whole["quantiles"] == [float(x) for x in np.quantile(values, np.linspace(0, 1, 11))]
@@ -90,8 +89,35 @@ def test_bracketed_path_equals_whole_ranking(spark, values, method):
 def test_bracket_miss_falls_back(spark):
     from driftline.operators.ranking import bracket_order_statistics
     df = _frame(spark, [float(i) for i in range(100)])
-    got = bracket_order_statistics(df, "column", "value", {"k": [(10.0, 20.0, (15, 50))]}, 2)
-    assert got["k"] == {15: 15.0}      # rank 50 lies outside [10, 20]: left out
+    got = bracket_order_statistics(df, "column", "value", {"k": [(10.0, 20.0), (70.0, 71.0)]},
+                                   {"k": [15, 50, 71]}, 2)
+    assert got["k"] == {15: 15.0, 71: 71.0}      # rank 50 lies between the brackets: left out
+
+
+def test_missed_ranks_are_ranked_whole(spark, monkeypatch):
+    from driftline.operators import ranking as R
+    monkeypatch.setattr(R, "disjoint", lambda found: [(1e9, 1e9)])  # a sketch that is wrong
+    vals = [float(i) for i in range(50)]
+    got = R.exact_quantiles(_frame(spark, vals), "column", "value", [0.0, 0.3, 1.0])["k"]
+    assert got["quantiles"] == [float(x) for x in np.quantile(vals, [0, 0.3, 1])]
+
+
+def test_small_and_large_inputs_share_one_plan(spark, monkeypatch):
+    """The same operators run for 50 and for 50,000 values."""
+    from driftline.operators import ranking as R
+    seen = []
+    real = R._values_at
+
+    def watched(cum, *rest):
+        seen.append([line.split("[")[0].strip(" +-:*()0123456789") for line in
+                     cum._jdf.queryExecution().optimizedPlan().toString().splitlines()])
+        return real(cum, *rest)
+
+    monkeypatch.setattr(R, "_values_at", watched)
+    for n in (50, 50_000):
+        R.exact_quantiles(spark.range(n).selectExpr("'k' AS column", "double(id) AS value"),
+                          "column", "value", [0.1, 0.5])
+    assert len(seen) == 2 and [x.split()[0] for x in seen[0] if x] == [x.split()[0] for x in seen[1] if x]
 
 
 def test_bracket_path_with_bounded_window(spark):
@@ -100,15 +126,6 @@ def test_bracket_path_with_bounded_window(spark):
     got = exact_quantiles(_frame(spark, vals), "column", "value", probs, "linear",
                           accuracy=100)["k"]
     assert got["quantiles"] == [float(x) for x in np.quantile(vals, np.linspace(0, 1, 11))]
-    from driftline.operators import ranking as R
-    old = R.WINDOW_LIMIT
-    try:
-        R.WINDOW_LIMIT = 1000   # columns above it take the sketch; brackets fit a window
-        got = exact_quantiles(_frame(spark, vals), "column", "value", probs, "linear",
-                              accuracy=100)["k"]
-    finally:
-        R.WINDOW_LIMIT = old
-    assert got["quantiles"] == [float(x) for x in np.quantile(vals, np.linspace(0, 1, 11))]
 
 
 def test_running_totals_keep_null_groups(spark):
