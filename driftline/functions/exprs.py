@@ -53,11 +53,6 @@ def as_category(c: str | Column) -> Column:
     return F.coalesce(col_(c).cast("string"), F.lit("nan"))
 
 
-def valid_number(c: str | Column) -> Column:
-    v = col_(c)
-    return v.isNotNull() & ~F.isnan(v)
-
-
 def sum_plus(cols: Sequence[str], k: int = 1) -> Column:
     """Sum of columns plus a constant (family size = siblings + parents + 1)."""
     total = F.lit(k)
@@ -75,39 +70,43 @@ def is_alone(a: str, b: str) -> Column:
     return F.when((F.col(a) + F.col(b)) == 0, F.lit(1)).otherwise(F.lit(0))
 
 
-def hash_bucket(key: str | Column, seed: int, modulus: int = 1000,
-                method: str = "xxhash64") -> Column:
-    """Stable bucket in [0, modulus) from a hash of the key and seed.
+def hash_bucket(key: str | Column, seed: int, modulus: int = 1000) -> Column:
+    """Stable bucket in [0, modulus): the first 8 hex digits of ``md5(key:seed)``.
 
     Unlike ``randomSplit`` the result depends on the key only, not on the
-    partitioning, so a split survives re-partitioning and task retries.
-    ``method="xxhash64"`` (default) is Spark's built-in 64-bit hash, about
-    five times cheaper per row; ``method="md5"`` (first 8 hex digits of
-    ``md5(key:seed)``) gives the same buckets in any SQL engine with md5.
+    partitioning, so a split survives re-partitioning and task retries, and any
+    SQL engine with md5 gives the same one.
     """
-    if method == "md5":
-        digest = F.md5(F.concat(col_(key).cast("string"), F.lit(f":{seed}")))
-        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-                % F.lit(modulus)).cast("int")
-    if method == "xxhash64":
-        return F.pmod(F.xxhash64(col_(key), F.lit(seed)), F.lit(modulus)).cast("int")
-    raise ValueError(f"unknown hash method {method!r}")
+    digest = F.md5(F.concat(col_(key).cast("string"), F.lit(f":{seed}")))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(modulus)).cast("int")
 
 
 def hash_split(key: str | Column, seed: int = 42, train_fraction: float = 0.8,
-               modulus: int = 1000, method: str = "xxhash64") -> Column:
+               modulus: int = 1000) -> Column:
     """True for the training side."""
-    return hash_bucket(key, seed, modulus, method) < F.lit(int(round(train_fraction * modulus)))
+    return hash_bucket(key, seed, modulus) < F.lit(int(round(train_fraction * modulus)))
+
+
+# What a number looks like in text. Spark's own cast also takes a trailing D or F
+# ("33D"), which is a product code and not a number.
+WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(inf|infinity)\s*$"
+
+
+def parse_double(c: str | Column) -> Column:
+    """Text to double by ``NUMBER``; null when it is none."""
+    v = col_(c).cast("string")
+    return F.when(F.lower(v).rlike(NUMBER), F.trim(v).try_cast("double"))
 
 
 def tolerant_double(c: str | Column, default: float | None = 0.0) -> Column:
     """Parse text to double; unparsable text gives ``default`` (ANSI-safe)."""
-    parsed = col_(c).try_cast("double")
+    parsed = parse_double(c)
     return parsed if default is None else F.coalesce(parsed, F.lit(float(default)))
 
 
 def tolerant_int(c: str | Column, default: int | None = 0) -> Column:
-    parsed = col_(c).try_cast("double").try_cast("int")
+    parsed = parse_double(c).try_cast("int")
     return parsed if default is None else F.coalesce(parsed, F.lit(int(default)))
 
 

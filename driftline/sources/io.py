@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import NA_TOKENS, na_to_null
+from ..functions.exprs import NA_TOKENS, WHOLE, na_to_null, parse_double
 
 
 class MissingInput(FileNotFoundError):
@@ -53,34 +53,58 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     cleaned = raw.select(*[na_to_null(c, na_tokens).alias(c) for c in raw.columns])
     if schema is not None:
         st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-        return cleaned.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
-                                for f in st.fields])
+        return _typed(cleaned, st)
     return infer_types(cleaned)
 
 
+class UnparsableValues(ValueError):
+    """Text that does not fit the type a schema gives it."""
+
+
+def _typed(df: DataFrame, st: T.StructType) -> DataFrame:
+    """Cast text columns to a schema. Values that do not fit are counted in one
+    aggregation and refused by name, rather than turned into nulls."""
+    def cast(f):
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            return parse_double(f.name).cast(f.dataType)
+        return F.col(f.name).try_cast(f.dataType)
+
+    lost = [F.count_if(F.col(f.name).isNotNull() & cast(f).isNull()).alias(f.name) for f in st.fields]
+    row = df.agg(*lost).first() if lost else {}
+    bad = {f.name: row[f.name] for f in st.fields if row[f.name]}
+    if bad:
+        raise UnparsableValues(f"values that do not fit the schema, by column: {bad}")
+    return df.select(*[cast(f).alias(f.name) for f in st.fields])
+
+
 def infer_types(df: DataFrame) -> DataFrame:
-    """Type text columns like pandas: int if every value parses as a whole
-    number, double if every value parses as a number, else text. One
-    aggregation over all columns."""
+    """Type text columns like pandas: boolean if every value is True or False, int if
+    every value is a whole number, double if every value is a number (by pattern, so
+    that "33D" stays text), else text. One aggregation over all columns; a column
+    without values is double."""
     cols = df.columns
     if not cols:
         return df
     checks = []
-    for c in cols:
+    for i, c in enumerate(cols):
         v = F.col(c)
-        as_d = v.try_cast("double")
-        checks.append(F.count_if(v.isNotNull() & as_d.isNull()).alias(f"{c}__nonnum"))
-        checks.append(F.count_if(v.isNotNull() & (as_d.isNull() | (v.try_cast("long").isNull())))
-                      .alias(f"{c}__nonint"))
-    row = df.agg(*checks).collect()[0]
+        checks += [F.count_if(v.isNotNull() & parse_double(c).isNull()).alias(f"d{i}"),
+                   F.count_if(v.isNotNull() & ~(v.rlike(WHOLE) & F.trim(v).try_cast("long").isNotNull()))
+                   .alias(f"l{i}"),
+                   F.count_if(v.isNotNull() & ~F.lower(v).isin("true", "false")).alias(f"b{i}"),
+                   F.count(v).alias(f"n{i}")]
+    row = df.agg(*checks).first()
     out = []
-    for c in cols:
-        if row[f"{c}__nonnum"] > 0:
-            out.append(F.col(c))
-        elif row[f"{c}__nonint"] > 0:
-            out.append(F.col(c).try_cast("double").alias(c))
+    for i, c in enumerate(cols):
+        v = F.col(c)
+        if row[f"n{i}"] and not row[f"b{i}"]:
+            out.append((F.lower(v) == "true").alias(c))
+        elif row[f"n{i}"] and not row[f"l{i}"]:
+            out.append(F.trim(v).try_cast("long").alias(c))
+        elif not row[f"d{i}"]:
+            out.append(parse_double(c).alias(c))
         else:
-            out.append(F.col(c).try_cast("long").alias(c))
+            out.append(v)
     return df.select(*out)
 
 
@@ -102,8 +126,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Report rows as JSON lines (a one-row nested report stays one line)."""
-    df.write.mode(mode).json(path)
+    """Report rows as JSON lines. A frame of one text column named ``report`` (the
+    nested report) already is JSON and is written as it stands."""
+    if df.columns == ["report"] and df.dtypes[0][1] == "string":
+        df.write.mode(mode).text(path)
+    else:
+        df.write.mode(mode).option("ignoreNullFields", "false").json(path)
     return path
 
 

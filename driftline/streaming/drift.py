@@ -60,8 +60,9 @@ def window_psi(counts: DataFrame, base_counts: DataFrame) -> DataFrame:
     so every window is paired with all baseline bins of its column.
     """
     keys = ["window_start", "window_end", "column"]
-    valid = counts.where(F.col("code") >= -1)
-    n_new = valid.groupBy(*keys).agg(F.sum("a_cnt").alias("n_new"))
+    # Every window of a column counts, also one whose values are all null or NaN.
+    n_new = counts.groupBy(*keys).agg(
+        F.sum(F.when(F.col("code") >= -1, F.col("a_cnt")).otherwise(0)).alias("n_new"))
     in_range = counts.where(F.col("code") >= 0)
     # Baseline bins: at most bins x columns rows, safe to broadcast.
     grid = n_new.select(*keys).join(F.broadcast(base_counts), "column")
