@@ -3,16 +3,16 @@ derived count features and a partition-independent train/test split."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import family_size, hash_bucket, hash_split, is_alone
+from ..functions.exprs import hash_bucket, hash_split
+from .ranking import running_totals
 
 
 class NullFeatureError(ValueError):
@@ -32,21 +32,23 @@ class FeatureSpec:
     ``numeric`` go in as they are, then one one-hot block per
     ``categorical`` column (index: frequency descending, ties
     alphabetical; unseen or null values get the extra index K, whose
-    one-hot is all zeros). ``derived`` adds computed columns first.
+    one-hot is all zeros). ``derived`` (name → SQL expression) adds computed
+    columns first, as a stage of the pipeline, so a saved model scores raw
+    records. ``max_categories`` refuses wider columns (None: no limit; the labels
+    of the index then live on the driver and in the model, whatever their number;
+    ``index_categories`` indexes without that).
     """
 
     numeric: list = field(default_factory=list)
     categorical: list = field(default_factory=list)
     label: str | None = None
-    derived: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+    derived: Mapping[str, str] = field(default_factory=dict)
     features_col: str = "features"
-    max_categories: int | None = 100_000
+    max_categories: int | None = None
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Add derived columns and rename the target to ``label``."""
+        """Rename the target to ``label``."""
         out = df
-        for name, make in self.derived.items():
-            out = out.withColumn(name, make())
         if self.label and self.label != "label" and self.label in out.columns:
             out = out.withColumnRenamed(self.label, "label")
         return out
@@ -60,8 +62,23 @@ class FeatureSpec:
     def assembler_inputs(self) -> list:
         return list(self.numeric) + self.onehot_cols()
 
+    def derive(self, df: DataFrame) -> DataFrame:
+        """Add the derived columns, as the pipeline's first stage does."""
+        return SQLTransformer(statement=self._statement()).transform(df) if self.derived else df
+
+    def _statement(self) -> str:
+        made = ", ".join(f"{expression} AS `{name}`" for name, expression in self.derived.items())
+        return f"SELECT *, {made} FROM __THIS__"
+
+    def input_cols(self, df: DataFrame) -> list:
+        """The columns of ``df`` that training reads, without the others."""
+        wanted = {*self.numeric, *self.categorical, "label"}
+        if self.derived:
+            return df.columns
+        return [c for c in df.columns if c in wanted]
+
     def stages(self) -> list:
-        stages = []
+        stages = [SQLTransformer(statement=self._statement())] if self.derived else []
         if self.categorical:
             stages.append(StringIndexer(inputCols=list(self.categorical),
                                         outputCols=self.index_cols(),
@@ -84,7 +101,7 @@ class FeatureSpec:
         if self.max_categories:
             aggs += [F.approx_count_distinct(c).alias(f"k_{i}")
                      for i, c in enumerate(self.categorical)]
-        row = df.agg(*aggs).collect()[0]
+        row = self.derive(df).agg(*aggs).collect()[0]
         if numeric_nulls:
             bad = [c for i, c in enumerate(self.numeric) if row[f"n_{i}"]]
             if bad:
@@ -129,8 +146,8 @@ def serving_spec(columns: Sequence[str], target: str = "Survived") -> FeatureSpe
     numeric = [c for c in SERVE_NUMERIC if c in cols]
     derived = {}
     if "SibSp" in cols and "Parch" in cols:
-        derived = {"FamilySize": lambda: family_size("SibSp", "Parch"),
-                   "IsAlone": lambda: is_alone("SibSp", "Parch")}
+        derived = {"FamilySize": "SibSp + Parch + 1",
+                   "IsAlone": "CASE WHEN SibSp + Parch = 0 THEN 1 ELSE 0 END"}
         numeric += ["FamilySize", "IsAlone"]
     return FeatureSpec(numeric=numeric,
                        categorical=[c for c in SERVE_CATEGORICAL if c in cols],
@@ -147,25 +164,45 @@ def encode(df: DataFrame, spec: FeatureSpec, model: PipelineModel | None = None,
     return out
 
 
-def vector_slots(df: DataFrame, vector_col: str, keys: Sequence[str],
-                 nonzero_only: bool = True) -> DataFrame:
-    """Flatten a vector column to (keys..., slot, value) rows."""
-    arr = vector_to_array(F.col(vector_col), "float64")
-    out = df.select(*keys, F.posexplode(arr).alias("slot", "value"))
-    if nonzero_only:
-        out = out.where(F.col("value") != 0.0)
-    return out
-
-
-def hot_slot(vector_col: str) -> Column:
-    """Index of the 1 in a one-hot vector, null when all zeros."""
-    arr = vector_to_array(F.col(vector_col), "float64")
-    pos = F.array_position(arr, F.lit(1.0))
-    return F.when(pos > 0, (pos - 1).cast("int"))
+def index_categories(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """(``df`` with ``<c>_idx`` per column, number of categories by column).
 
-
-def vector_size(vector_col: str) -> Column:
-    return F.size(vector_to_array(F.col(vector_col), "float64")).cast("int")
+    Index by frequency, ties alphabetical; null gets the extra index K, as in the
+    pipeline. Categories are counted, ranked by distributed running totals and
+    joined back, so that no column's labels need to fit on the driver. Spark's own
+    size check picks the join.
+    """
+    sizes = {}
+    for c in cols:
+        counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("_dl_c")) \
+            .agg((-F.count(F.lit(1))).alias("_dl_n"), F.lit(1).cast("long").alias("_dl_i"))
+        ranked = running_totals(counts, ["_dl_n", "_dl_c"], ["_dl_i"], bounded_groups=True) \
+            .select("_dl_c", (F.col("_dl_i_cum") - 1).cast("double").alias("_dl_at"))
+        sizes[c] = counts.count()
+        df = df.join(ranked, F.col(c).cast("string") == F.col("_dl_c"), "left") \
+            .withColumn(f"{c}_idx", F.coalesce("_dl_at", F.lit(float(sizes[c])))).drop("_dl_c", "_dl_at")
+    return df, sizes
+
+
+def hot_slot(index_col: str, size: int) -> Column:
+    """Index of the 1 in the one-hot block of an index column, null for index K."""
+    return F.when(F.col(index_col) < size, F.col(index_col).cast("int"))
+
+
+def feature_slots(df: DataFrame, spec: FeatureSpec, model: PipelineModel,
+                  keys: Sequence[str]) -> DataFrame:
+    """The non-zero (keys..., slot, value) of encoded rows, from the numeric and index
+    columns: no vector is expanded to its whole width."""
+    labels = next((s.labelsArray for s in model.stages if hasattr(s, "labelsArray")), [])
+    slots = [F.struct(F.lit(i).alias("slot"), F.col(c).cast("double").alias("value"))
+             for i, c in enumerate(spec.numeric)]
+    at = len(slots)
+    for c, names in zip(spec.categorical, labels):
+        hot = hot_slot(f"{c}_idx", len(names))
+        slots.append(F.struct((hot + at).alias("slot"),
+                              F.when(hot.isNotNull(), 1.0).otherwise(0.0).alias("value")))
+        at += len(names)
+    return df.select(*keys, F.inline(F.array(*slots))).where("value <> 0")
 
 
 def split_by_hash(df: DataFrame, key: str, seed: int = 42, test_fraction: float = 0.2):

@@ -6,14 +6,17 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .evaluate import accuracy
 from .features import FeatureSpec, fold_column, split_by_hash
 
@@ -42,21 +45,6 @@ def classifier(model_type: str = "logreg", max_iter: int = MAX_ITER,
     raise ValueError(f"unknown model type {model_type!r}")
 
 
-SPREAD_MIN_ROWS = 100_000
-
-
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """Iterative fits read the training rows once per iteration: when there
-    are many rows (``SPREAD_MIN_ROWS``) in fewer partitions than the cluster
-    can run at once (a few large files), spread them over all cores with one
-    round-robin shuffle. Small inputs stay as they are: for them the extra
-    tasks per iteration cost more than they save."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if rows >= SPREAD_MIN_ROWS and df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 @dataclass
 class TrainResult:
     model: PipelineModel
@@ -69,9 +57,14 @@ def fit(df: DataFrame, spec: FeatureSpec, model_type: str = "logreg", *,
         seed: int = SEED, cv: bool = False, reg_grid: Sequence[float] = REG_GRID,
         elastic_grid: Sequence[float] = ELASTIC_GRID, folds: int = CV_FOLDS,
         parallelism: int = CV_PARALLELISM, max_iter: int = MAX_ITER,
-        num_trees: int = NUM_TREES) -> TrainResult:
+        num_trees: int = NUM_TREES, partitions: int | None = None) -> TrainResult:
     """Split, fit, evaluate accuracy on the held-out rows.
 
+    With ``split_key`` the training rows are hash-partitioned by the key into
+    ``partitions`` (default: the session's shuffle partitions), at every size: each
+    iteration reads them in parallel, and equal rows give equal partitions, so the
+    same rows, seed and ``partitions`` give the same model.
+
     With ``split_key`` the split is a stable hash of the key; without, it is
     ``randomSplit`` with the seed (the reference's behaviour, which depends
     on the partitioning). Cross-validation (logreg only) uses a hash fold
@@ -85,36 +78,26 @@ def fit(df: DataFrame, spec: FeatureSpec, model_type: str = "logreg", *,
     use_cv = cv and model_type == "logreg"
     if use_cv and split_key:
         train_df = train_df.withColumn("_fold", fold_column(split_key, seed, folds))
-    # Every pipeline stage, iteration, fold and grid point re-reads the
-    # training rows: keep them for the fit. The null / cardinality check is
-    # the first reader and counts them; large inputs in few partitions are
-    # then spread over all cores (read from the cached copy).
-    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
+    if split_key:
+        train_df = train_df.repartition(partitions or shuffle_partitions(df.sparkSession), split_key)
+    # Every stage, iteration, fold and grid point re-reads the training rows: keep
+    # the columns they use for the fit. The null check is the first reader.
+    kept = spec.input_cols(train_df) + (["_fold"] if use_cv and split_key else [])
+    train_df = train_df.select(*dict.fromkeys(kept)).persist(StorageLevel.MEMORY_AND_DISK)
     stages = spec.stages()
     t0 = time.time()
     try:
         rows = spec.check(train_df, numeric_nulls=True)
-        spread_df = spread(train_df, rows)
-        if spread_df is not train_df:
-            spread_df = spread_df.persist(StorageLevel.MEMORY_AND_DISK)
-            spread_df.count()
-            train_df.unpersist()
-            train_df = spread_df
         if use_cv:
             lr = classifier("logreg", max_iter=max_iter)
             grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_grid))
                     .addGrid(lr.elasticNetParam, list(elastic_grid)).build())
-            evaluator = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction",
-                                                      labelCol="label",
-                                                      metricName="areaUnderROC")
-            kwargs = dict(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=grid,
-                          evaluator=evaluator, numFolds=folds, parallelism=parallelism,
-                          seed=seed)
-            if split_key:
-                kwargs["foldCol"] = "_fold"
-            cv_model = CrossValidator(**kwargs).fit(train_df)
-            model = cv_model.bestModel
-            extra = {"cv_avg_auc": [float(x) for x in cv_model.avgMetrics]}
+            if not split_key:
+                train_df = train_df.withColumn("_fold", F.floor(F.rand(seed) * folds).cast("int")) \
+                    .persist(StorageLevel.MEMORY_AND_DISK)
+            auc = cross_validate(train_df, stages, lr, grid, folds, parallelism)
+            model = Pipeline(stages=stages + [lr.copy(grid[auc.index(max(auc))])]).fit(train_df)
+            extra = {"cv_avg_auc": auc}
         else:
             clf = classifier(model_type, max_iter=max_iter, num_trees=num_trees, seed=seed)
             model = Pipeline(stages=stages + [clf]).fit(train_df)
@@ -126,11 +109,34 @@ def fit(df: DataFrame, spec: FeatureSpec, model_type: str = "logreg", *,
     acc_row = accuracy(preds).collect()[0]
     metrics = {"model_type": model_type, "fit_time_sec": fit_time,
                "accuracy": float(acc_row["accuracy"] or 0.0),
-               "test_rows": int(acc_row["n"]),
+               "test_rows": int(acc_row["n"]), "train_rows": rows,
                "feature_count": feature_count(model, spec), **extra}
     return TrainResult(model=model, metrics=metrics, test=preds)
 
 
+def cross_validate(df: DataFrame, stages: Sequence, estimator, grid: Sequence[dict], folds: int,
+                   parallelism: int = CV_PARALLELISM) -> list[float]:
+    """Mean AUC of each grid point over the folds named in ``_fold``. The feature
+    stages are fitted once per fold; only the classifier is fitted per point."""
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol="label",
+                                              metricName="areaUnderROC")
+    totals = [0.0] * len(grid)
+    for k in range(folds):
+        features = Pipeline(stages=list(stages)).fit(df.where(F.col("_fold") != k))
+        ready = features.transform(df).select("features", "label", "_fold") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        rest, held = ready.where(F.col("_fold") != k), ready.where(F.col("_fold") == k)
+
+        def one(point: dict) -> float:
+            return evaluator.evaluate(estimator.fit(rest, point).transform(held))
+
+        with ThreadPool(parallelism) as pool:
+            for i, value in enumerate(pool.map(one, grid)):
+                totals[i] += value
+        ready.unpersist()
+    return [t / folds for t in totals]
+
+
 def final_stage(model: PipelineModel):
     return model.stages[-1] if hasattr(model, "stages") and model.stages else None
 

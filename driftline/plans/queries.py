@@ -14,15 +14,16 @@ none), written the same way in the oracle SQL.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hash_bucket, hash_split, tolerant_double
+from ..functions.exprs import hash_bucket, tolerant_double
 from ..operators import drift as D
 from ..operators import evaluate as E
 from ..operators import features as FE
 from ..operators import train as TR
-from ..operators.prep import inject_nulls
 from ..operators.runs import read_runs, run_series
 from ..session import scratch_path
 from ..sources import io
@@ -30,6 +31,14 @@ from ..streaming import drift as SD
 from ..streaming import score as SC
 from . import jobs
 
+def inject_nulls(df: DataFrame, key: str, every: Mapping[str, int]) -> DataFrame:
+    """Null out ``col`` on rows whose ``key % k == 0``."""
+    out = df
+    for c, k in every.items():
+        out = out.withColumn(c, F.when(F.col(key) % k == 0, F.lit(None)).otherwise(F.col(c)))
+    return out
+
+
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -51,7 +60,7 @@ def lineitem_psi_frame(spark, sf_dir) -> tuple[DataFrame, list]:
     cols = LINEITEM_NUMERIC + list(extra)
     li = li.select(F.col("l_shipdate"), *LINEITEM_NUMERIC,
                    *[e.alias(n) for n, e in extra.items()])
-    return D.split_sides(li, F.year("l_shipdate") <= 1998, cols), cols
+    return D.split_sides(li, lineitem_base(), cols), cols
 
 
 def lineitem_with_nulls(spark, sf_dir) -> DataFrame:
@@ -83,6 +92,11 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def lineitem_base() -> Column:
+    """Ship year <= 1998, as a comparison that reaches the scan."""
+    return F.col("l_shipdate") < ntz("1999-01-01 00:00:00")
+
+
 def orders_base() -> Column:
     return F.col("o_orderdate") < ntz("1998-01-01 00:00:00")
 
@@ -144,7 +158,7 @@ def q_chi_square_categorical(spark, sf_dir):
     od = table(spark, sf_dir, "orders")
     od_sides = D.split_sides(od, orders_base(), ["o_orderstatus", "o_orderpriority"])
     li = table(spark, sf_dir, "lineitem")
-    li_sides = D.split_sides(li, F.year("l_shipdate") <= 1998, ["l_linestatus", "l_returnflag"])
+    li_sides = D.split_sides(li, lineitem_base(), ["l_linestatus", "l_returnflag"])
     return (_chi(ev_sides, ["event_type"], "events")
             .unionByName(_chi(od_sides, ["o_orderstatus", "o_orderpriority"], "orders"))
             .unionByName(_chi(li_sides, ["l_linestatus", "l_returnflag"], "lineitem")))
@@ -288,33 +302,32 @@ def q_na_tokens_cast(spark, sf_dir):
 # Features
 # ---------------------------------------------------------------------------
 
-def _orders_encoded(spark, sf_dir):
-    od = table(spark, sf_dir, "orders")
-    spec = FE.FeatureSpec(categorical=["o_orderpriority", "o_orderstatus"])
-    return FE.encode(od, spec)
+def _orders_indexed(spark, sf_dir):
+    return FE.index_categories(table(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"])
 
 
 def q_category_index(spark, sf_dir):
     """Category indexes of orders priority and status."""
-    enc = _orders_encoded(spark, sf_dir)
+    enc, _ = _orders_indexed(spark, sf_dir)
     return enc.select("o_orderkey", "o_orderpriority_idx", "o_orderstatus_idx")
 
 
 def q_one_hot(spark, sf_dir):
     """One-hot slot and size of orders priority and status."""
-    enc = _orders_encoded(spark, sf_dir)
+    enc, k = _orders_indexed(spark, sf_dir)
     return enc.select("o_orderkey",
-                      FE.hot_slot("o_orderpriority_ohe").alias("priority_slot"),
-                      FE.vector_size("o_orderpriority_ohe").alias("priority_size"),
-                      FE.hot_slot("o_orderstatus_ohe").alias("status_slot"),
-                      FE.vector_size("o_orderstatus_ohe").alias("status_size"))
+                      FE.hot_slot("o_orderpriority_idx", k["o_orderpriority"]).alias("priority_slot"),
+                      F.lit(k["o_orderpriority"]).alias("priority_size"),
+                      FE.hot_slot("o_orderstatus_idx", k["o_orderstatus"]).alias("status_slot"),
+                      F.lit(k["o_orderstatus"]).alias("status_size"))
 
 
 def q_assembled(spark, sf_dir):
     """Non-zero slots of the assembled lineitem feature vector."""
     li = lineitem_labeled(spark, sf_dir)
-    enc = FE.encode(li, lineitem_spec())
-    return FE.vector_slots(enc, "features", ["l_orderkey", "l_linenumber"])
+    spec = lineitem_spec()
+    model = spec.fit(li)
+    return FE.feature_slots(FE.encode(li, spec, model), spec, model, ["l_orderkey", "l_linenumber"])
 
 
 def q_family_features(spark, sf_dir):
@@ -325,15 +338,16 @@ def q_family_features(spark, sf_dir):
                        (F.col("l_linenumber") - 1).alias("SibSp"),
                        (F.round(F.col("l_tax") * 100).cast("int") % 3).alias("Parch"))
     spec = FE.serving_spec(counts.columns)
-    return spec.prepare(counts).select("l_orderkey", "l_linenumber", "FamilySize", "IsAlone")
+    return spec.derive(counts).select("l_orderkey", "l_linenumber", "FamilySize", "IsAlone")
 
 
 def q_hash_split(spark, sf_dir):
     """md5 hash buckets and train flags of orders keys."""
     od = table(spark, sf_dir, "orders")
-    # md5 form: the same buckets in any engine (the oracle recomputes them).
-    return od.select("o_orderkey", hash_bucket("o_orderkey", 42, method="md5").alias("bucket"),
-                     hash_split("o_orderkey", 42, 0.8, method="md5").alias("is_train"))
+    bucket = hash_bucket("o_orderkey", 42).alias("bucket")
+    train, test = FE.split_by_hash(od, "o_orderkey", 42, 0.2)  # the jobs' own split
+    return train.select("o_orderkey", bucket, F.lit(True).alias("is_train")) \
+        .unionByName(test.select("o_orderkey", bucket, F.lit(False).alias("is_train")))
 
 
 # ---------------------------------------------------------------------------
@@ -417,8 +431,10 @@ def q_score_batch(spark, sf_dir):
 
 def lineitem_stream(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    return (spark.readStream.schema(li.schema).option("pathGlobFilter", "lineitem.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    # A pattern that only the table's own path meets: a source with a pattern reads a
+    # single file as well as a folder of part files.
+    return (spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 8)
+            .parquet(f"{sf_dir.rstrip('/')}/lineitem.parque[t]"))
 
 
 def q_score_stream(spark, sf_dir):
@@ -438,11 +454,11 @@ def q_retrain_decision(spark, sf_dir):
     """Drift gate over lineitem numerics (baseline: ship year <= 1998);
     retrains on the whole labelled table only when drift is found."""
     li = lineitem_labeled(spark, sf_dir)
-    base_cond = F.year("l_shipdate") <= 1998
+    base_cond = lineitem_base()
     base = li.where(base_cond).select(*LINEITEM_NUMERIC)
     new = li.where(~base_cond).select(*LINEITEM_NUMERIC)
     decision, _ = jobs.retrain_on_drift(base, new, li, lineitem_spec(), split_key="row_key")
-    return decision
+    return decision.select("drift", "check_failed", "forced", "retrained")
 
 
 def q_run_series(spark, sf_dir):

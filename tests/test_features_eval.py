@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from driftline.operators import evaluate as E
@@ -14,7 +15,7 @@ def test_index_order_and_unseen(spark):
     model = spec.fit(train)
     test = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("zz",), (None,)], "s string")
     out = {r.s: r for r in FE.encode(test, spec, model).select(
-        "s", "s_idx", FE.hot_slot("s_ohe").alias("slot"), FE.vector_size("s_ohe").alias("size")).collect()}
+        "s", "s_idx", FE.hot_slot("s_idx", 4).alias("slot"), F.size(vector_to_array("s_ohe")).alias("size")).collect()}
     # frequency desc, ties alphabetical: a, b (2 each), c, d (1 each)
     assert [out[k].s_idx for k in "abcd"] == [0.0, 1.0, 2.0, 3.0]
     assert out["zz"].s_idx == 4.0 and out[None].s_idx == 4.0
@@ -33,8 +34,8 @@ def test_assembler_keeps_nulls_and_fit_guard(spark):
     from driftline.operators.train import fit
     df = spark.createDataFrame([(None, 1.0, 0.0), (2.0, 1.0, 1.0)], "a double, b double, label double")
     spec = FE.FeatureSpec(numeric=["a", "b"], label="label")
-    arr = FE.vector_slots(FE.encode(df, spec), "features", ["b"], nonzero_only=False).collect()
-    assert any(np.isnan(r.value) for r in arr)
+    arr = FE.encode(df, spec).collect()
+    assert any(np.isnan(x) for r in arr for x in r.features.toArray())
     many = spark.createDataFrame([(None if i % 5 == 0 else float(i), 1.0, float(i % 2))
                                   for i in range(60)], "a double, b double, label double")
     with pytest.raises(FE.NullFeatureError):
@@ -44,7 +45,7 @@ def test_assembler_keeps_nulls_and_fit_guard(spark):
 def test_derived_family_columns(spark):
     df = spark.createDataFrame([(1, 0), (0, 0), (None, 1)], "SibSp int, Parch int")
     spec = FE.serving_spec(df.columns)
-    out = spec.prepare(df).collect()
+    out = spec.derive(df).collect()
     assert [(r.FamilySize, r.IsAlone) for r in out] == [(2, 0), (1, 1), (None, 0)]
 
 

@@ -154,8 +154,8 @@ def test_retrain_gate(spark):
     base = df.select("x1", "x2")
     shifted = df.select((F.col("x1") + 3).alias("x1"), "x2")
     d, res = jobs.retrain_on_drift(base, shifted, df, spec, split_key="k")
-    assert d.collect()[0].asDict() == {"drift": True, "check_failed": False, "forced": False,
-                                      "retrained": True}
+    assert d.collect()[0].asDict() == {"drift": True, "check_failed": False, "check_error": None,
+                                      "forced": False, "retrained": True}
     assert res is not None
     d, res = jobs.retrain_on_drift(base, base, df, spec, split_key="k")
     assert d.collect()[0].retrained is False and res is None
@@ -177,7 +177,7 @@ def test_records_to_frame_and_score(spark):
     spec = FE.serving_spec(train.columns)
     res = TR.fit(train.withColumn("k", F.monotonically_increasing_id()), spec, "logreg",
                  split_key="k")
-    out = SC.score_batch(res.model, spec.prepare(df)).collect()
+    out = SC.score_batch(res.model, df).collect()
     assert [r.prediction for r in out] in ([1, 0], [0, 0], [1, 1], [0, 1])
     assert all(len(r.probability) == 2 for r in out)
 
