@@ -227,6 +227,8 @@ report AS (
   FROM c_out)"""
 
 DRIFT_REPORT = f"WITH {ORDERS_REPORT_CTES}\nSELECT * FROM report"
+DRIFT_REPORT_FILE = (f"WITH {ORDERS_REPORT_CTES}\nSELECT kind AS section, \"column\", "
+                     "coalesce(psi, p_value) AS value, status FROM report")
 DRIFT_ANY = (f"WITH {ORDERS_REPORT_CTES}\nSELECT coalesce(bool_or(status = 'drift'), false) "
              "AS drift FROM report")
 
@@ -289,6 +291,15 @@ fin AS (
 SELECT window_day, col AS "column", n_new, round(psi, 6) AS psi, {PSI_STATUS} AS status
 FROM fin"""
 
+_ALL_DAYS = """nw AS (SELECT d.window_day, 'value' AS col, coalesce(sum(w.a_cnt), 0) AS n_new
+       FROM (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS window_day FROM nulled) d
+       LEFT JOIN wc w ON w.window_day = d.window_day GROUP BY ALL)"""
+DRIFT_BY_WINDOW_NULLS = DRIFT_BY_WINDOW.replace("FROM events", "FROM nulled").replace(
+    "WITH src AS", """WITH nulled AS (SELECT ts, CASE WHEN strftime(ts, '%Y-%m-%d')
+    NOT IN ('2024-01-10', '2024-01-20') THEN value END AS value FROM events), src AS""", 1).replace(
+    "nw AS (SELECT window_day, col, sum(a_cnt) AS n_new FROM wc GROUP BY ALL)", _ALL_DAYS)
+
+
 def _chi_square_by_window():
     cell = ("pow(abs(CAST({o} AS DOUBLE) - CAST({r} AS DOUBLE) * cat_total / total) - "
             "CASE WHEN k = 2 THEN least(CAST(0.5 AS DOUBLE), abs(CAST({o} AS DOUBLE) - "
@@ -479,6 +490,20 @@ SELECT coalesce(bool_or(psi > 0.25), false) AS drift, false AS check_failed, fal
        coalesce(bool_or(psi > 0.25), false) AS retrained
 FROM p_out"""
 
+RETRAIN_JOB = f"""SELECT d.drift, true AS retrained, count(*) AS scored, CAST(1 AS BIGINT) AS runs,
+       count(*) AS dataset_rows, 4 AS reported
+FROM lineitem, ({RETRAIN_DECISION}) d GROUP BY d.drift"""
+
+SCORE_STREAM_VS_BATCH = "SELECT count(*) AS scored, CAST(0 AS BIGINT) AS different FROM lineitem"
+
+_TRAIN_ROWS = """t AS (SELECT *, CAST(l_quantity + (l_orderkey * 7 + l_linenumber * 13) % 41 - 20 > 25 AS DOUBLE) AS y
+  FROM lineitem WHERE CAST(CAST('0x' || substr(md5((l_orderkey * 8 + l_linenumber) || ':42'), 1, 8)
+       AS BIGINT) % 1000 AS INTEGER) < 800)"""
+TRAIN_LOGREG_MOMENTS = f"WITH {_TRAIN_ROWS}\n" + " UNION ALL ".join(
+    f"SELECT '{n}' AS feature, round(avg({x} * y), 6) AS moment FROM t" for n, x in [
+        ("(intercept)", "1.0"), ("l_quantity", "l_quantity"), ("l_discount", "l_discount"), ("l_tax", "l_tax"),
+        *((f"l_returnflag={v}", f"CAST(l_returnflag = '{v}' AS DOUBLE)") for v in "ANR")])
+
 RUN_SERIES = """WITH r AS (
   SELECT o_orderpriority AS experiment,
          strftime(o_orderdate + to_seconds(o_orderkey), '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
@@ -506,6 +531,11 @@ ORACLE_SQL = {
     "drift_by_window": DRIFT_BY_WINDOW,
     "chi_square_by_window": CHI_SQUARE_BY_WINDOW,
     "report_by_window": REPORT_BY_WINDOW,
+    "drift_by_window_nulls": DRIFT_BY_WINDOW_NULLS,
+    "drift_report_file": DRIFT_REPORT_FILE,
+    "score_stream_vs_batch": SCORE_STREAM_VS_BATCH,
+    "train_logreg_moments": TRAIN_LOGREG_MOMENTS,
+    "retrain_job": RETRAIN_JOB,
     "prep_fill_constant": PREP_FILL_CONSTANT,
     "baseline_median_unknown": BASELINE_MEDIAN_UNKNOWN,
     "baseline_csv": BASELINE_MEDIAN_UNKNOWN,

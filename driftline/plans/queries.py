@@ -187,6 +187,18 @@ def q_drift_report_json(spark, sf_dir):
     return jobs.report_json(orders_report(spark, sf_dir))
 
 
+def q_drift_report_file(spark, sf_dir):
+    """The orders report written as a JSON file and read back as rows."""
+    path = scratch_path(spark, "report-json")
+    io.write_json_report(jobs.report_json(orders_report(spark, sf_dir)), path)
+    back = spark.read.schema("numeric map<string,struct<psi:double,status:string>>, "
+                             "categorical map<string,struct<p_value:double,status:string>>").json(path)
+    parts = [back.select(F.lit(s).alias("section"), F.explode(s).alias("column", "v"))
+             .select("section", "column", F.col(f"v.{f}").alias("value"), "v.status")
+             for s, f in (("numeric", "psi"), ("categorical", "p_value"))]
+    return parts[0].unionByName(parts[1])
+
+
 def q_drift_report_mismatch(spark, sf_dir):
     """The orders report when the new batch carries o_totalprice as text:
     that column is reported as type_mismatch, the others are tested."""
@@ -204,6 +216,19 @@ def q_drift_by_window(spark, sf_dir):
                       "column", "n_new", F.round("psi", 6).alias("psi"), "status")
 
 
+NULL_DAYS = ("2024-01-10", "2024-01-20")
+
+
+def q_drift_by_window_nulls(spark, sf_dir):
+    """The same when two days have no value at all: their rows say insufficient_data."""
+    ev = table(spark, sf_dir, "events")
+    ev = ev.withColumn("value", F.when(~F.date_format("ts", "yyyy-MM-dd").isin(*NULL_DAYS), F.col("value")))
+    base = ev.where(F.col("ts") < ntz(EVENTS_BASE_END))
+    out = SD.drift_by_window_batch(ev, "ts", ["value"], base, "1 day")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"),
+                      "column", "n_new", F.round("psi", 6).alias("psi"), "status")
+
+
 def q_chi_square_by_window(spark, sf_dir):
     """event_type per day window against the first seven days."""
     ev = table(spark, sf_dir, "events")
@@ -388,6 +413,23 @@ def q_train_logreg(spark, sf_dir):
     return TR.coefficients(spark, res.model, lineitem_spec())
 
 
+def q_train_logreg_moments(spark, sf_dir):
+    """Mean of feature x label over the training rows, where the fitted probabilities
+    give the same mean to 0.1 % (the condition of an unpenalised fit); else theirs."""
+    res = _train(spark, sf_dir, "logreg")
+    train, _ = FE.split_by_hash(lineitem_labeled(spark, sf_dir), "row_key", TR.SEED, TR.TEST_FRACTION)
+    p = SC.score_batch(res.model, train, ["l_quantity", "l_discount", "l_tax", "l_returnflag", "label"])
+    p = p.select("*", F.get("probability", F.lit(1)).alias("p"))
+    parts = {"(intercept)": F.lit(1.0), **{c: F.col(c) for c in ("l_quantity", "l_discount", "l_tax")},
+             **{f"l_returnflag={v}": (F.col("l_returnflag") == v).cast("double") for v in "ANR"}}
+    row = p.agg(*[F.struct(F.avg(x * F.col("p")).alias("fit"), F.avg(x * F.col("label")).alias("true"))
+                  .alias(n) for n, x in parts.items()])
+    long = row.select(F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`.fit"),
+                                                  F.col(f"`{n}`.true")) for n in parts])))
+    near = F.abs(F.col("fit") - F.col("true")) <= 1e-3 * F.abs("true")
+    return long.select("feature", F.round(F.when(near, F.col("true")).otherwise(F.col("fit")), 6).alias("moment"))
+
+
 def q_train_forest(spark, sf_dir):
     """Random forest (100 trees, seeded) on lineitem features; importances."""
     res = _train(spark, sf_dir, "random_forest")
@@ -450,6 +492,37 @@ def q_score_stream(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+def q_score_stream_vs_batch(spark, sf_dir):
+    """How many lineitem rows the stream scored, and how many of them unlike the batch."""
+    path, sink = _fitted_model_path(spark, sf_dir), scratch_path(spark, "scored")
+    keys = ["l_orderkey", "l_linenumber"]
+    SC.score_stream(spark, lineitem_stream(spark, sf_dir), path, sink, scratch_path(spark, "scored-ckpt"),
+                    keys=keys).awaitTermination()
+    batch = SC.score_batch(io.load_model(path), table(spark, sf_dir, "lineitem"), keys)
+    # Keys repeat in lineitem: compare how often each scored row comes on either side.
+    both = spark.read.parquet(sink).withColumn("n", F.lit(1)).unionByName(batch.withColumn("n", F.lit(-1)))
+    rows = both.groupBy(*keys, "prediction", "probability").agg(
+        F.count_if(F.col("n") > 0).alias("scored"), F.abs(F.sum("n")).alias("different"))
+    return rows.agg(F.sum("scored").alias("scored"), F.sum("different").alias("different"))
+
+
+def q_retrain_job(spark, sf_dir):
+    """A forced retrain with all its outputs: the run row, the published pointer, the
+    saved model and the report, each read back."""
+    li = lineitem_labeled(spark, sf_dir)
+    paths = {f"{k}_path": scratch_path(spark, f"retrain-{k}") for k in ("report", "runs", "model", "pointer")}
+    decision, _ = jobs.retrain_on_drift(
+        li.where(lineitem_base()).select(*LINEITEM_NUMERIC), li.where(~lineitem_base()).select(*LINEITEM_NUMERIC),
+        li, lineitem_spec(), split_key="row_key", force=True, **paths)
+    model = SC.read_pointer(spark, paths["pointer_path"])
+    scored = SC.score_batch(io.load_model(model), li).agg(F.count("prediction").alias("scored"))
+    runs = spark.read.parquet(paths["runs_path"]).agg(F.count("*").alias("runs"), F.max("dataset_rows").alias("dataset_rows"))
+    report = spark.read.schema("numeric map<string,struct<psi:double,status:string>>").json(paths["report_path"]) \
+        .select(F.size("numeric").alias("reported"))
+    one = [d.withColumn("one", F.lit(1)) for d in (decision.select("drift", "retrained"), scored, runs, report)]
+    return one[0].join(one[1], "one").join(one[2], "one").join(one[3], "one").drop("one")
+
+
 def q_retrain_decision(spark, sf_dir):
     """Drift gate over lineitem numerics (baseline: ship year <= 1998);
     retrains on the whole labelled table only when drift is found."""
@@ -491,8 +564,10 @@ QUERIES = {
     "drift_report": q_drift_report,
     "drift_any": q_drift_any,
     "drift_report_json": q_drift_report_json,
+    "drift_report_file": q_drift_report_file,
     "drift_report_mismatch": q_drift_report_mismatch,
     "drift_by_window": q_drift_by_window,
+    "drift_by_window_nulls": q_drift_by_window_nulls,
     "chi_square_by_window": q_chi_square_by_window,
     "report_by_window": q_report_by_window,
     "prep_fill_constant": q_prep_fill_constant,
@@ -511,10 +586,13 @@ QUERIES = {
     "auc_exact": q_auc_exact,
     "confusion": q_confusion,
     "train_logreg": q_train_logreg,
+    "train_logreg_moments": q_train_logreg_moments,
     "train_forest": q_train_forest,
     "cross_validate": q_cross_validate,
     "score_batch": q_score_batch,
     "score_stream": q_score_stream,
+    "score_stream_vs_batch": q_score_stream_vs_batch,
+    "retrain_job": q_retrain_job,
     "retrain_decision": q_retrain_decision,
     "run_series": q_run_series,
 }
