@@ -319,9 +319,10 @@ def chi_square_stats(table: DataFrame, keys: Sequence[str] = ("column",),
     column when keys = (column,), bounded by the schema; for other keys
     (e.g. windows) Spark's own size check decides."""
     keys = list(keys)
+    # A cell may stand for several categories (``kinds``) that one side lacks.
+    kinds = F.sum("kinds") if "kinds" in table.columns else F.count(F.lit(1))
     totals = table.groupBy(*keys).agg(
-        F.sum("n_base").alias("r_base"), F.sum("n_new").alias("r_new"),
-        F.count(F.lit(1)).alias("k"))
+        F.sum("n_base").alias("r_base"), F.sum("n_new").alias("r_new"), kinds.alias("k"))
     cells = table.join(F.broadcast(totals) if broadcast_totals else totals, keys)
     total = (F.col("r_base") + F.col("r_new")).cast("double")
     cat_total = (F.col("n_base") + F.col("n_new")).cast("double")

@@ -141,15 +141,24 @@ def window_category_counts(df: DataFrame, ts_col: str, cols: Sequence[str],
 
 def window_chi_square(counts: DataFrame, base_counts: DataFrame) -> DataFrame:
     """Chi-square per (window, column): the 2 x K table over the union of the
-    baseline's and the window's categories (absent ones count 0)."""
+    baseline's and the window's categories (absent ones count 0).
+
+    Categories that a window lacks are one pooled cell: without a correction a
+    category of c baseline rows adds c * n_new / n_base, which is linear in c, and
+    with K = 2 (Yates) there is one such category at most. So a window has as many
+    rows as its own categories plus one, however many the baseline has.
+    """
     keys = ["window_start", "window_end", "column"]
-    windows = counts.select(*keys).distinct()
-    # Every window meets all baseline categories of its column; Spark's own
-    # size check picks the join side to broadcast.
-    grid = windows.join(base_counts, "column")
-    cells = grid.join(counts, keys + ["category"], "full_outer").select(
-        *keys, "category", F.coalesce("e_cnt", F.lit(0)).alias("n_base"),
-        F.coalesce("a_cnt", F.lit(0)).alias("n_new"))
+    present = counts.join(base_counts, ["column", "category"], "left").select(
+        *keys, F.coalesce("e_cnt", F.lit(0)).alias("n_base"), F.col("a_cnt").alias("n_new"),
+        F.lit(1).cast("long").alias("kinds"), F.col("e_cnt").isNotNull().cast("long").alias("known"))
+    # One row per monitored column.
+    base = base_counts.groupBy("column").agg(F.sum("e_cnt").alias("rows"), F.count("*").alias("all"))
+    absent = present.groupBy(*keys).agg(F.sum("n_base").alias("met"), F.sum("known").alias("known")) \
+        .join(F.broadcast(base), "column") \
+        .select(*keys, (F.col("rows") - F.col("met")).alias("n_base"), F.lit(0).cast("long").alias("n_new"),
+                (F.col("all") - F.col("known")).alias("kinds")).where("kinds > 0")
+    cells = present.drop("known").unionByName(absent)
     return chi_square_finish(chi_square_stats(cells, keys, broadcast_totals=False), keys)
 
 

@@ -127,3 +127,17 @@ def test_index_categories_matches_the_indexer(spark):
     got, sizes = FE.index_categories(df, ["s"])
     assert sizes == {"s": 4}
     assert {(r.s, r.s_idx) for r in got.collect()} == {("a", 0.0), ("b", 1.0), ("c", 2.0), ("d", 3.0), (None, 4.0)}
+
+
+@pytest.mark.parametrize("kinds", [2, 3, 40])
+def test_window_chi_square_with_absent_categories(spark, kinds):
+    """Windows that lack most of the baseline's categories, against the plain table."""
+    from driftline.operators import drift as D
+    base = spark.range(400).selectExpr("timestamp '2024-01-01 00:00:00' AS ts", f"string(pmod(id * id, {kinds})) AS c")
+    new = spark.range(90).selectExpr("timestamp '2024-01-02 00:00:00' AS ts",
+                                     f"CASE WHEN id % 30 = 0 THEN 'new' ELSE string(pmod(id, 2)) END AS c") \
+        if kinds > 2 else spark.range(50).selectExpr("timestamp '2024-01-02 00:00:00' AS ts", "'0' AS c")
+    got = SD.chi_square_by_window_batch(new, "ts", ["c"], base).first()
+    want = D.chi_square(D.sided(base, new, ["c"]), ["c"]).first()
+    assert (got.k, got.dof, got.n_base, got.n_new, got.status) == (want.k, want.dof, want.n_base, want.n_new, want.status)
+    assert got.statistic == pytest.approx(want.statistic, rel=1e-12) and got.p_value == pytest.approx(want.p_value, rel=1e-9)
