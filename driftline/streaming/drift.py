@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import as_category, clip_share, psi_status
 from ..operators.drift import (BASE, SIDE, BinEdges, chi_square_finish, chi_square_stats,
-                               coded_long, histogram, to_long)
+                               coded_long, column_kinds, histogram, to_long)
 
 
 def fit_baseline(base: DataFrame, cols: Sequence[str], method: str = "exact"):
@@ -197,24 +197,66 @@ def report_by_window_batch(df: DataFrame, ts_col: str, base: DataFrame,
     """(window_start, window_end, column, kind, psi, statistic, dof, p_value,
     status) for every column but the event time and ids; numeric columns get
     PSI (4 places), the others chi-square (6 places), as in the batch report."""
-    from ..operators.drift import column_kinds
     cols = [c for c in base.columns if c != ts_col and c not in set(id_cols)]
     num, cat = column_kinds(base, cols)
+    return _report(drift_by_window_batch(df, ts_col, num, base, window, method) if num else None,
+                   chi_square_by_window_batch(df, ts_col, cat, base, window) if cat else None)
+
+
+def _report(psi: DataFrame | None, chi: DataFrame | None) -> DataFrame:
+    """PSI and chi-square rows per window in the report's columns."""
+    keys = ["window_start", "window_end", "column"]
     parts = []
-    if num:
-        p = drift_by_window_batch(df, ts_col, num, base, window, method)
-        parts.append(p.select(
-            "window_start", "window_end", "column", F.lit("numeric").alias("kind"),
-            F.round("psi", 4).alias("psi"), F.lit(None).cast("double").alias("statistic"),
-            F.lit(None).cast("int").alias("dof"), F.lit(None).cast("double").alias("p_value"),
+    if psi is not None:
+        parts.append(psi.select(
+            *keys, F.lit("numeric").alias("kind"), F.round("psi", 4).alias("psi"),
+            F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("int").alias("dof"),
+            F.lit(None).cast("double").alias("p_value"), "status"))
+    if chi is not None:
+        parts.append(chi.select(
+            *keys, F.lit("categorical").alias("kind"), F.lit(None).cast("double").alias("psi"),
+            F.round("statistic", 6).alias("statistic"), "dof", F.round("p_value", 6).alias("p_value"),
             "status"))
-    if cat:
-        c = chi_square_by_window_batch(df, ts_col, cat, base, window)
-        parts.append(c.select(
-            "window_start", "window_end", "column", F.lit("categorical").alias("kind"),
-            F.lit(None).cast("double").alias("psi"), F.round("statistic", 6).alias("statistic"),
-            "dof", F.round("p_value", 6).alias("p_value"), "status"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def report_by_window_stream(stream: DataFrame, ts_col: str, base: DataFrame, sink_path: str,
+                            checkpoint: str, id_cols: Sequence[str] = (), window: str = "1 day",
+                            watermark: str = "1 hour", method: str = "exact",
+                            available_now: bool = True):
+    """Start the streaming form of the report: one query keeps the counts of both kinds of
+    columns, and each micro-batch writes the rows of its closed windows to its own folder."""
+    cols = [c for c in base.columns if c != ts_col and c not in set(id_cols)]
+    num, cat = column_kinds(base, cols)
+    edges, bins = fit_baseline(base, num, method) if num else (None, None)
+    categories = fit_category_baseline(base, cat).cache() if cat else None
+    bins = bins.cache() if num else None
+    ts = F.col(ts_col).cast("timestamp")
+    timed = stream.select(ts.alias("_ts"), *num, *[as_category(c).alias(c) for c in cat]) \
+        .withWatermark("_ts", watermark)
+    parts = []
+    if num:
+        parts.append(coded_long(timed, num, edges, ids=["_ts"])
+                     .withColumn("category", F.lit(None).cast("string")))
+    if cat:
+        parts.append(timed.unpivot(["_ts"], list(cat), "column", "category")
+                     .select("_ts", "column", F.lit(None).cast("int").alias("code"), "category"))
+    long = parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+    counts = long.groupBy(F.window("_ts", window).alias("w"), "column", "code", "category") \
+        .agg(F.count(F.lit(1)).alias("a_cnt")) \
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                "column", "code", "category", "a_cnt")
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        psi = window_psi(batch.where("code IS NOT NULL").drop("category"), bins) if num else None
+        chi = window_chi_square(batch.where("category IS NOT NULL").drop("code"), categories) if cat else None
+        _report(psi, chi).write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/epoch={epoch_id}")
+
+    writer = (counts.writeStream.outputMode("append").foreachBatch(per_batch)
+              .option("checkpointLocation", checkpoint))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -141,3 +141,23 @@ def test_window_chi_square_with_absent_categories(spark, kinds):
     want = D.chi_square(D.sided(base, new, ["c"]), ["c"]).first()
     assert (got.k, got.dof, got.n_base, got.n_new, got.status) == (want.k, want.dof, want.n_base, want.n_new, want.status)
     assert got.statistic == pytest.approx(want.statistic, rel=1e-12) and got.p_value == pytest.approx(want.p_value, rel=1e-9)
+
+
+def test_report_stream_equals_batch(spark, tmp_path):
+    rows = spark.range(3000).selectExpr(
+        "timestamp '2024-01-01 00:00:00' + make_dt_interval(0, 0, id * 3) AS ts",
+        "CASE WHEN id BETWEEN 960 AND 1439 THEN NULL ELSE double(id * 37 % 101) END AS v",
+        "string(id % 4) AS c", "id")
+    rows.write.parquet(str(tmp_path / "t.parquet"))
+    df = spark.read.parquet(str(tmp_path / "t.parquet"))
+    base = df.where("ts < '2024-01-02'")
+    sink = scratch_path(spark, "report-stream")
+    SD.report_by_window_stream(
+        spark.readStream.schema(df.schema).parquet(str(tmp_path / "t.parquet")), "ts", base, sink,
+        scratch_path(spark, "report-ckpt"), id_cols=["id"]).awaitTermination()
+    got = spark.read.parquet(sink).drop("epoch")
+    want = SD.report_by_window_batch(df, "ts", base, id_cols=["id"])
+    last = df.agg(F.max(F.col("ts") - F.expr("interval 1 hour"))).first()[0]
+    closed = want.where(F.col("window_end") <= F.lit(last))
+    assert sorted(map(tuple, got.select(*closed.columns).collect()), key=str) == sorted(map(tuple, closed.collect()), key=str)
+    assert got.where("status = 'insufficient_data'").count() >= 1 and got.count() >= 8
