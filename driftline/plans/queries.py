@@ -50,19 +50,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Fixtures derived from the tables
 # ---------------------------------------------------------------------------
 
-def lineitem_psi_frame(spark, sf_dir) -> tuple[DataFrame, list]:
-    """Sided lineitem numerics plus a constant and a two-valued column."""
+def lineitem_numbers(spark, sf_dir) -> tuple[DataFrame, list]:
+    """Lineitem numerics with the ship date, a constant and a two-valued column."""
     li = table(spark, sf_dir, "lineitem")
     extra = {
         "const_one": F.col("l_quantity") * F.lit(0.0) + F.lit(1.0),
         "flag_r": F.when(F.col("l_returnflag") == "R", F.lit(1.0)).otherwise(F.lit(0.0)),
     }
     cols = LINEITEM_NUMERIC + list(extra)
-    li = li.select(F.col("l_shipdate"), *LINEITEM_NUMERIC,
-                   *[e.alias(n) for n, e in extra.items()])
+    return li.select("l_shipdate", *LINEITEM_NUMERIC, *[e.alias(n) for n, e in extra.items()]), cols
+
+
+def lineitem_psi_frame(spark, sf_dir) -> tuple[DataFrame, list]:
+    """The same, sided."""
+    li, cols = lineitem_numbers(spark, sf_dir)
     return D.split_sides(li, lineitem_base(), cols), cols
 
 
+def lineitem_edges(spark, sf_dir, method: str = "exact") -> D.BinEdges:
+    """Edges of the baseline; its date filter reaches the scan."""
+    li, cols = lineitem_numbers(spark, sf_dir)
+    return D.BinEdges.fit(D.to_long(li.where(lineitem_base()), cols), cols, method=method)
+
+
 def lineitem_with_nulls(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return inject_nulls(li, "l_orderkey", {"l_quantity": 7, "l_discount": 5,
@@ -113,7 +123,7 @@ def q_psi_numeric(spark, sf_dir):
     """PSI of lineitem numerics (baseline: ship year <= 1998), with a constant and a
     two-valued column."""
     sides, cols = lineitem_psi_frame(spark, sf_dir)
-    out = D.psi(sides, cols)
+    out = D.psi(sides, cols, edges=lineitem_edges(spark, sf_dir))
     return out.select("column", "n_base", "n_new", F.round("psi", 6).alias("psi"), "status")
 
 
@@ -122,22 +132,20 @@ def q_psi_numeric_approx(spark, sf_dir):
     at most n / 10000): the mode for very wide continuous columns. Edges are
     data values, so no SQL oracle reproduces them."""
     sides, cols = lineitem_psi_frame(spark, sf_dir)
-    out = D.psi(sides, cols, method="approx")
+    out = D.psi(sides, cols, edges=lineitem_edges(spark, sf_dir, "approx"))
     return out.select("column", "n_base", "n_new", F.round("psi", 6).alias("psi"), "status")
 
 
 def q_bin_edges(spark, sf_dir):
     """The fitted decile edges of the lineitem baseline, one row per edge."""
-    sides, cols = lineitem_psi_frame(spark, sf_dir)
-    base_long = D.to_long(sides.where(F.col(D.SIDE) == D.BASE), cols)
-    edges = D.BinEdges.fit(base_long, cols)
+    edges = lineitem_edges(spark, sf_dir)
     return edges.to_df(spark).select("column", "edge_index", F.round("edge", 6).alias("edge"))
 
 
 def q_histogram(spark, sf_dir):
     """Bin counts per side, plus out-of-range counts (bin -1)."""
     sides, cols = lineitem_psi_frame(spark, sf_dir)
-    edges = D.BinEdges.fit(D.to_long(sides.where(F.col(D.SIDE) == D.BASE), cols), cols)
+    edges = lineitem_edges(spark, sf_dir)
     h = D.histogram(sides, cols, edges)
     return h.where(F.col("code") >= -1).select(
         "column", "side", F.col("code").alias("bin"), F.col("cnt").cast("long").alias("cnt"))

@@ -45,3 +45,9 @@ def test_chi_square_p_value_stays_in_the_jvm(spark):
     df = spark.createDataFrame([("base", "a"), ("new", "b"), ("base", "b")], "side string, c string")
     plan = plan_of(D.chi_square(df, ["c"]))
     assert "EvalPython" not in plan
+
+
+def test_edge_fit_pushes_the_lineitem_date_to_the_scan(spark):
+    li, cols = Q.lineitem_numbers(spark, SF_MID)
+    plan = plan_of(D.to_long(li.where(Q.lineitem_base()), cols))
+    assert "LessThan(l_shipdate" in plan
