@@ -6,11 +6,12 @@ random order of its own (optimal densification). Runs of ``ROWS`` bins are bands
 documents with an equal band share a bucket.
 
 Equal sets are one node. Each bucket proposes a star: its members against one centre,
-another for each band, so that candidate edges are as many as bucket entries. Links
-are confirmed on full sets and joined into components. What stars can miss is a link
-between two members of a bucket whose components are still apart; those pairs alone,
-of members outside the bucket's largest component, are then compared as well. So
-every pair that shares a bucket is either compared or already in one component.
+so that candidate edges are as many as bucket entries. Links are confirmed on full
+sets and joined into components. What stars can miss is a link between two members of
+a bucket whose components are still apart; of those pairs, the ones with a member
+outside the bucket's largest component are then compared as well, unless their sizes
+and the shingles that only one of them has rule a link out. So every pair that shares
+a bucket is compared, ruled out exactly, or already in one component.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from driftline.llm.common import checkpointed, small, utf8_values
 from driftline.llm.words import mix, shingles
 
 #: 44 bands of 8 bins. A pair with a similarity of 0.85 shares no bucket once in a
-#: million; unlike documents (0.5) share one in 6 of 100 cases.
+#: million; unlike documents (0.5) share one in 16 of 100 cases.
 BANDS, ROWS = 44, 8
 BINS = BANDS * ROWS
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
@@ -116,12 +117,28 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(100 * both >= percent * (F.size("ha") + F.size("hb") - both)).select("a", "b")
 
 
-def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, hashes) of the nodes that pairs name, made anew from their texts."""
-    nodes = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = docs.join(small(nodes), "id")
-    return checkpointed(texts.select(F.col("id").alias("node"), shingle_set(F.col("text")).alias("hashes"))
-                        .distinct())
+def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, hashes) of some nodes, made anew from their texts; repeated rows come
+    as often, which adds nothing to what is linked."""
+    texts = docs.join(small(checkpointed(nodes)), "id")
+    return checkpointed(texts.select(F.col("id").alias("node"), shingle_set(F.col("text")).alias("hashes")))
+
+
+def _sizes(sets: DataFrame) -> DataFrame:
+    """(node, n, own): the size of a set, and how many of its shingles no other has
+    (fewer than that for repeated rows, which only loosens the bound)."""
+    alone = sets.select("node", F.explode("hashes").alias("h")).groupBy("h") \
+        .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1") \
+        .groupBy("node").agg(F.count("*").alias("own"))
+    return sets.select("node", F.size("hashes").alias("n")).join(alone, "node", "left") \
+        .select("node", "n", F.coalesce("own", F.lit(0)).alias("own")).distinct()
+
+
+def _may_link(n: str, own: str, m: str, other: str, percent: int) -> Column:
+    """Whether two sets can be alike enough: they share at most what either has in
+    common with any other set."""
+    most = F.least(F.col(n) - F.col(own), F.col(m) - F.col(other))
+    return 100 * most >= percent * (F.col(n) + F.col(m) - most)
 
 
 def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -141,24 +158,26 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     names = real.groupBy("key").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     classes = checkpointed(names)
     nodes = real.join(classes.where("copies > 1").select("key", "node"), "key", "left") \
-        .where("node IS NULL OR node = id").select("id", "n", "bands")
-    entries = nodes.select(F.col("id").alias("node"), "n", F.explode("bands").alias("bucket"))
-    # A bucket's centre is its smallest node after an exclusive or with the bucket's
-    # own hash, so each band has another one.
-    turn = F.xxhash64("bucket")
-    centres = entries.groupBy("bucket").agg(F.count("*").alias("members"),
-                                            F.min(F.col("node").bitwiseXOR(turn)).alias("low")) \
-        .where("members > 1").select("bucket", F.col("low").bitwiseXOR(turn).alias("centre"))
-    shared = checkpointed(entries.join(centres, "bucket"))
-    sized = shared.select("node", "n").distinct()
-    star = _alike(shared.where("node <> centre").select(
-        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), sized, percent)
-    star = checkpointed(star)
-    links = checkpointed(_linked(star, _sets(docs, star), percent))
-    roots = components(links)
-    rest = checkpointed(_alike(_apart(shared, roots), sized, percent))
+        .where("node IS NULL OR node = id")
+    entries = nodes.select(F.col("id").alias("node"), F.explode("bands").alias("bucket"))
+    several = entries.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = checkpointed(entries.join(several.select("bucket"), "bucket"))
+    sets = _sets(docs, shared.select(F.col("node").alias("id")).distinct())
+    members = checkpointed(shared.join(_sizes(sets), "node"))
+    # A bucket's centre has the smallest share of shingles that no other node has:
+    # of the copies of one text, that nearest to it. Among equals, each band takes
+    # another one.
+    centres = members.groupBy("bucket").agg(F.min_by(
+        F.struct(F.col("node").alias("centre"), F.col("n").alias("nc"), F.col("own").alias("oc")),
+        F.struct(F.col("own") / F.col("n"), F.col("node").bitwiseXOR(F.xxhash64("bucket")))).alias("c")) \
+        .select("bucket", "c.*")
+    placed = checkpointed(members.join(centres, "bucket"))
+    star = placed.where(F.col("node") != F.col("centre")).where(_may_link("n", "own", "nc", "oc", percent)) \
+        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    roots = components(checkpointed(_linked(checkpointed(star), sets, percent)))
+    rest = checkpointed(_apart(placed, roots, percent))
     if not rest.isEmpty():
-        more = _linked(rest, _sets(docs, rest), percent)
+        more = _linked(rest, sets, percent)
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     by_key = classes.join(roots, "node", "left").where("copies > 1 OR root IS NOT NULL") \
         .select("key", F.coalesce("root", "node").alias("root"))
@@ -168,23 +187,23 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
         .alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _alike(pairs: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes allow the similarity (the smaller set may be all shared)."""
-    a = sized.select(F.col("node").alias("a"), F.col("n").alias("na"))
-    b = sized.select(F.col("node").alias("b"), F.col("n").alias("nb"))
-    return pairs.join(a, "a").join(b, "b") \
-        .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
-
-
-def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs that share a bucket, have different roots, were in no star together, and
-    of which one is outside the bucket's largest component."""
-    placed = shared.where("node <> centre").join(roots, "node", "left") \
-        .select("bucket", "node", F.coalesce("root", "node").alias("root"))
+def _apart(placed: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a bucket and may be linked, have different roots, were in no
+    star together, and of which one is outside the bucket's largest component."""
+    placed = placed.where("node <> centre").join(roots, "node", "left") \
+        .select("bucket", "node", "n", "own", F.coalesce("root", "node").alias("root"))
     counts = placed.groupBy("bucket", "root").agg(F.count("*").alias("c"))
     largest = counts.groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("most"),
                                            F.count("*").alias("kinds")).where("kinds > 1")
-    mixed = checkpointed(placed.join(largest.drop("kinds"), "bucket"))
-    minor = mixed.where("root <> most").select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"))
-    return mixed.join(minor, "bucket").where("root <> rx") \
-        .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
+    mixed = placed.join(largest.drop("kinds"), "bucket")
+    mixed = checkpointed(mixed.join(mixed.groupBy("node").agg(F.collect_list("bucket").alias("all")), "node"))
+    minor = mixed.where("root <> most").select(
+        F.col("bucket").alias("at"), F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"),
+        F.col("own").alias("ox"), F.col("all").alias("allx"))
+    # The bound is part of the join, so that pairs it refuses are never made; the
+    # others come from the first bucket that the two share (a node has BANDS at most).
+    different = (F.col("bucket") == F.col("at")) & (F.col("root") != F.col("rx")) \
+        & _may_link("n", "own", "nx", "ox", percent) \
+        & (F.array_min(F.array_intersect("all", "allx")) == F.col("bucket"))
+    return mixed.join(minor, different).select(F.least("node", "x").alias("a"),
+                                               F.greatest("node", "x").alias("b")).distinct()
