@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import free_name, partitions, range_bounds
+from driftline.llm.common import partitions, range_bounds
 
 K, PICKS, SIZE = 8, 2, 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
@@ -113,30 +113,33 @@ def _in_line(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     bounds = range_bounds(rows, "id", n)
 
+    none = -(1 << 63)                          # stands for a missing id, the last of all
+
+    def parts_of(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        values = ids.fill_null(none).to_numpy(zero_copy_only=False)
+        return np.searchsorted(np.array(bounds, dtype=np.int64), values, side="right"), values
+
     @F.arrow_udf("int")
     def part_of(ids: pa.Array) -> pa.Array:
-        at = np.searchsorted(np.array(bounds, dtype=np.int64),
-                             ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
-        return pa.array(at.astype(np.int32))
+        return pa.array(parts_of(ids)[0].astype(np.int32))
 
-    # One row per range: the id at which it begins (null: only rows without id).
-    heads = {r.part: r.head for r in rows.select("id").groupBy(part_of("id").alias("part"))
-             .agg(F.max("id").alias("head")).collect()}
+    # One row per range: the id at which it begins.
+    heads = {r.part: none if r.head is None else r.head for r in
+             rows.select("id").groupBy(part_of("id").alias("part")).agg(F.max("id").alias("head")).collect()}
     order = sorted(heads, reverse=True)
     before = {part: order[i - 1] for i, part in enumerate(order)}  # the first follows the last
-    part = free_name(rows, "part")
-    placed = rows.withColumn(part, part_of("id"))
-    extra = F.create_map(*[F.lit(x) for p in order for x in (p, heads[p])]) if order else None
-    into = F.create_map(*[F.lit(x) for p in order for x in (p, before[p])]) if order else None
-    own = F.struct(F.col(part).alias("part"), F.lit(0).alias("halo"))
-    if order:
-        halo = F.struct(into[F.col(part)].alias("part"), F.lit(1).alias("halo"))
-        where = F.when(F.col("id").eqNullSafe(extra[F.col(part)]), F.array(own, halo)) \
-            .otherwise(F.array(own))
-    else:
-        where = F.array(own)
-    return placed.select("id", "text", F.explode(where).alias("w")) \
-        .select(F.col("w.part").alias("part"), F.col("w.halo").alias("halo"), "id", "text") \
+    place = pa.struct([("part", pa.int32()), ("halo", pa.int32())])
+
+    @F.arrow_udf("array<struct<part:int,halo:int>>")
+    def places(ids: pa.Array) -> pa.Array:
+        out = []
+        for part, value in zip(*(x.tolist() for x in parts_of(ids)), strict=True):
+            own = [{"part": part, "halo": 0}]
+            out.append(own + [{"part": before[part], "halo": 1}] if heads[part] == value else own)
+        return pa.array(out, type=pa.list_(place))
+
+    return rows.select("id", "text", F.inline(places("id"))) \
+        .select("part", "halo", "id", "text") \
         .repartitionById(n, F.col("part")) \
         .sortWithinPartitions("part", "halo", F.desc_nulls_last("id"), "text")
 
