@@ -7,8 +7,9 @@ header lines that follow. The converter reads those, synthesises what WARC wants
 addition (record ids, ISO dates, types, SHA-1 digests in base32) and turns repeated
 payloads into revisit records.
 
-Archives are gzip files in a folder, each of a bounded size, written by Spark's own
-text writer, so a lost task is simply written again. Readers go by declared lengths
+Archives are files in a folder, each of a bounded size, written by Spark's own text
+writer, so a lost task is simply written again. They are gzip files at the fastest
+level, or plain ones; readers take both. Readers go by declared lengths
 alone: a payload may hold anything, also what looks like a header.
 """
 
@@ -24,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm.common import free_name
+from driftline.llm.common import checkpointed, free_name
 
 #: Bytes of records an archive holds before the next is begun.
 ARCHIVE_BYTES = 4 << 20
 #: Parts a repeated payload's records are spread over when they look up the first.
 SALTS = 16
+#: Repeated payloads whose first records (some 250 bytes each) are broadcast.
+FEW = 50_000
 
 # The header fields that each ARC version block names.
 ARC_FIELDS = {
@@ -84,9 +87,9 @@ def _one(archive: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([archive])], names=["value"])
 
 
-def _write(archives: DataFrame, path: str, end: str) -> None:
+def _write(archives: DataFrame, path: str, end: str, compression: str) -> None:
     archives.write.mode("overwrite").option("maxRecordsPerFile", 1).option("lineSep", end) \
-        .option("compression", "gzip").text(path)
+        .option("compression", compression).option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def arc_archive(rows: list, name: str, version: int, date: str) -> str:
@@ -107,7 +110,8 @@ def arc_archive(rows: list, name: str, version: int, date: str) -> str:
 
 
 def write_arc(df: DataFrame, path: str, key_col: str, url_col: str, payload_col: str,
-              date: str = "20240101000000", version: int | None = None) -> None:
+              date: str = "20240101000000", version: int | None = None,
+              compression: str = "gzip") -> None:
     """Write rows as ARC archives below ``path``: a null key is left out of the
     record, a null url is ``-``, a null payload is empty. ``version`` None writes
     both versions by turns."""
@@ -119,7 +123,7 @@ def write_arc(df: DataFrame, path: str, key_col: str, url_col: str, payload_col:
         return arc_archive(some, name, number, date)
 
     archives = rows.mapInArrow(_archives(build, lambda r: 300 + 4 * len(r[2] or "")), "value string")
-    _write(archives, path, "\n")
+    _write(archives, path, "\n", compression)
 
 
 def read_arc_bytes(data: bytes) -> Iterator[tuple[dict[str, str], int, bytes]]:
@@ -178,7 +182,8 @@ def _parsed(spark: SparkSession, path: str, parse: Callable[[bytes], Iterator[tu
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):
-                rows = list(parse(gzip.decompress(data.as_py())))
+                archive = data.as_py()
+                rows = list(parse(gzip.decompress(archive) if archive[:2] == b"\x1f\x8b" else archive))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)], names=names)
 
@@ -197,22 +202,28 @@ def with_revisits(records: DataFrame, min_bytes: int = 0, order: Column | None =
     First is the smallest ``order`` (default: the key). Records without order value,
     with payloads below ``min_bytes``, or equal to the first in order (repeated rows)
     are no revisits. Firsts are found by an aggregation that combines on the map side
-    and reads no payload; a payload that many records share is looked up from SALTS
-    partitions.
+    and reads no payload. Up to FEW payloads that come again are broadcast, so that no
+    payload is shuffled; more are joined, with a payload that many records share
+    spread over SALTS partitions.
     """
     rank, salt, first = (free_name(records, s) for s in ("rank", "salt", "first"))
     order = F.col("key") if order is None else order
     ranked = records.withColumn(rank, F.when(F.col("payload_bytes") >= min_bytes, order))
-    firsts = ranked.where(F.col(rank).isNotNull()).groupBy("payload_digest", "payload_bytes") \
+    firsts = checkpointed(
+        ranked.where(F.col(rank).isNotNull()).groupBy("payload_digest", "payload_bytes")
         .agg(F.min_by(F.struct("record_id", "url", "date", "key"),
                       F.struct(rank, "record_id")).alias("refers_to"),
-             F.min(rank).alias(first), F.max(rank).alias("last")) \
-        .where(F.col(first) < F.col("last")).drop("last") \
-        .withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = ranked.withColumn(salt, F.pmod(F.hash("record_id"), F.lit(SALTS)))
-    joined = salted.join(firsts, ["payload_digest", "payload_bytes", salt], "left")
+             F.min(rank).alias(first), F.max(rank).alias("last"))
+        .where(F.col(first) < F.col("last")).drop("last"))
+    same = ["payload_digest", "payload_bytes"]
+    if firsts.count() <= FEW:
+        joined = ranked.join(F.broadcast(firsts), same, "left")
+    else:
+        spread = firsts.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = ranked.withColumn(salt, F.pmod(F.hash("record_id"), F.lit(SALTS))) \
+            .join(spread, [*same, salt], "left").drop(salt)
     return joined.withColumn("refers_to", F.when(F.col(rank) > F.col(first), F.col("refers_to"))) \
-        .drop(rank, salt, first)
+        .drop(rank, first)
 
 
 def warc_record(row: tuple) -> str:
@@ -237,7 +248,7 @@ def warc_record(row: tuple) -> str:
     return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers) + "\r\n" + block
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
     """Write records that have ``refers_to`` as WARC archives below ``path``."""
 
     def build(rows: list, name: str) -> str:
@@ -250,7 +261,7 @@ def write_warc(records: DataFrame, path: str) -> None:
 
     rows = records.select("key", "url", "date", "head", "payload", "record_id", "payload_digest", "refers_to")
     _write(rows.mapInArrow(_archives(build, lambda r: 800 + 4 * len(r[4])), "value string"),
-           path, "\r\n\r\n")
+           path, "\r\n\r\n", compression)
 
 
 def read_warc_bytes(data: bytes) -> Iterator[tuple]:
@@ -287,8 +298,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = 0,
-                key_type: str = "string") -> None:
+                key_type: str = "string", compression: str = "gzip") -> None:
     """Convert a folder of ARC archives; keys are ordered as ``key_type``. A folder
     without archives gives one without."""
     records = read_arc(spark, arc_path)
-    write_warc(with_revisits(records, min_bytes, F.col("key").cast(key_type)), warc_path)
+    write_warc(with_revisits(records, min_bytes, F.col("key").cast(key_type)), warc_path, compression)
