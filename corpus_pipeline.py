@@ -1,7 +1,8 @@
 """A training-data pipeline over ``documents``: five stages, each written as Parquet
 and read again by the next.
 
-1. quality   documents that the classifier rejects go
+1. quality   documents that the classifier rejects go (texts without words are scored
+             by the share of good labels)
 2. neardup   of each group of near copies the smallest doc_id stays
 3. decontam  documents that hold a benchmark passage go
 4. secrets   secrets in the texts are replaced by a mark; no document goes
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm import bpe, decontam, neardup, quality, secrets
-from driftline.llm.common import checkpointed, small, table
+from driftline.llm.common import checkpointed, in_text_batches, small, table
 from driftline.session import scratch_path
 
 
@@ -46,8 +47,9 @@ def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
-STAGES = [("quality", stage_quality), ("neardup", stage_neardup), ("decontam", stage_decontam),
-          ("secrets", stage_secrets), ("bpe", stage_bpe)]
+STAGES = [(name, in_text_batches(stage)) for name, stage in (
+    ("quality", stage_quality), ("neardup", stage_neardup), ("decontam", stage_decontam),
+    ("secrets", stage_secrets), ("bpe", stage_bpe))]
 
 #: SQL cannot express the classifier or the byte-pair merges; the tests hold each
 #: stage against a brute-force version.

@@ -3,14 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import wraps
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.session import ensure_checkpoint_dir, shuffle_partitions
 
 
+#: Rows of an Arrow batch: texts are large rows, and a batch is held on both sides.
+BATCH_ROWS = 2000
+
+
+def in_text_batches(run):
+    """A query or stage (spark, ...) that runs with Arrow batches for texts."""
+
+    @wraps(run)
+    def wrapped(spark: SparkSession, *rest):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return run(spark, *rest)
+
+    return wrapped
+
+
+_HELD: dict = {}
+
+
+def held(key, make):
+    """A worker's table for ``key``, made once and shared by its tasks. Asking for
+    another drops it: a worker holds the tables of one operator at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -56,6 +85,13 @@ def utf8_values(column: pa.Array) -> Iterator[bytes]:
         yield v.as_py() or b""
 
 
+def text_runs(column: pa.Array, most: int) -> Iterator[list[bytes]]:
+    """The texts of an Arrow column as UTF-8, in runs of about ``most`` bytes."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for a, b in by_bytes(sizes, most):
+        yield list(utf8_values(column[a:b]))
+
+
 def by_bytes(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Cut a sequence of sizes into runs [start, end) of about ``most`` bytes."""
     start = total = 0

@@ -24,21 +24,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import by_bytes, utf8_values
+from driftline.llm.common import by_bytes, held, text_runs, utf8_values
 
 #: Lengths of character n-grams; the base of their rolling hash (an odd number).
 GRAMS, BASE = (3, 4, 5), np.uint64(0x9E3779B97F4A7C15)
 #: Distances at which a word that comes again is a feature.
 REPEATS = (1, 2, 3)
-#: Words a worker keeps the features of, the longest kept, bytes scored together.
-KEPT, LONGEST, TOGETHER = 1_000_000, 64, 8 << 20
+#: Words a worker keeps the sums of, the longest kept, bytes of text that are scored
+#: together, and bytes of new words whose features are made together.
+KEPT, LONGEST, TOGETHER, WORD_BYTES = 100_000, 64, 2 << 20, 128 << 10
 
 
 @dataclass(frozen=True)
 class Settings:
     """``max_rows`` bounds the labelled sample the driver trains on."""
 
-    max_rows: int = 6000
+    max_rows: int = 4000
     buckets: int = 1 << 16
     size: int = 8
     epochs: int = 6
@@ -153,12 +154,14 @@ class Scorer:
         self.again = [model.weights[repeat_bucket(d, len(model.weights))] for d in REPEATS]
 
     def _learn(self, new: list[bytes]) -> None:
-        bucket, begins = word_features(new, len(self.model.weights))
         at = len(self.number)
+        sums, sizes = [self.sums[:at]], [self.sizes[:at]]
+        for a, b in by_bytes(map(len, new), WORD_BYTES):
+            bucket, begins = word_features(new[a:b], len(self.model.weights))
+            sums.append(np.add.reduceat(self.model.weights[bucket], begins[:-1]))
+            sizes.append(np.diff(begins))
         self.number.update(zip(new, range(at, at + len(new)), strict=True))
-        sums = np.add.reduceat(self.model.weights[bucket], begins[:-1])
-        self.sums = np.concatenate([self.sums[:at], sums])
-        self.sizes = np.concatenate([self.sizes[:at], np.diff(begins)])
+        self.sums, self.sizes = np.concatenate(sums), np.concatenate(sizes)
 
     def scores(self, texts: list[bytes]) -> list[float]:
         if len(self.number) > KEPT:
@@ -184,20 +187,14 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def score(text: Column, model: Model) -> Column:
     """Probability of label 1 of each text of a column; null is scored as empty."""
 
     @F.arrow_udf("double")
     def probability(texts: pa.Array) -> pa.Array:
-        if model.key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[model.key] = Scorer(model)
-        scorer, values, out = _SCORERS[model.key], list(utf8_values(texts)), []
-        for a, b in by_bytes(map(len, values), TOGETHER):
-            out += scorer.scores(values[a:b])
+        scorer, out = held(("quality", model.key), lambda: Scorer(model)), []
+        for run in text_runs(texts, TOGETHER):
+            out += scorer.scores(run)
         return pa.array(out, type=pa.float64())
 
     return probability(text)
@@ -232,11 +229,16 @@ def fit(df: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_co
         got = (text_features(t, buckets) for t in utf8_values(texts))
         return pa.array([{"ids": i, "shares": w} for i, w in got], type=made)
 
-    got = rows.select("id", "y", features("text").alias("f"), F.xxhash64("text").alias("h")) \
-        .select("id", "y", "h", "f.ids", "f.shares").toArrow().sort_by(
-            [("id", "ascending"), ("h", "ascending")])
-    arrays = [(np.asarray(i.values), np.asarray(w.values), int(y == 1)) for i, w, y in
-              zip(got["ids"], got["shares"], got["y"].to_pylist(), strict=True)]
+    found = rows.select("id", "y", features("text").alias("f"), F.xxhash64("text").alias("h")) \
+        .select("id", "y", "h", "f.ids", "f.shares").toArrow()
+    made = []                                  # views of the Arrow buffers, in a set order
+    for batch in found.to_batches():
+        ids, shares, ends = (batch["ids"].values.to_numpy(), batch["shares"].values.to_numpy(),
+                             batch["ids"].offsets.to_numpy())
+        made += [(key, h, ids[a:b], shares[a:b], int(y == 1)) for key, h, y, a, b in zip(
+            *(batch[c].to_pylist() for c in ("id", "h", "y")), ends[:-1], ends[1:], strict=True)]
+    made.sort(key=lambda r: r[:2])
+    arrays = [r[2:] for r in made]
     return train(arrays, settings)
 
 

@@ -18,14 +18,13 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 from re import _parser as sre
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import utf8_values
+from driftline.llm.common import held, utf8_values
 
 SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -266,10 +265,9 @@ class Automaton:
         return [(self.rules[k].kind, points[s], points[e]) for s, e, k in found]
 
 
-@lru_cache(maxsize=8)
 def automaton(rules: tuple[Rule, ...] = RULES) -> Automaton:
     """The compiled rules; compiled once per Python worker."""
-    return Automaton(rules)
+    return held(("secrets", rules), lambda: Automaton(rules))
 
 
 def find_secrets(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:

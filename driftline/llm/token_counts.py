@@ -11,18 +11,17 @@ bytes, whatever the lengths of the texts.
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import by_bytes, utf8_values
+from driftline.llm.common import by_bytes, held, text_runs
 
 #: Pieces a worker keeps the counts of, the longest it keeps, and the bytes of
 #: texts and of pieces that are handled together.
-KEPT, LONGEST, TEXT_BYTES, PIECE_BYTES = 1_000_000, 64, 8 << 20, 256 << 10
+KEPT, LONGEST, TEXT_BYTES, PIECE_BYTES = 300_000, 64, 4 << 20, 256 << 10
 
 
 class Counter:
@@ -58,10 +57,9 @@ class Counter:
         return out
 
 
-@lru_cache(maxsize=4)
 def counter(path: str) -> Counter:
     """The tokenizer, read once per Python worker. ``path`` is on every machine."""
-    return Counter(path)
+    return held(("token_counts", path), lambda: Counter(path))
 
 
 def count_tokens(text: Column, path: str) -> Column:
@@ -71,9 +69,9 @@ def count_tokens(text: Column, path: str) -> Column:
 
     @F.arrow_udf("bigint")
     def lengths(texts: pa.Array) -> pa.Array:
-        count, values, out = counter(path).counts, list(utf8_values(texts)), []
-        for a, b in by_bytes(map(len, values), TEXT_BYTES):
-            out += count(values[a:b])
+        count, out = counter(path).counts, []
+        for run in text_runs(texts, TEXT_BYTES):
+            out += count(run)
         return pa.array(np.array(out, dtype=np.int64))
 
     return lengths(text)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from driftline.llm.common import held
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
 #: Words a worker keeps the hashes of.
-KEPT = 1_000_000
+KEPT = 100_000
 
 
 class WordHashes(dict):
@@ -20,9 +22,6 @@ class WordHashes(dict):
         return got
 
 
-_HASHES = WordHashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ x >> np.uint64(32)) * _ODD
     x = (x ^ x >> np.uint64(29)) * _ODD
@@ -31,10 +30,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: bytes) -> np.ndarray:
     """Hash of each word: the runs of bytes between ASCII white space."""
-    if len(_HASHES) > KEPT:
-        _HASHES.clear()
+    hashes = held("words", WordHashes)
+    if len(hashes) > KEPT:
+        hashes.clear()
     words = text.split()
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def window_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
