@@ -3,7 +3,8 @@ and read again by the next.
 
 1. quality   documents that the classifier rejects go (texts without words are scored
              by the share of good labels)
-2. neardup   of each group of near copies the smallest doc_id stays
+2. neardup   of each group of near copies (five-word shingles, a similarity of 0.8 or
+             more) the smallest doc_id stays
 3. decontam  documents that hold a benchmark passage go
 4. secrets   secrets in the texts are replaced by a mark; no document goes
 5. bpe       token ids of the texts (the last stage: its own columns)
@@ -28,7 +29,7 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def stage_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the rows marked as kept; a row without doc_id always is."""
-    gone = checkpointed(neardup.group_near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+    gone = checkpointed(neardup.group_near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id"))
     return docs.join(small(gone), "doc_id", "left_anti").select(docs.columns)
 
 

@@ -2,8 +2,8 @@
 
 A document is its set of 5-word shingles. One hash deals the shingles into bins; each
 bin keeps its minimum, and an empty bin borrows that of the first occupied bin in a
-random order of its own (optimal densification). Runs of ``ROWS`` bins are bands, and
-documents with an equal band share a bucket.
+random order of its own (optimal densification). Runs of bins are bands, as long as the
+threshold allows (``layout``), and documents with an equal band share a bucket.
 
 Equal sets are one node. Each bucket proposes a star: its members against one centre,
 so that candidate edges are as many as bucket entries. Links are confirmed on full
@@ -17,6 +17,7 @@ a bucket is compared, ruled out exactly, or already in one component.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,40 +27,54 @@ from pyspark.sql import functions as F
 from driftline.llm.common import checkpointed, small, utf8_values
 from driftline.llm.words import mix, shingles
 
-#: 44 bands of 8 bins. A pair with a similarity of 0.85 shares no bucket once in a
-#: million; unlike documents (0.5) share one in 16 of 100 cases.
-BANDS, ROWS = 44, 8
-BINS = BANDS * ROWS
+#: Bins at most, and how often a pair at the threshold may share no bucket.
+BINS, MISSED = 352, 1e-6
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
-_LOANS = np.argsort(np.random.default_rng(3).random((BINS, BINS)), axis=1)
 SIGNATURE = "struct<n:bigint,key:binary,bands:array<bigint>>"
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
+def layout(percent: int) -> tuple[int, int]:
+    """(bands, bins of a band): the longest bands that miss a pair at the threshold once
+    in a million at most. 44 of 8 at 85 (unlike documents, at 0.5, share a bucket in 16
+    of 100 cases); 58 of 6 at 80 (2 in 100 million missed; 60 of 100)."""
+    for rows in range(BINS, 0, -1):
+        if (1 - (percent / 100) ** rows) ** (BINS // rows) <= MISSED:
+            return BINS // rows, rows
+    raise ValueError(f"{BINS} bins are too few for a similarity of {percent} percent")
+
+
+@lru_cache(maxsize=2)
+def _loans(bins: int) -> np.ndarray:
+    return np.argsort(np.random.default_rng(3).random((bins, bins)), axis=1)
+
+
+def bands(hashes: np.ndarray, count: int, rows: int) -> np.ndarray:
     """One 64-bit key per band of a non-empty set of shingle hashes."""
-    mixed = mix(hashes)
-    place = ((mixed >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-    low = np.full(BINS, np.uint64((1 << 64) - 1))
+    bins = count * rows
+    mixed, lenders = mix(hashes), _loans(bins)
+    place = ((mixed >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    low = np.full(bins, np.uint64((1 << 64) - 1))
     np.minimum.at(low, place, mixed & np.uint64((1 << 32) - 1))
     full = low != np.uint64((1 << 64) - 1)
     empty = np.flatnonzero(~full)
-    for loans in (_LOANS[:, :16], _LOANS):
+    for loans in (lenders[:, :16], lenders):
         if not len(empty):
             break
         got = full[loans[empty]]
         found = got.any(axis=1)
         low[empty[found]] = low[loans[empty[found], got[found].argmax(axis=1)]]
         empty = empty[~found]
-    table = low.reshape(BANDS, ROWS)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for r in range(ROWS):
+    table = low.reshape(count, rows)
+    keys = np.arange(1, count + 1, dtype=np.uint64)
+    for r in range(rows):
         keys = mix(keys * _ODD + table[:, r])
     return keys.view(np.int64)
 
 
-def signature(text: Column) -> Column:
+def signature(text: Column, percent: int) -> Column:
     """Set size, 128-bit hash of the set, and band keys of each text; a text without
     words has size 0 and no bands."""
+    count, rows = layout(percent)
     kind = pa.struct([("n", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     @F.arrow_udf(SIGNATURE)
@@ -68,7 +83,7 @@ def signature(text: Column) -> Column:
         for t in utf8_values(texts):
             s = shingles(t)
             out.append({"n": len(s), "key": hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                        "bands": bands(s) if len(s) else []})
+                        "bands": bands(s, count, rows) if len(s) else []})
         return pa.array(out, type=kind)
 
     return sign(text)
@@ -152,7 +167,7 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     an id count as one document. No rows give no rows.
     """
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = checkpointed(docs.select("id", signature(F.col("text")).alias("s")).select("id", "s.*"))
+    signed = checkpointed(docs.select("id", signature(F.col("text"), percent).alias("s")).select("id", "s.*"))
     real = signed.where("id IS NOT NULL AND n > 0")
     # Equal sets: one node, named by its smallest id, combined before the shuffle.
     names = real.groupBy("key").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
@@ -201,7 +216,7 @@ def _apart(placed: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         F.col("bucket").alias("at"), F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"),
         F.col("own").alias("ox"), F.col("all").alias("allx"))
     # The bound is part of the join, so that pairs it refuses are never made; the
-    # others come from the first bucket that the two share (a node has BANDS at most).
+    # others come from the first bucket that the two share (a node has one a band).
     different = (F.col("bucket") == F.col("at")) & (F.col("root") != F.col("rx")) \
         & _may_link("n", "own", "nx", "ox", percent) \
         & (F.array_min(F.array_intersect("all", "allx")) == F.col("bucket"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from conftest import ROOT, SF_SMALL
-from driftline.llm import decontam, neardup, quality, secrets
+from driftline.llm import decontam, neardup, quality, secrets, words
 from driftline.llm.queries import ORACLE_SQL, QUERIES
 from scripts.compare_oracle import TABLES, canon
 
@@ -137,6 +137,32 @@ def test_stages_follow_their_input(spark):
     assert all(r.n_tokens == len(r.ids) for r in last.values())
 
 
+def test_near_copies_between_the_thresholds(spark):
+    """The stage links at 0.8, op3 at 0.85: all pairs, most of them in between."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(60):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(46, 72))]
+        copy = list(text)
+        copy[len(copy) // 2] = "changed"
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(copy))]
+    sets = {i: set(words.shingles(t.encode()).tolist()) for i, t in rows}
+    alike = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    assert sum(0.8 <= x < 0.85 for x in alike.values()) > 20 and any(0 < x < 0.8 for x in alike.values())
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = {r.doc_id for r in corpus_pipeline.stage_neardup(spark, docs, SF_SMALL).collect()}
+    assert left == set(sets) - {b for (_, b), x in alike.items() if x >= 0.8}
+    op3 = {r.doc_id for r in neardup.group_near_duplicates(docs).where("kept").collect()}
+    assert op3 == set(sets) - {b for (_, b), x in alike.items() if x >= 0.85}
+
+
+def test_bands_follow_the_threshold():
+    assert neardup.layout(85) == (44, 8) and neardup.layout(80) == (58, 6)
+    for percent in (50, 60, 70, 80, 85, 95, 100):
+        count, rows = neardup.layout(percent)
+        assert count * rows <= neardup.BINS and (1 - (percent / 100) ** rows) ** count <= 1e-6
+
+
 def test_pipeline_of_no_documents(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "documents.parquet"))
