@@ -1,9 +1,10 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 Only DataFrame functions run here. Texts become lower-case words and 5-word shingles.
-A window is as long as a benchmark item and lies where a shingle of the document meets
-the same shingle of an item of that length; a window without any has similarity 0 to
-every item, so leaving it out loses nothing. Equal windows are handled once.
+A window is as long as a benchmark item and may begin anywhere. It has no more in common
+with an item than it has positions with a shingle of any item of that length; windows
+with too few of those for the threshold are left out, which loses nothing. Equal windows
+are handled once.
 
 Each distinct window and each item gets a 64-bit SimHash of its shingles, weighted by
 how often they come. A fingerprint is cut into ``RADIUS + 1`` blocks: two fingerprints
@@ -64,6 +65,23 @@ def _numbered(shingles: Column) -> Column:
     return F.transform(shingles, lambda x, i: F.xxhash64(x, i - F.array_position(shingles, x)))
 
 
+def _starts(hits: DataFrame, percent: int) -> DataFrame:
+    """(t1, t2, m, start, hits): every window of m positions that holds at least
+    ``percent`` of m hits, of the ascending positions ``at`` of all hits. A window has
+    its start after one hit and not after the next, so none comes twice."""
+    least = F.expr(f"int((m * {percent} + 99) div 100)")
+
+    def of(x: Column, i: Column) -> Column:
+        last = F.get("at", i + least - 1)
+        first = F.greatest(last - F.col("m") + 1, F.get("at", i - 1) + 1)
+        window = F.slice("at", i + 1, F.col("m"))
+        return F.when(last - x < F.col("m"), F.transform(F.sequence(first, x), lambda s: F.struct(
+            s.alias("start"), F.size(F.filter(window, lambda p: p < s + F.col("m"))).alias("hits"))))
+
+    found = F.flatten(F.filter(F.transform("at", of), lambda x: x.isNotNull()))
+    return hits.select("t1", "t2", "m", F.inline_outer(found)).where("start IS NOT NULL")
+
+
 def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", percent: int = 80) -> DataFrame:
     """(doc_id, item_id, similarity, n_words, start) per document and benchmark item
@@ -80,19 +98,21 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     of_bench = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     items = checkpointed(with_shingles(of_bench).select("item_id", "shingles")) \
         .select("*", F.size("shingles").alias("m")).where("m > 0")
-    # Where a shingle of a text meets an item of m shingles, q shingles in.
-    places = checkpointed(items.select("m", F.posexplode("shingles").alias("q", "h")).distinct())
+    known = checkpointed(items.select("m", F.explode("shingles").alias("h")).distinct())
     # Outer, as else a filter on the array's size is inferred, pushed below and
     # evaluated there with every inner array made anew for each element.
     cut = with_shingles(keyed).select("t1", "t2", F.posexplode_outer("shingles").alias("p", "h"))
-    starts = checkpointed(cut.join(small(places), "h")
-                          .select("t1", "t2", "m", (F.col("p") - F.col("q")).alias("start")).distinct())
+    hits = cut.join(small(known), "h").select("t1", "t2", "m", "p").distinct()
+    starts = checkpointed(_starts(checkpointed(
+        hits.groupBy("t1", "t2", "m").agg(F.sort_array(F.collect_list("p")).alias("at"))), percent))
     texts = checkpointed(starts.select("t1", "t2").distinct())
     held = with_shingles(keyed.join(small(texts), ["t1", "t2"]).dropDuplicates(["t1", "t2"])) \
         .select("t1", "t2", "shingles")
     window = F.slice("shingles", F.greatest(F.col("start"), F.lit(0)) + 1,
                      F.greatest(F.col("m") + F.least(F.col("start"), F.lit(0)), F.lit(0)))
-    windows = checkpointed(starts.join(held, ["t1", "t2"]).withColumn("w", window)
+    inside = F.least(F.col("start") + F.col("m"), F.size("shingles")) - F.greatest(F.col("start"), F.lit(0))
+    enough = (100 + percent) * F.col("hits") >= percent * (inside + F.col("m"))
+    windows = checkpointed(starts.join(held, ["t1", "t2"]).where(enough).withColumn("w", window)
                            .select("t1", "t2", "m", "start", F.array_sort("w").alias("w"))
                            .withColumn("w1", F.xxhash64("w", F.lit(1))).withColumn("w2", F.xxhash64("w", F.lit(2))))
     distinct = windows.select("m", "w1", "w2", "w").dropDuplicates(["m", "w1", "w2"])

@@ -80,6 +80,30 @@ def test_leaks_by_all_windows(spark):
     assert got == wanted
 
 
+def test_leaks_of_swapped_parts(spark):
+    """The best window lies where no shingle is at its own place within the item."""
+    rng = random.Random(18)
+    items = [[f"s{k}_{i}" for i in range(n)] for k, n in enumerate((40, 48, 59, 30))]
+    docs = []
+    for k, item in enumerate(items):
+        for cut in (len(item) // 2, len(item) // 3):
+            foreign = [f"u{rng.randrange(10**6)}" for _ in range(40)]
+            for a, b in ((0, 0), (20, 20), (0, 40), (40, 0)):
+                docs.append((len(docs), foreign[:a] + item[cut:] + item[:cut] + foreign[40 - b:]))
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start, r.n_words) for r in decontam.leaks(
+        spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id bigint, text string"),
+        spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id bigint, text string")).collect()}
+    wanted = {}
+    for i, text in docs:
+        for k, item in enumerate(items):
+            best = max((round(_similarity(text[max(s, 0):s + len(item)], item), 9), -max(s, 0))
+                       for s in range(5 - len(item), len(text) - 4))
+            if best[0] >= 0.8:
+                wanted[i, k] = (best[0], -best[1], len(item))
+    assert {k for _, k in wanted} == {0, 1, 2} and len(wanted) == 24
+    assert got == wanted
+
+
 def test_simhash_and_blocks(spark):
     rng = random.Random(9)
     rows = [(i, [rng.randrange(-2**63, 2**63) for _ in range(rng.randint(0, 30))]) for i in range(50)]
