@@ -31,7 +31,8 @@ SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 @dataclass(frozen=True)
 class Rule:
-    """``scan`` finds a match, ``keep`` must match the whole of it (None: always).
+    """``scan`` finds a match, ``tail`` is added to it where it follows, and ``keep``
+    must match the whole of it (None: always).
 
     Both are byte expressions: ASCII letters fold, nothing else does.
     """
@@ -39,10 +40,13 @@ class Rule:
     kind: str
     scan: bytes
     keep: bytes | None = None
+    tail: bytes = b""
 
 
 _ASSIGN = rb"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]"""
 
+_PEM = rb"(?:RSA |EC |DSA |OPENSSH )?PRIVATE KEY-----"
+
 # The three base rules, then well-known public key formats.
 BASE_RULES = (
     Rule("assign", _ASSIGN + rb"+", _ASSIGN + rb"{8,}"),
@@ -53,7 +57,10 @@ FORMAT_RULES = (
     Rule("github", rb"gh[pousr]_[A-Za-z0-9]+", rb".{40,}"),
     Rule("slack", rb"xox[abprs]-[A-Za-z0-9-]+", rb".{15,}"),
     Rule("google", rb"AIza[A-Za-z0-9_-]+", rb".{39,}"),
-    Rule("pem", rb"-----BEGIN (?:RSA |EC |DSA |OPENSSH )?PRIVATE KEY-----"),
+    # To the END line over base64, white space, its escapes and the two header lines of
+    # an encrypted key; the BEGIN line alone if the block is cut off.
+    Rule("pem", rb"-----BEGIN " + _PEM, tail=rb"(?:[A-Za-z0-9+/=\x20\x09-\x0D\\]|Proc-Type:\x20[A-Z0-9,]+"
+         rb"|DEK-Info:\x20[A-Z0-9,-]+[\x0D\x0A\\])*-----END " + _PEM),
 )
 RULES = BASE_RULES + FORMAT_RULES
 
@@ -210,8 +217,9 @@ class Automaton:
             one = _Nfa()
             start = one.state()
             end = one.add(parsed, start, False)
-            self.forward.append(_determinise(one, {start}, {end: k}))
             self.backward.append(_determinise(one.reversed(), {end}, {start: k}))
+            longer = one.add(sre.parse(rule.tail), end, False)
+            self.forward.append(_determinise(one, {start}, {end: k, longer: k}))
         self.search = _determinise(joint, {root}, ends)
         self.hit = [bool(a) for a in self.search.accepts for _ in range(self.search.width)]
         if self.search.accepts[0]:

@@ -69,6 +69,17 @@ def test_format_rules_add_spans():
     assert kinds == ["github", "google", "pem"]
 
 
+def test_key_blocks_are_spans_to_their_end():
+    body = "\n".join(["MIIEpAIBAAKCAQEA+b/" + "Ab1/" * 11] * 5) + "\nQ==\n"
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    extra = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    for block in (begin + "\n" + body + end, begin + extra + body + end, begin + "\\n" + body.replace("\n", "\\n") + end,
+                  begin + "\r\n" + body.replace("\n", "\r\n") + end, begin):
+        text = "é " + block + ", then. " + begin + " cut: " + block
+        spans = [s for s in secrets.automaton().spans(text.encode()) if s[0] == "pem"]
+        assert [text[s:e] for _, s, e in spans] == [block, begin, block]
+
+
 def test_minimised_automaton_has_no_equal_states():
     dfa = secrets.automaton().search
     rows = {(tuple(dfa.table[i * dfa.width:(i + 1) * dfa.width]), a) for i, a in enumerate(dfa.accepts)}
