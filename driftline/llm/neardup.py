@@ -140,20 +140,22 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _sizes(sets: DataFrame) -> DataFrame:
-    """(node, n, own): the size of a set, and how many of its shingles no other has
-    (fewer than that for repeated rows, which only loosens the bound)."""
+    """(node, n, own): the size of a set, and how many of its shingles no other has.
+    Both are null for a node of several rows, whose texts may differ."""
     alone = sets.select("node", F.explode("hashes").alias("h")).groupBy("h") \
         .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1") \
         .groupBy("node").agg(F.count("*").alias("own"))
-    return sets.select("node", F.size("hashes").alias("n")).join(alone, "node", "left") \
-        .select("node", "n", F.coalesce("own", F.lit(0)).alias("own")).distinct()
+    sizes = sets.groupBy("node").agg(F.max(F.size("hashes")).alias("n"), F.count("*").alias("rows"))
+    return sizes.join(alone, "node", "left").select(
+        "node", F.when(F.col("rows") == 1, F.col("n")).alias("n"),
+        F.when(F.col("rows") == 1, F.coalesce("own", F.lit(0))).alias("own"))
 
 
 def _may_link(n: str, own: str, m: str, other: str, percent: int) -> Column:
     """Whether two sets can be alike enough: they share at most what either has in
-    common with any other set."""
+    common with any other set. Without a size nothing is ruled out."""
     most = F.least(F.col(n) - F.col(own), F.col(m) - F.col(other))
-    return 100 * most >= percent * (F.col(n) + F.col(m) - most)
+    return F.coalesce(100 * most >= percent * (F.col(n) + F.col(m) - most), F.lit(True))
 
 
 def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -162,7 +164,7 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Documents are linked when 100 * intersection >= percent * union of their shingle
     sets; ``component_id`` is the smallest id reachable, ``kept`` marks the row whose
-    id that is. Null, empty and wordless texts have size 0 and stand alone. Rows
+    id that is. Null, empty and wordless texts have size 0 and are like no other. Rows
     without id are neither linked nor dropped (component null, kept). Rows that share
     an id count as one document. No rows give no rows.
     """
@@ -189,16 +191,24 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = checkpointed(members.join(centres, "bucket"))
     star = placed.where(F.col("node") != F.col("centre")).where(_may_link("n", "own", "nc", "oc", percent)) \
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    roots = components(checkpointed(_linked(checkpointed(star), sets, percent)))
+    # Rows that share an id are one document: their classes are linked through it.
+    again = checkpointed(signed.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows"))
+                         .where("rows > 1").select("id"))
+    same = real.join(again, "id").join(classes, "key").select(F.col("id").alias("a"), F.col("node").alias("b"))
+    roots = components(checkpointed(_linked(checkpointed(star), sets, percent).union(same)))
     rest = checkpointed(_apart(placed, roots, percent))
     if not rest.isEmpty():
         more = _linked(rest, sets, percent)
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     by_key = classes.join(roots, "node", "left").where("copies > 1 OR root IS NOT NULL") \
         .select("key", F.coalesce("root", "node").alias("root"))
-    return signed.join(by_key, "key", "left").select(
+    rooted = signed.join(by_key, "key", "left")
+    if not again.isEmpty():  # rows without words follow their id as well
+        by_id = again.join(roots, again["id"] == roots["node"]).select("id", F.col("root").alias("of_id"))
+        rooted = rooted.join(by_id, "id", "left").withColumn("root", F.coalesce("of_id", "root"))
+    return rooted.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.coalesce("root", "id")).otherwise(F.col("id"))
+        F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
         .alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

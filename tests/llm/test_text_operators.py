@@ -243,6 +243,19 @@ def test_near_duplicates_awkward_rows(awkward, empty):
     assert neardup.group_near_duplicates(empty).count() == 0
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = b.replace("b59", "changed")
+    for rows, wanted in (
+            ([(3, a), (5, a), (5, b), (9, near), (9, ""), (11, c), (12, ""), (None, a)],
+             {3: {3}, 5: {3}, 9: {3}, 11: {11}, 12: {12}, None: {None}}),
+            ([(5, a), (5, b), (7, near), (7, c)], {5: {5}, 7: {5}})):
+        got = neardup.group_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert len(got) == len(rows)
+        assert {i: {r.component_id for r in got if r.doc_id == i} for i in wanted} == wanted
+        assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
 def test_components_of_a_long_path(spark):
     n = 40
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101)], "a bigint, b bigint")
