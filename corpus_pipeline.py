@@ -7,7 +7,8 @@ and read again by the next.
              more) the smallest doc_id stays
 3. decontam  documents that hold a benchmark passage go
 4. secrets   secrets in the texts are replaced by a mark; no document goes
-5. bpe       token ids of the texts (the last stage: its own columns)
+5. bpe       token ids of the texts, and a digest of what they decode to (the last
+             stage: its own columns)
 """
 
 from __future__ import annotations
@@ -44,8 +45,9 @@ def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.encode_documents(docs, path, pattern).select(
-        "doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    return docs.withColumn("_coded", bpe.round_trip(F.col("text"), path, pattern)).select(
+        "doc_id", "lang", "source", "n_chars", F.size("_coded.ids").cast("bigint").alias("n_tokens"), "_coded.ids",
+        F.col("_coded.sha256").alias("decoded_sha256"))
 
 
 STAGES = [(name, in_text_batches(stage)) for name, stage in (

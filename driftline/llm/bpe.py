@@ -298,17 +298,37 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        bpe = vocabulary(path, pattern)
-        rows = [r for run in text_runs(texts, TOGETHER)
-                for r in bpe.encode([t.decode("utf-8", "replace") for t in run])]
-        offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-        np.cumsum([len(r) for r in rows], out=offsets[1:])
-        flat = np.concatenate(rows) if rows else np.empty(0, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
+        return _id_lists(_encoded(texts, vocabulary(path, pattern)))
 
     return ids(text)
 
 
+def _encoded(texts: pa.Array, bpe: Bpe) -> list[np.ndarray]:
+    return [r for run in text_runs(texts, TOGETHER)
+            for r in bpe.encode([t.decode("utf-8", "replace") for t in run])]
+
+
+def _id_lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(rows) + 1, dtype=np.int32)
+    np.cumsum([len(r) for r in rows], out=offsets[1:])
+    flat = np.concatenate(rows) if rows else np.empty(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
+
+
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """struct<ids, sha256>: token ids of a text column, and the lower-case hex SHA-256 of
+    the bytes that these ids give back. One worker does both with one vocabulary."""
+
+    @F.arrow_udf("struct<ids:array<int>,sha256:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        bpe = vocabulary(path, pattern)
+        rows = _encoded(texts, bpe)
+        digests = [hashlib.sha256(bpe.decode(r.tolist())).hexdigest() for r in rows]
+        return pa.StructArray.from_arrays([_id_lists(rows), pa.array(digests, type=pa.string())], ["ids", "sha256"])
+
+    return both(text)
+
+
 def _rows(ids: pa.Array):
     flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
     for a, b in zip(ends[:-1], ends[1:], strict=True):

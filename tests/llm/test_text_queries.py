@@ -1,6 +1,7 @@
 """Registered text queries against DuckDB, decontamination cases, and the pipeline's
 stages against a brute-force run on a small fixture."""
 
+import hashlib
 import random
 import subprocess
 import sys
@@ -187,6 +188,15 @@ def test_bands_follow_the_threshold():
         assert count * rows <= neardup.BINS and (1 - (percent / 100) ** rows) ** count <= 1e-6
 
 
+def test_last_stage_decodes_its_ids(spark):
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(["", "Two  words\n", "é文 ſecret 🙂", None, "a" * 5000])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: r for r in corpus_pipeline.stage_bpe(spark, docs, SF_SMALL).collect()}
+    assert {i: r.decoded_sha256 for i, r in got.items()} == {
+        i: hashlib.sha256((t or "").encode()).hexdigest() for i, t, *_ in rows}
+    assert all(r.n_tokens == len(r.ids) for r in got.values())
+
+
 def test_pipeline_of_no_documents(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "documents.parquet"))
