@@ -316,15 +316,19 @@ def _id_lists(rows: list[np.ndarray]) -> pa.ListArray:
 
 
 def round_trip(text: Column, path: str, pattern: str) -> Column:
-    """struct<ids, sha256>: token ids of a text column, and the lower-case hex SHA-256 of
-    the bytes that these ids give back. One worker does both with one vocabulary."""
+    """struct<ids, ids_sha256, sha256>: token ids of a text column, the lower-case hex
+    SHA-256 of the ids as little-endian unsigned 32-bit integers, and that of the bytes
+    that the ids give back. All fields come from one encoding of each text."""
 
-    @F.arrow_udf("struct<ids:array<int>,sha256:string>")
+    @F.arrow_udf("struct<ids:array<int>,ids_sha256:string,sha256:string>")
     def both(texts: pa.Array) -> pa.Array:
         bpe = vocabulary(path, pattern)
         rows = _encoded(texts, bpe)
-        digests = [hashlib.sha256(bpe.decode(r.tolist())).hexdigest() for r in rows]
-        return pa.StructArray.from_arrays([_id_lists(rows), pa.array(digests, type=pa.string())], ["ids", "sha256"])
+        digests = [hashlib.sha256(r.astype("<u4").tobytes()).hexdigest() for r in rows]
+        decoded = [hashlib.sha256(bpe.decode(r.tolist())).hexdigest() for r in rows]
+        return pa.StructArray.from_arrays(
+            [_id_lists(rows), *(pa.array(x, type=pa.string()) for x in (digests, decoded))],
+            ["ids", "ids_sha256", "sha256"])
 
     return both(text)
 
@@ -362,6 +366,8 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text_col: str = "te
                      out_col: str = "ids") -> DataFrame:
     """``df`` with the ids of its texts in ``out_col`` (replaced if it exists).
 
-    Rows are encoded alone, whole, wherever they lie: no shuffle.
+    Rows are encoded alone, whole, wherever they lie: no shuffle. Each further Python
+    function of ``out_col`` in one plan encodes the texts anew: use ``round_trip`` for
+    digests, or write the ids first.
     """
     return df.withColumn(out_col, encode(F.col(text_col), path, pattern))

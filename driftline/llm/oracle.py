@@ -31,7 +31,9 @@ bs AS (SELECT item_id, greatest(len(w) - 4, 1) AS m, len(w) AS n_words, unnest(r
        FROM b WHERE len(w) > 0),
 bs2 AS (SELECT item_id, m, n_words, q, CASE WHEN len(w) < 5 THEN len(w) || ':' ELSE '' END
         || array_to_string(w[q + 1:q + 5], ' ') AS s FROM bs),
-starts AS (SELECT DISTINCT doc_id, m, p - q AS start FROM ds2 JOIN bs2 USING (s)),
+hits AS (SELECT DISTINCT doc_id, m, p FROM ds2 JOIN bs2 USING (s)),
+starts AS (SELECT DISTINCT doc_id, m, p - o AS start
+           FROM (SELECT doc_id, m, p, unnest(range(0, m)) AS o FROM hits)),
 win AS (SELECT doc_id, m, start, s, count(*) AS c FROM starts JOIN ds2 USING (doc_id)
         WHERE p >= start AND p < start + m GROUP BY ALL),
 tot AS (SELECT doc_id, m, start, sum(c) AS c FROM win GROUP BY ALL),

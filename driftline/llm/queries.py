@@ -58,10 +58,9 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode_documents(docs, path, pattern).select("doc_id", "ids")
-    return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                      bpe.id_digest(F.col("ids")).alias("ids_sha256"),
-                      _hex(bpe.decode(F.col("ids"), path, pattern)).alias("decoded_sha256"))
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), path, pattern).alias("coded"))
+    return coded.select("doc_id", F.size("coded.ids").cast("bigint").alias("n_tokens"), "coded.ids_sha256",
+                        F.col("coded.sha256").alias("decoded_sha256"))
 
 
 def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

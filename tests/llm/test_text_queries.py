@@ -41,6 +41,25 @@ def test_query_gives_every_document(spark, con, name):
     assert sorted(got) == [x for x, in con.sql("SELECT doc_id FROM documents ORDER BY 1").fetchall()]
 
 
+# --- byte-level BPE ------------------------------------------------------------------------
+
+def test_op5_encodes_each_text_once(spark):
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+    df = E.queries()["op5_byte_bpe"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == plan.count("both(") == 1
+    ranks = load_tiktoken_bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    lib = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    for r in df.collect():
+        ids = lib.encode_ordinary(texts[r.doc_id])
+        digest = hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), digest)
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
 # --- decontamination --------------------------------------------------------------------
 
 def _similarity(a, b):
@@ -143,7 +162,7 @@ def test_stages_follow_their_input(spark):
     assert names == ["quality", "neardup", "decontam", "secrets", "bpe"]
     model = quality.fit(docs, table(spark, SF_SMALL, "labels"))
     good = {r.doc_id: r.text for r in quality.score_documents(docs, model).where("score >= 0.5").collect()}
-    groups = neardup.group_near_duplicates(docs.where(F.col("doc_id").isin(list(good)))).collect()
+    groups = neardup.group_near_duplicates(docs.where(F.col("doc_id").isin(list(good))), percent=80).collect()
     first = {r.doc_id for r in groups if r.doc_id == r.component_id}
     held = {r.doc_id for r in decontam.leaks(docs, table(spark, SF_SMALL, "benchmark")).collect()}
     wanted = {i: good[i] for i in first - held}
