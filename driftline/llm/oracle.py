@@ -103,10 +103,24 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
 FROM sums JOIN {_jump(8)} a USING (doc_id) JOIN {_jump(9)} b USING (doc_id)
 """
 
+# The pages hold one article of headings and paragraphs and no comments, forms or notices
+# inside it, so that patterns can cut it out; other pages are left to the tests.
+HTML_TEXT = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS h FROM pages),
+b AS (SELECT page_id, url, list_transform(string_split_regex(h, '</?(?:p|h1)>'), lambda x:
+      regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g')) AS blocks FROM a),
+d AS (SELECT page_id, url, list_transform(blocks, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(
+      regexp_replace(regexp_replace(x, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'),
+      '\s+', ' ', 'g'))) AS blocks FROM b),
+t AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text FROM d)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+"""
+
 ORACLE_SQL = {
     "op3_minhash_neardup": MINHASH_NEARDUP,
     "op4_decontamination": DECONTAMINATION,
     "op6_arc_to_warc": ARC_TO_WARC,
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_sharding": SHARDING,
+    "op11_html_text": HTML_TEXT,
 }

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import arc, bpe, decontam, neardup, omh, quality, secrets, sharding, substring, token_counts
+from driftline.llm import arc, bpe, decontam, html_text, neardup, omh, quality, secrets, sharding, substring, token_counts
 from driftline.llm.common import in_text_batches, table
 from driftline.llm.oracle import ORACLE_SQL
 from driftline.session import scratch_path
@@ -98,8 +98,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          sharding.shard_of(F.col("doc_id"), SHARDS + 1).alias("grown_shard"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_pages(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES = {f.__name__: in_text_batches(f) for f in (op1_secret_scan, op2_quality_classifier, op3_minhash_neardup,
                                    op4_decontamination, op5_byte_bpe, op6_arc_to_warc, op7_order_minhash, op8_token_counts, op9_substring_dedup,
-                                   op10_sharding)}
+                                   op10_sharding, op11_html_text)}
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
