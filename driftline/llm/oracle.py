@@ -116,6 +116,27 @@ t AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(LOWERED, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+tot AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang HAVING sum(len(w)) > 0),
+grams AS (SELECT lang, k, array_to_string(g, ' ') AS phrase, count(*) AS f FROM (
+          SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+          FROM w, range(1, 6) r(k) WHERE len(w) >= k) GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, k, phrase, f AS a, c, array_to_string(string_split(phrase, ' ')[1:c], ' ') AS first,
+         array_to_string(string_split(phrase, ' ')[c + 1:], ' ') AS rest FROM grams, range(1, 5) r(c) WHERE c < k),
+scored AS (SELECT cuts.lang, cuts.k, cuts.phrase, a, c, x.f AS l, y.f AS r, n,
+           CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+           FROM cuts JOIN grams x ON x.lang = cuts.lang AND x.phrase = first JOIN grams y ON y.lang = cuts.lang AND y.phrase = rest
+           JOIN tot ON tot.lang = cuts.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+gone AS (SELECT DISTINCT lang, part FROM (SELECT lang, f, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS part
+         FROM grams, range(2, 5) s(m), range(1, 5) r(i) WHERE m < k AND i + m - 1 <= k) q
+         JOIN grams USING (lang) WHERE grams.phrase = part AND q.f >= grams.f)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best ANTI JOIN gone ON gone.lang = best.lang AND gone.part = best.phrase QUALIFY rank <= 2000
+""".replace("LOWERED", _LOWER)
+
 ORACLE_SQL = {
     "op3_minhash_neardup": MINHASH_NEARDUP,
     "op4_decontamination": DECONTAMINATION,
@@ -123,4 +144,5 @@ ORACLE_SQL = {
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_sharding": SHARDING,
     "op11_html_text": HTML_TEXT,
+    "op13_collocations": COLLOCATIONS,
 }
