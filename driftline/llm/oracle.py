@@ -116,6 +116,23 @@ t AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
 """
 
+_TERMS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL_SEARCH = rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_TERMS.format(text=_LOWER)} AS w FROM documents),
+tot AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM d),
+q AS (SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest({_TERMS.format(text=_LOWER)}) AS t FROM benchmark) GROUP BY ALL),
+tf AS MATERIALIZED (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d)
+       SEMI JOIN (SELECT DISTINCT t FROM q) USING (t) GROUP BY ALL),
+wt AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+       FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), tot),
+parts AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_words))) AS s
+          FROM tf JOIN wt USING (t), tot),
+scores AS (SELECT item_id, doc_id, CAST(sum(q * s) AS BIGINT) AS score FROM q JOIN parts USING (t) GROUP BY ALL HAVING sum(q * s) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores QUALIFY rank <= 20
+"""
+
 COLLOCATIONS = r"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(LOWERED, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
 w AS MATERIALIZED (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
@@ -144,5 +161,6 @@ ORACLE_SQL = {
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_sharding": SHARDING,
     "op11_html_text": HTML_TEXT,
+    "op12_lexical_search": LEXICAL_SEARCH,
     "op13_collocations": COLLOCATIONS,
 }

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import arc, bpe, collocations, decontam, html_text, neardup, omh, quality, secrets, sharding, substring, token_counts
+from driftline.llm import arc, bpe, collocations, decontam, html_text, lexical, neardup, omh, quality, secrets, sharding, substring, token_counts
 from driftline.llm.common import in_text_batches, table
 from driftline.llm.oracle import ORACLE_SQL
 from driftline.session import scratch_path
@@ -103,12 +103,16 @@ def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: in_text_batches(f) for f in (op1_secret_scan, op2_quality_classifier, op3_minhash_neardup,
                                    op4_decontamination, op5_byte_bpe, op6_arc_to_warc, op7_order_minhash, op8_token_counts, op9_substring_dedup,
-                                   op10_sharding, op11_html_text, op13_collocations)}
+                                   op10_sharding, op11_html_text, op12_lexical_search, op13_collocations)}
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
