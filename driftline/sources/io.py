@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import NA_TOKENS, WHOLE, na_to_null, parse_double
+from ..session import ensure_checkpoint_dir
 
 
 class MissingInput(FileNotFoundError):
@@ -65,9 +66,7 @@ def _typed(df: DataFrame, st: T.StructType) -> DataFrame:
     """Cast text columns to a schema. Values that do not fit are counted in one
     aggregation and refused by name, rather than turned into nulls."""
     def cast(f):
-        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            return parse_double(f.name).cast(f.dataType)
-        return F.col(f.name).try_cast(f.dataType)
+        return _cast(F.col(f.name), f.dataType)
 
     lost = [F.count_if(F.col(f.name).isNotNull() & cast(f).isNull()).alias(f.name) for f in st.fields]
     row = df.agg(*lost).first() if lost else {}
@@ -77,6 +76,44 @@ def _typed(df: DataFrame, st: T.StructType) -> DataFrame:
     return df.select(*[cast(f).alias(f.name) for f in st.fields])
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str,
+                     na_tokens: Sequence[str] = NA_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, misfits) of a CSV with a header, from one pass.
+
+    Misfits are (file, record, column, text): one row per value that does not fit its type,
+    with the whole record as CSV text, and one with null column per record with too many or
+    too few fields. A record with a misfit is in no other output. The parsed rows are written
+    once to the shared checkpoint folder; both frames read them from there. ``read_csv`` with
+    a schema refuses such files instead.
+    """
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    reader = spark.read.option("header", True)
+    names = _guard(lambda: reader.csv(path), path).columns
+    broken = "_dl_broken"
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, broken]])
+    raw = reader.schema(text).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", broken) \
+        .csv(path).select("*", F.col("_metadata.file_path").alias("_dl_file"))
+    cells, wrong = [], []
+    for f in st.fields:
+        value = na_to_null(f.name, na_tokens)
+        typed = _cast(value, f.dataType)
+        cells.append(typed.alias(f.name))
+        wrong.append(F.when(value.isNotNull() & typed.isNull(),
+                            F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("text"))))
+    record = F.coalesce(broken, F.to_csv(F.struct(*[F.col(c) for c in names])))
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("text")))
+    misfits = F.when(F.col(broken).isNotNull(), whole).otherwise(F.array_compact(F.array(*wrong)))
+    ensure_checkpoint_dir(spark)
+    once = raw.select(F.struct(*cells).alias("row"), misfits.alias("misfits"),
+                      F.when(F.size(misfits) > 0, record).alias("record"), F.col("_dl_file").alias("file")).checkpoint()
+    return (once.where(F.size("misfits") == 0).select("row.*"),
+            once.where(F.size("misfits") > 0).select("file", "record", F.inline("misfits")))
+
+
+def _cast(value, kind: T.DataType):
+    return parse_double(value).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else value.try_cast(kind)
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Type text columns like pandas: boolean if every value is True or False, int if
     every value is a whole number, double if every value is a number (by pattern, so
