@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_bucket, hash_split
+from ..session import shuffle_partitions
 from .ranking import running_totals
 
 
@@ -164,23 +165,56 @@ def encode(df: DataFrame, spec: FeatureSpec, model: PipelineModel | None = None,
     return out
 
 
+def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(_dl_col, _dl_c, _dl_n): rows by category of every column, negated, from one scan
+    of the table; nulls are no category."""
+    wide = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    return wide.unpivot([], list(cols), "_dl_col", "_dl_c").where("_dl_c IS NOT NULL") \
+        .groupBy("_dl_col", "_dl_c").agg((-F.count(F.lit(1))).alias("_dl_n"))
+
+
 def index_categories(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
     """(``df`` with ``<c>_idx`` per column, number of categories by column).
 
     Index by frequency, ties alphabetical; null gets the extra index K, as in the
-    pipeline. Categories are counted, ranked by distributed running totals and
-    joined back, so that no column's labels need to fit on the driver. Spark's own
-    size check picks the join.
+    pipeline. One unpivoted count serves all columns, and one distributed running total
+    ranks the categories of each, so that no column's labels need to fit on the driver.
+
+    The ranks come back by two joins per column. Categories that would fill a
+    partition by themselves (at most as many as there are partitions) are broadcast; only
+    the rows of other categories meet the rest of the ranks in a shuffle, and the rows
+    already answered are spread over it by a salt.
     """
+    spark = df.sparkSession
+    parts = shuffle_partitions(spark)
+    counts = category_counts(df, cols).withColumn("_dl_i", F.lit(1).cast("long"))
+    ranked = running_totals(counts, ["_dl_n", "_dl_c"], ["_dl_i"], by=["_dl_col"], bounded_groups=True)
+    ranked = ranked.select("_dl_col", "_dl_c", (F.col("_dl_i_cum") - 1).cast("double").alias("_dl_at"), "_dl_n").checkpoint()
+    # One row per column.
+    totals = {r["_dl_col"]: r for r in ranked.groupBy("_dl_col").agg(
+        F.count("*").alias("k"), (-F.sum("_dl_n")).alias("rows"), F.max(-F.col("_dl_n")).alias("most"),
+        F.min(-F.col("_dl_n")).alias("least")).collect()}
     sizes = {}
     for c in cols:
-        counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("_dl_c")) \
-            .agg((-F.count(F.lit(1))).alias("_dl_n"), F.lit(1).cast("long").alias("_dl_i"))
-        ranked = running_totals(counts, ["_dl_n", "_dl_c"], ["_dl_i"], bounded_groups=True) \
-            .select("_dl_c", (F.col("_dl_i_cum") - 1).cast("double").alias("_dl_at"))
-        sizes[c] = counts.count()
-        df = df.join(ranked, F.col(c).cast("string") == F.col("_dl_c"), "left") \
-            .withColumn(f"{c}_idx", F.coalesce("_dl_at", F.lit(float(sizes[c])))).drop("_dl_c", "_dl_at")
+        of = totals.get(c)
+        sizes[c] = int(of["k"]) if of else 0
+        found = []
+        if of:
+            hot = -F.col("_dl_n") * parts > of["rows"]
+            ranks = ranked.where(F.col("_dl_col") == c)
+            if of["most"] * parts > of["rows"]:
+                top = ranks.where(hot).select(F.col("_dl_c").alias("_dl_hot"), F.col("_dl_at").alias("_dl_hot_at"))
+                df = df.join(F.broadcast(top), F.col(c).cast("string") == F.col("_dl_hot"), "left")
+                found.append("_dl_hot_at")
+            if of["least"] * parts <= of["rows"]:
+                answered = F.col(c).isNull() | (F.col("_dl_hot_at").isNotNull() if found else F.lit(False))
+                salt = F.when(answered, F.pmod(F.monotonically_increasing_id(), F.lit(parts)) + 1).otherwise(0)
+                rest = ranks.where(~hot).select(F.lit(0).cast("long").alias("_dl_salt"), "_dl_c", "_dl_at")
+                df = df.withColumns({"_dl_salt": salt.cast("long"), "_dl_c": F.when(~answered, F.col(c).cast("string")).otherwise("")}) \
+                    .join(rest, ["_dl_salt", "_dl_c"], "left")
+                found.append("_dl_at")
+        at = F.coalesce(*found, F.lit(float(sizes[c])))
+        df = df.withColumn(f"{c}_idx", at).drop("_dl_hot", "_dl_hot_at", "_dl_salt", "_dl_c", "_dl_at")
     return df, sizes
 
 

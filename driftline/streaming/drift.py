@@ -16,9 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_category, clip_share, psi_status
+from ..functions.exprs import as_category, clip_share, parse_double, psi_status
 from ..operators.drift import (BASE, SIDE, BinEdges, chi_square_finish, chi_square_stats,
-                               coded_long, column_kinds, histogram, to_long)
+                               code_from_table, column_kinds, histogram, is_numeric_type, to_long)
+
+#: Code of a value that is no number, in a column that is numeric in the baseline.
+MISFIT = -3
 
 
 def fit_baseline(base: DataFrame, cols: Sequence[str], method: str = "exact"):
@@ -31,6 +34,27 @@ def fit_baseline(base: DataFrame, cols: Sequence[str], method: str = "exact"):
     return edges, counts
 
 
+def coded_rows(df: DataFrame, cols: Sequence[str], edges: BinEdges, ids: Sequence[str]) -> DataFrame:
+    """(ids..., column, code) of columns that are numeric in the baseline, whatever they
+    are here: text is parsed, and what does not parse (or has no number in it, such as a
+    date) gets the code ``MISFIT`` and neither stops the job nor turns into a null."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cells = []
+    for c in cols:
+        if is_numeric_type(kinds[c]):
+            value, misfit = F.col(c).cast("double"), F.lit(False)
+        else:
+            text = F.col(c).cast("string") if kinds[c].simpleString() == "string" else F.lit(None).cast("string")
+            value = parse_double(text)
+            misfit = F.col(c).isNotNull() & value.isNull()
+        cells.append(F.struct(value.alias("value"), misfit.alias("misfit")).alias(c))
+    long = df.select(*ids, *cells).unpivot(list(ids), list(cols), "column", "cell") \
+        .select(*ids, "column", "cell.*")
+    joined = long.join(F.broadcast(edges.table(df.sparkSession)), "column", "left")
+    code = F.when(F.col("misfit"), F.lit(MISFIT)).otherwise(code_from_table("value", edges.bins))
+    return joined.select(*ids, "column", code.alias("code"))
+
+
 def window_counts(df: DataFrame, ts_col: str, cols: Sequence[str], edges: BinEdges,
                   window: str = "1 day", watermark: str | None = None) -> DataFrame:
     """(window_start, window_end, column, code, a_cnt); works on a stream.
@@ -45,7 +69,7 @@ def window_counts(df: DataFrame, ts_col: str, cols: Sequence[str], edges: BinEdg
     if watermark:
         timed = timed.withWatermark("_ts", watermark)
     # Stream-static broadcast join with the fixed edge table.
-    long = coded_long(timed, cols, edges, ids=["_ts"])
+    long = coded_rows(timed, cols, edges, ids=["_ts"])
     return (long.groupBy(F.window("_ts", window).alias("w"), "column", "code")
                 .agg(F.count(F.lit(1)).alias("a_cnt"))
                 .select(F.col("w.start").alias("window_start"),
@@ -57,12 +81,14 @@ def window_psi(counts: DataFrame, base_counts: DataFrame) -> DataFrame:
 
     Works on small frames: one row per (window, column, bin). Bins empty in
     a window but filled in the baseline still count (share clipped to 1e-6),
-    so every window is paired with all baseline bins of its column.
+    so every window is paired with all baseline bins of its column. A window with values
+    that are no number (``n_misfit``) has no PSI and the status ``type_mismatch``.
     """
     keys = ["window_start", "window_end", "column"]
     # Every window of a column counts, also one whose values are all null or NaN.
     n_new = counts.groupBy(*keys).agg(
-        F.sum(F.when(F.col("code") >= -1, F.col("a_cnt")).otherwise(0)).alias("n_new"))
+        F.sum(F.when(F.col("code") >= -1, F.col("a_cnt")).otherwise(0)).alias("n_new"),
+        F.sum(F.when(F.col("code") == MISFIT, F.col("a_cnt")).otherwise(0)).alias("n_misfit"))
     in_range = counts.where(F.col("code") >= 0)
     # Baseline bins: at most bins x columns rows, safe to broadcast.
     grid = n_new.select(*keys).join(F.broadcast(base_counts), "column")
@@ -76,10 +102,11 @@ def window_psi(counts: DataFrame, base_counts: DataFrame) -> DataFrame:
                        F.col("e_cnt"))
     agg = per.groupBy(*keys).agg(F.sum("term").alias("psi"), F.sum("e_cnt").alias("n_base"))
     out = n_new.join(agg, keys, "left")
-    psi = F.when((F.col("n_new") > 0) & (F.coalesce(F.col("n_base"), F.lit(0)) > 0),
+    psi = F.when((F.col("n_misfit") == 0) & (F.col("n_new") > 0) & (F.coalesce(F.col("n_base"), F.lit(0)) > 0),
                  F.coalesce(F.col("psi"), F.lit(0.0)))
-    return out.select(*keys, F.col("n_new").cast("long").alias("n_new"),
-                      psi.alias("psi")).withColumn("status", psi_status(F.col("psi")))
+    status = F.when(F.col("n_misfit") > 0, F.lit("type_mismatch")).otherwise(psi_status(F.col("psi")))
+    return out.select(*keys, F.col("n_new").cast("long").alias("n_new"), F.col("n_misfit").cast("long").alias("n_misfit"),
+                      psi.alias("psi")).withColumn("status", status)
 
 
 def drift_by_window_batch(df: DataFrame, ts_col: str, cols: Sequence[str],
@@ -239,7 +266,7 @@ def report_by_window_stream(stream: DataFrame, ts_col: str, base: DataFrame, sin
         .withWatermark("_ts", watermark)
     parts = []
     if num:
-        parts.append(coded_long(timed, num, edges, ids=["_ts"])
+        parts.append(coded_rows(timed, num, edges, ids=["_ts"])
                      .withColumn("category", F.lit(None).cast("string")))
     if cat:
         parts.append(timed.unpivot(["_ts"], list(cat), "column", "category")
