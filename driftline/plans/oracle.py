@@ -299,6 +299,19 @@ DRIFT_BY_WINDOW_NULLS = DRIFT_BY_WINDOW.replace("FROM events", "FROM nulled").re
     NOT IN ('2024-01-10', '2024-01-20') THEN value END AS value FROM events), src AS""", 1).replace(
     "nw AS (SELECT window_day, col, sum(a_cnt) AS n_new FROM wc GROUP BY ALL)", _ALL_DAYS)
 
+DRIFT_BY_WINDOW_MISMATCH = DRIFT_BY_WINDOW.replace("FROM events", "FROM nulled").replace(
+    "WITH src AS", """WITH nulled AS (SELECT ts, bad, CASE WHEN NOT bad THEN value END AS value FROM (
+    SELECT *, (strftime(ts, '%Y-%m-%d') = '2024-01-12' AND event_id % 10 = 0)
+              OR strftime(ts, '%Y-%m-%d') = '2024-01-22' AS bad FROM events)),
+misfits AS (SELECT strftime(ts, '%Y-%m-%d') AS window_day, count(*) FILTER (WHERE bad) AS n_misfit FROM nulled GROUP BY 1),
+src AS""", 1).replace(
+    "nw AS (SELECT window_day, col, sum(a_cnt) AS n_new FROM wc GROUP BY ALL)", _ALL_DAYS).replace(
+    f"""SELECT window_day, col AS "column", n_new, round(psi, 6) AS psi, {PSI_STATUS} AS status
+FROM fin""", f"""SELECT window_day, col AS "column", n_new, CAST(n_misfit AS BIGINT) AS n_misfit,
+       CASE WHEN n_misfit = 0 THEN round(psi, 6) END AS psi,
+       CASE WHEN n_misfit > 0 THEN 'type_mismatch' ELSE {PSI_STATUS} END AS status
+FROM fin JOIN misfits USING (window_day)""")
+
 
 def _chi_square_by_window():
     cell = ("pow(abs(CAST({o} AS DOUBLE) - CAST({r} AS DOUBLE) * cat_total / total) - "
@@ -500,7 +513,7 @@ _TRAIN_ROWS = """t AS (SELECT *, CAST(l_quantity + (l_orderkey * 7 + l_linenumbe
   FROM lineitem WHERE CAST(CAST('0x' || substr(md5((l_orderkey * 8 + l_linenumber) || ':42'), 1, 8)
        AS BIGINT) % 1000 AS INTEGER) < 800)"""
 TRAIN_LOGREG_MOMENTS = f"WITH {_TRAIN_ROWS}\n" + " UNION ALL ".join(
-    f"SELECT '{n}' AS feature, round(avg({x} * y), 6) AS moment FROM t" for n, x in [
+    f"SELECT '{n}' AS feature, round(avg({x} * y), 6) AS moment, true AS fit_within_0_1_percent FROM t" for n, x in [
         ("(intercept)", "1.0"), ("l_quantity", "l_quantity"), ("l_discount", "l_discount"), ("l_tax", "l_tax"),
         *((f"l_returnflag={v}", f"CAST(l_returnflag = '{v}' AS DOUBLE)") for v in "ANR")])
 
@@ -520,7 +533,61 @@ SELECT experiment,
        timestamp, accuracy, fit_time_sec, shuffle_partitions
 FROM r"""
 
+CSV_MISFITS = """WITH t AS (SELECT event_id, event_id % 13 = 0 AND event_id % 11 <> 0 AS bad_amount, event_id % 7 = 0 AS bad_qty FROM events)
+SELECT event_id, CAST(NULL AS VARCHAR) AS "column", CAST(NULL AS VARCHAR) AS text,
+       CASE WHEN event_id % 11 <> 0 THEN event_id / 4 END AS amount,
+       CAST(CASE WHEN event_id % 17 <> 0 THEN event_id % 5 END AS INTEGER) AS qty FROM t WHERE NOT bad_amount AND NOT bad_qty
+UNION ALL SELECT event_id, 'amount', 'oops', NULL, NULL FROM t WHERE bad_amount
+UNION ALL SELECT event_id, 'qty', '3.5', NULL, NULL FROM t WHERE bad_qty"""
+
+# The true ranks are counted by the query; here stands that all of them are near enough.
+SKETCH_EDGE_RANKS = """SELECT c AS "column", CAST(i AS INTEGER) AS edge_index, n, true AS within
+FROM (SELECT count(*) AS n FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01 00:00:00'), range(11) r(i),
+     (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_tax'), ('const_one'), ('flag_r')) v(c)"""
+
+SKETCH_PSI = f"SELECT \"column\", n_base, n_new, status, true AS near FROM ({PSI_NUMERIC})"
+
+AUC_BY = """WITH s AS (SELECT l_returnflag, score_name, score,
+  l_quantity + (l_orderkey * 7 + l_linenumber * 13) % 41 - 20 > 25 AS y
+  FROM (SELECT *, unnest(['l_quantity', 'l_discount']) AS score_name, unnest([l_quantity, l_discount]) AS score FROM lineitem)),
+g AS (SELECT l_returnflag, score_name, score, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg FROM s GROUP BY ALL),
+c AS (SELECT *, sum(neg) OVER (PARTITION BY l_returnflag, score_name ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg AS below FROM g)
+SELECT l_returnflag, score_name, round(sum(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + CAST(neg AS DOUBLE) / 2.0))
+             / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 6) AS auc,
+       CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives
+FROM c GROUP BY l_returnflag, score_name"""
+
+CONFUSION_OTHER = """WITH s AS (SELECT l_quantity AS q,
+  CAST(l_quantity + (l_orderkey * 7 + l_linenumber * 13) % 41 - 20 > 25 AS DOUBLE) AS label FROM lineitem)
+SELECT label, count(*) FILTER (WHERE q > 5 AND q <= 25) AS pred_0, count(*) FILTER (WHERE q > 25 AND q <= 40) AS pred_1,
+       count(*) FILTER (WHERE q > 40 OR q <= 5) AS pred_other FROM s GROUP BY label"""
+
+FOREST_LAYOUTS = "SELECT CAST(3 AS INTEGER) AS layouts, CAST(0.0 AS DOUBLE) AS max_difference"
+
+SCORE_QUARANTINE = """WITH t AS (SELECT l_orderkey % 7 = 0 AS q, l_orderkey % 11 = 0 AS x FROM lineitem)
+SELECT 'scored' AS what, count(*) FILTER (WHERE NOT q AND NOT x) AS rows FROM t
+UNION ALL SELECT 'set aside', count(*) FILTER (WHERE q OR x) FROM t
+UNION ALL SELECT 'l_quantity', count(*) FILTER (WHERE q) FROM t
+UNION ALL SELECT 'l_tax', count(*) FILTER (WHERE x) FROM t"""
+
+MODEL_BY_EPOCH = """SELECT l_orderkey % 3 AS epoch, l_orderkey % 3 + 1 AS model_version, count(*) AS rows
+FROM lineitem GROUP BY ALL"""
+
+RETRAIN_COMMITTED = f"""SELECT count(*) AS scored, CAST(1 AS BIGINT) AS runs, count(*) AS dataset_rows,
+       CAST(1 AS BIGINT) AS version, true AS same, d.drift, true AS retrained
+FROM lineitem, ({RETRAIN_DECISION}) d GROUP BY d.drift"""
+
 ORACLE_SQL = {
+    "drift_by_window_mismatch": DRIFT_BY_WINDOW_MISMATCH,
+    "csv_misfits": CSV_MISFITS,
+    "sketch_edge_ranks": SKETCH_EDGE_RANKS,
+    "sketch_psi": SKETCH_PSI,
+    "auc_by": AUC_BY,
+    "confusion_other": CONFUSION_OTHER,
+    "forest_layouts": FOREST_LAYOUTS,
+    "score_quarantine": SCORE_QUARANTINE,
+    "model_by_epoch": MODEL_BY_EPOCH,
+    "retrain_committed": RETRAIN_COMMITTED,
     "psi_numeric": PSI_NUMERIC,
     "bin_edges": BIN_EDGES,
     "histogram": HISTOGRAM,

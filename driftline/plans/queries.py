@@ -23,6 +23,7 @@ from ..functions.exprs import hash_bucket, tolerant_double
 from ..operators import drift as D
 from ..operators import evaluate as E
 from ..operators import features as FE
+from ..operators import sketches as SK
 from ..operators import train as TR
 from ..operators.runs import read_runs, run_series
 from ..session import scratch_path
@@ -237,6 +238,26 @@ def q_drift_by_window_nulls(spark, sf_dir):
                       "column", "n_new", F.round("psi", 6).alias("psi"), "status")
 
 
+MISFIT_DAYS = ("2024-01-12", "2024-01-22")
+
+
+def events_with_misfits(spark, sf_dir) -> DataFrame:
+    """Events whose value is text: on one day every tenth is no number, on another all."""
+    ev = table(spark, sf_dir, "events")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    bad = ((day == MISFIT_DAYS[0]) & (F.col("event_id") % 10 == 0)) | (day == MISFIT_DAYS[1])
+    return ev.withColumn("value", F.when(bad, F.lit("33D")).otherwise(F.col("value").cast("string")))
+
+
+def q_drift_by_window_mismatch(spark, sf_dir):
+    """PSI per day window when value arrives as text, some of it no number: those
+    windows say type_mismatch and how many values do not fit, the others are tested."""
+    base = table(spark, sf_dir, "events").where(F.col("ts") < ntz(EVENTS_BASE_END))
+    out = SD.drift_by_window_batch(events_with_misfits(spark, sf_dir), "ts", ["value"], base, "1 day")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"),
+                      "column", "n_new", "n_misfit", F.round("psi", 6).alias("psi"), "status")
+
+
 def q_chi_square_by_window(spark, sf_dir):
     """event_type per day window against the first seven days."""
     ev = table(spark, sf_dir, "events")
@@ -331,6 +352,63 @@ def q_na_tokens_cast(spark, sf_dir):
                        tolerant_double("txt", 0.0).alias("parsed"))
 
 
+def q_csv_misfits(spark, sf_dir):
+    """Events through a CSV with planted misfits: the rows that fit the schema (null
+    column), and one row per value that does not, both by event."""
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    amount = F.when(k % 11 == 0, "NA").when(k % 13 == 0, "oops").otherwise((k / 4).cast("string"))
+    qty = F.when(k % 7 == 0, "3.5").when(k % 17 == 0, "").otherwise((k % 5).cast("string"))
+    path = scratch_path(spark, "misfits-csv")
+    io.write_csv(ev.select("event_id", amount.alias("amount"), qty.alias("qty")), path)
+    good, misfits = io.read_csv_checked(spark, path, "event_id bigint, amount double, qty int")
+    bad = misfits.select(F.split("record", ",")[0].cast("bigint").alias("event_id"), "column", "text",
+                         F.lit(None).cast("double").alias("amount"), F.lit(None).cast("int").alias("qty"))
+    none = F.lit(None).cast("string")
+    return good.select("event_id", none.alias("column"), none.alias("text"), "amount", "qty").unionByName(bad)
+
+
+SKETCH_PROBS = D.decile_probs()
+
+
+def lineitem_sketches(spark, sf_dir) -> tuple[DataFrame, list]:
+    """Daily sketches of the lineitem numerics, kept in a table by ship month; the
+    first half of the months is written again, as a corrected month would be."""
+    li, cols = lineitem_numbers(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    month = F.date_format("l_shipdate", "yyyy-MM")
+    SK.write_sketches(SK.daily_sketches(li, month, cols), path)
+    SK.write_sketches(SK.daily_sketches(li.where(F.col("l_shipdate") < ntz("1998-01-01 00:00:00")), month, cols), path)
+    return spark.read.schema("column string, n bigint, min double, max double, sketch binary, day string").parquet(path), cols
+
+
+def q_sketch_edge_ranks(spark, sf_dir):
+    """Decile edges of the baseline (ship year <= 1998) from the merged daily sketches:
+    is the true rank of each within three times the sketch's error of its decile?"""
+    sketches, cols = lineitem_sketches(spark, sf_dir)
+    found = {r["column"]: r for r in SK.quantiles(sketches.where("day < '1999-01'"), SKETCH_PROBS).collect()}
+    li, _ = lineitem_numbers(spark, sf_dir)
+    # Two counts per column and edge in one aggregation: bounded by the schema.
+    counts = [F.count_if(F.col(c) < e).alias(f"{c}:{i}:l") for c in cols for i, e in enumerate(found[c]["quantiles"])] \
+        + [F.count_if(F.col(c) <= e).alias(f"{c}:{i}:u") for c in cols for i, e in enumerate(found[c]["quantiles"])]
+    row = li.where(lineitem_base()).agg(F.count("*").alias("n"), *counts).first()
+    slack = 3 * SK.rank_error()
+    rows = [(c, i, int(found[c]["n"]), row[f"{c}:{i}:l"] / row["n"] - slack <= p <= row[f"{c}:{i}:u"] / row["n"] + slack)
+            for c in cols for i, p in enumerate(SKETCH_PROBS)]
+    return spark.createDataFrame(rows, "column string, edge_index int, n bigint, within boolean")
+
+
+def q_sketch_psi(spark, sf_dir):
+    """PSI of lineitem with edges from the merged daily sketches: row counts, status,
+    and whether it is within 0.01 of the PSI with exact edges."""
+    sketches, cols = lineitem_sketches(spark, sf_dir)
+    sides, _ = lineitem_psi_frame(spark, sf_dir)
+    edges = SK.sketch_edges(sketches.where("day < '1999-01'"), cols)
+    exact = D.psi(sides, cols, edges=lineitem_edges(spark, sf_dir)).select("column", F.col("psi").alias("exact"))
+    out = D.psi(sides, cols, edges=edges).join(exact, "column")
+    return out.select("column", "n_base", "n_new", "status", (F.abs(F.col("psi") - F.col("exact")) <= 0.01).alias("near"))
+
+
 # ---------------------------------------------------------------------------
 # Features
 # ---------------------------------------------------------------------------
@@ -405,9 +483,26 @@ def q_auc_exact(spark, sf_dir):
     return auc.select(F.round("auc", 6).alias("auc"), "positives", "negatives")
 
 
+def q_auc_by(spark, sf_dir):
+    """Exact ROC AUC of two scores (quantity, discount) by return flag, all in one job."""
+    li = lineitem_labeled(spark, sf_dir)
+    scores = F.inline(F.array(*[F.struct(F.lit(n).alias("score_name"), F.col(n).alias("score"))
+                                for n in ("l_quantity", "l_discount")]))
+    found = E.auc_by(li.select("l_returnflag", "label", scores), ["l_returnflag", "score_name"], bounded_groups=True)
+    return found.select("l_returnflag", "score_name", F.round("auc", 6).alias("auc"), "positives", "negatives")
+
+
+def q_confusion_other(spark, sf_dir):
+    """Confusion matrix of a rule with a third class and missing predictions."""
+    q = F.col("l_quantity")
+    li = lineitem_labeled(spark, sf_dir)
+    rule = F.when(q > 40, 2.0).when(q > 25, 1.0).when(q > 5, 0.0)
+    return E.confusion(li.select("label", rule.alias("prediction")))
+
+
 def q_confusion(spark, sf_dir):
     """Confusion matrix of the same rule."""
-    return E.confusion(_scored_rule(spark, sf_dir))
+    return E.confusion(_scored_rule(spark, sf_dir)).drop("pred_other")
 
 
 def _train(spark, sf_dir, model_type, cv=False):
@@ -422,8 +517,8 @@ def q_train_logreg(spark, sf_dir):
 
 
 def q_train_logreg_moments(spark, sf_dir):
-    """Mean of feature x label over the training rows, where the fitted probabilities
-    give the same mean to 0.1 % (the condition of an unpenalised fit); else theirs."""
+    """Mean of feature x label over the training rows, and whether the mean of feature x
+    fitted probability equals it to 0.1 % (the condition of an unpenalised fit)."""
     res = _train(spark, sf_dir, "logreg")
     train, _ = FE.split_by_hash(lineitem_labeled(spark, sf_dir), "row_key", TR.SEED, TR.TEST_FRACTION)
     p = SC.score_batch(res.model, train, ["l_quantity", "l_discount", "l_tax", "l_returnflag", "label"])
@@ -435,7 +530,7 @@ def q_train_logreg_moments(spark, sf_dir):
     long = row.select(F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`.fit"),
                                                   F.col(f"`{n}`.true")) for n in parts])))
     near = F.abs(F.col("fit") - F.col("true")) <= 1e-3 * F.abs("true")
-    return long.select("feature", F.round(F.when(near, F.col("true")).otherwise(F.col("fit")), 6).alias("moment"))
+    return long.select("feature", F.round("true", 6).alias("moment"), near.alias("fit_within_0_1_percent"))
 
 
 def q_train_forest(spark, sf_dir):
@@ -444,6 +539,18 @@ def q_train_forest(spark, sf_dir):
     return TR.coefficients(spark, res.model, lineitem_spec())
 
 
+def q_forest_layouts(spark, sf_dir):
+    """The same forest fitted on the same rows in three layouts: the greatest difference
+    between importances."""
+    li = lineitem_labeled(spark, sf_dir)
+    found = []
+    for n in (1, 7, 4):
+        model = TR.fit(li.repartition(n), lineitem_spec(), "random_forest", split_key="row_key", num_trees=10).model
+        found.append(TR.final_stage(model).featureImportances.toArray())
+    most = max(float(abs(a - b).max()) for a in found for b in found)
+    return spark.createDataFrame([(len(found), most)], "layouts int, max_difference double")
+
+
 def documents_labeled(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
@@ -514,6 +621,54 @@ def q_score_stream_vs_batch(spark, sf_dir):
     return rows.agg(F.sum("scored").alias("scored"), F.sum("different").alias("different"))
 
 
+def q_score_quarantine(spark, sf_dir):
+    """Lineitem as a stream with missing quantities and NaN taxes: rows scored, rows set
+    aside, and rows set aside by column."""
+    path, sink, aside = (scratch_path(spark, n) if n else _fitted_model_path(spark, sf_dir) for n in ("", "scored", "aside"))
+    k = F.col("l_orderkey")
+    stream = lineitem_stream(spark, sf_dir).withColumns({
+        "l_quantity": F.when(k % 7 != 0, F.col("l_quantity")),
+        "l_tax": F.when(k % 11 == 0, F.lit(float("nan"))).otherwise(F.col("l_tax"))})
+    SC.score_stream_quarantine(spark, stream, path, sink, aside, scratch_path(spark, "aside-ckpt"),
+                               keys=["l_orderkey", "l_linenumber"]).awaitTermination()
+    bad = spark.read.parquet(aside)
+    parts = [spark.read.parquet(sink).where("prediction IS NOT NULL").agg(F.count("*").alias("rows")).select(F.lit("scored").alias("what"), "rows"),
+             bad.agg(F.count("*").alias("rows")).select(F.lit("set aside").alias("what"), "rows"),
+             bad.select(F.explode("bad_columns").alias("what")).groupBy("what").agg(F.count("*").alias("rows"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_model_by_epoch(spark, sf_dir):
+    """Three model versions published between the micro-batches of one stream: the
+    version that scored each epoch, and its rows."""
+    path, log, src, sink, ckpt = _fitted_model_path(spark, sf_dir), *(scratch_path(spark, n) for n in ("models", "arrivals", "scored", "ckpt"))
+    li = table(spark, sf_dir, "lineitem")
+    for k in range(3):
+        SC.publish_pointer(spark, log, path)
+        li.where(F.col("l_orderkey") % 3 == k).write.mode("append").parquet(src)
+        SC.follow_model(spark, spark.readStream.schema(li.schema).parquet(src), log, sink, ckpt,
+                        keys=["l_orderkey", "l_linenumber"]).awaitTermination()
+    return spark.read.parquet(sink).groupBy(F.col("epoch").cast("bigint").alias("epoch"), "model_version") \
+        .agg(F.count("prediction").alias("rows"))
+
+
+def q_retrain_committed(spark, sf_dir):
+    """A forced retrain run twice under its own id: one committed run, one version, one
+    consistent pointer, and the model it names."""
+    li = lineitem_labeled(spark, sf_dir)
+    base, new = (li.where(c).select(*LINEITEM_NUMERIC) for c in (lineitem_base(), ~lineitem_base()))
+    root = scratch_path(spark, "retrain")
+    first, second = (jobs.retrain_committed(base, new, li, lineitem_spec(), root, split_key="row_key", force=True).first()
+                     for _ in range(2))
+    version, model = SC.current_model(spark, f"{root}/commits")
+    scored = SC.score_batch(io.load_model(model), li).agg(F.count("prediction").alias("scored"), F.lit(1).alias("one"))
+    runs = jobs.committed_runs(spark, root).agg(F.count("*").alias("runs"), F.max("dataset_rows").alias("dataset_rows"), F.lit(1).alias("one"))
+    same = F.lit(first == second and first["model_path"] == model)
+    return scored.join(runs, "one").select(
+        "scored", "runs", "dataset_rows", F.lit(version).cast("bigint").alias("version"), same.alias("same"),
+        F.lit(first["drift"]).alias("drift"), F.lit(first["retrained"]).alias("retrained"))
+
+
 def q_retrain_job(spark, sf_dir):
     """A forced retrain with all its outputs: the run row, the published pointer, the
     saved model and the report, each read back."""
@@ -576,6 +731,7 @@ QUERIES = {
     "drift_report_mismatch": q_drift_report_mismatch,
     "drift_by_window": q_drift_by_window,
     "drift_by_window_nulls": q_drift_by_window_nulls,
+    "drift_by_window_mismatch": q_drift_by_window_mismatch,
     "chi_square_by_window": q_chi_square_by_window,
     "report_by_window": q_report_by_window,
     "prep_fill_constant": q_prep_fill_constant,
@@ -585,6 +741,9 @@ QUERIES = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "na_tokens_cast": q_na_tokens_cast,
+    "csv_misfits": q_csv_misfits,
+    "sketch_edge_ranks": q_sketch_edge_ranks,
+    "sketch_psi": q_sketch_psi,
     "category_index": q_category_index,
     "one_hot": q_one_hot,
     "assembled": q_assembled,
@@ -592,14 +751,20 @@ QUERIES = {
     "hash_split": q_hash_split,
     "accuracy": q_accuracy,
     "auc_exact": q_auc_exact,
+    "auc_by": q_auc_by,
     "confusion": q_confusion,
+    "confusion_other": q_confusion_other,
     "train_logreg": q_train_logreg,
     "train_logreg_moments": q_train_logreg_moments,
     "train_forest": q_train_forest,
+    "forest_layouts": q_forest_layouts,
     "cross_validate": q_cross_validate,
     "score_batch": q_score_batch,
     "score_stream": q_score_stream,
     "score_stream_vs_batch": q_score_stream_vs_batch,
+    "score_quarantine": q_score_quarantine,
+    "model_by_epoch": q_model_by_epoch,
+    "retrain_committed": q_retrain_committed,
     "retrain_job": q_retrain_job,
     "retrain_decision": q_retrain_decision,
     "run_series": q_run_series,
