@@ -312,6 +312,21 @@ FROM fin""", f"""SELECT window_day, col AS "column", n_new, CAST(n_misfit AS BIG
        CASE WHEN n_misfit > 0 THEN 'type_mismatch' ELSE {PSI_STATUS} END AS status
 FROM fin JOIN misfits USING (window_day)""")
 
+OPEN_WINDOWS = DRIFT_BY_WINDOW.replace("WITH src AS", """WITH arrived AS (
+  SELECT ts, value, date_trunc('day', ts) + INTERVAL 1 DAY AS w_end,
+         CASE WHEN day(ts) <= 9 AND event_id % 25 = 0 THEN 1 WHEN day(ts) <= 15 AND event_id % 25 = 1 THEN 2
+              WHEN day(ts) <= 10 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 2 END AS arrival FROM events),
+marks AS (SELECT b, (SELECT max(ts) FROM arrived WHERE arrival < b) - INTERVAL 1 HOUR AS mark FROM range(0, 4) r(b)),
+timed AS (SELECT a.*, coalesce(a.w_end <= m.mark, false) AS late FROM arrived a JOIN marks m ON m.b = a.arrival),
+counts AS (SELECT strftime(ts, '%Y-%m-%d') AS window_day, any_value(w_end) AS w_end,
+                  count(*) FILTER (WHERE NOT late) AS rows, count(*) FILTER (WHERE late) AS late_rows FROM timed GROUP BY 1),
+src AS""", 1).replace("FROM events WHERE value IS NOT NULL", "FROM timed WHERE NOT late AND value IS NOT NULL").replace(
+    f"""SELECT window_day, col AS "column", n_new, round(psi, 6) AS psi, {PSI_STATUS} AS status
+FROM fin""", f"""SELECT window_day, col AS "column", CAST(rows AS BIGINT) AS rows, CAST(late_rows AS BIGINT) AS late_rows,
+       CASE WHEN w_end <= (SELECT mark FROM marks WHERE b = 3) THEN 'closed' ELSE 'open' END AS phase,
+       round(psi, 4) AS psi, {PSI_STATUS} AS status
+FROM fin JOIN counts USING (window_day)""")
+
 
 def _chi_square_by_window():
     cell = ("pow(abs(CAST({o} AS DOUBLE) - CAST({r} AS DOUBLE) * cat_total / total) - "
@@ -578,6 +593,7 @@ RETRAIN_COMMITTED = f"""SELECT count(*) AS scored, CAST(1 AS BIGINT) AS runs, co
 FROM lineitem, ({RETRAIN_DECISION}) d GROUP BY d.drift"""
 
 ORACLE_SQL = {
+    "open_windows": OPEN_WINDOWS,
     "drift_by_window_mismatch": DRIFT_BY_WINDOW_MISMATCH,
     "csv_misfits": CSV_MISFITS,
     "sketch_edge_ranks": SKETCH_EDGE_RANKS,

@@ -29,6 +29,7 @@ from ..operators.runs import read_runs, run_series
 from ..session import scratch_path
 from ..sources import io
 from ..streaming import drift as SD
+from ..streaming import open_windows as OW
 from ..streaming import score as SC
 from . import jobs
 
@@ -258,6 +259,23 @@ def q_drift_by_window_mismatch(spark, sf_dir):
                       "column", "n_new", "n_misfit", F.round("psi", 6).alias("psi"), "status")
 
 
+def q_open_windows(spark, sf_dir):
+    """Events as a stream of three arrivals, some rows days late: each day window as it
+    stands after the last one, open or closed, and the rows that came too late for it."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    base = ev.where(F.col("ts") < ntz(EVENTS_BASE_END)).select("ts", "value")
+    day, k = F.dayofmonth("ts"), F.col("event_id")
+    arrival = F.when((day <= 9) & (k % 25 == 0), 1).when((day <= 15) & (k % 25 == 1), 2) \
+        .when(day <= 10, 0).when(day <= 20, 1).otherwise(2)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("arrivals", "open-windows", "ckpt"))
+    for n in range(3):
+        ev.where(arrival == n).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).parquet(src).select("ts", "value")
+        OW.open_windows_stream(stream, "ts", base, sink, ckpt).awaitTermination()
+    return OW.current_windows(spark, sink).select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("window_day"), "column", "phase", "rows", "psi", "status", "late_rows")
+
+
 def q_chi_square_by_window(spark, sf_dir):
     """event_type per day window against the first seven days."""
     ev = table(spark, sf_dir, "events")
@@ -732,6 +750,7 @@ QUERIES = {
     "drift_by_window": q_drift_by_window,
     "drift_by_window_nulls": q_drift_by_window_nulls,
     "drift_by_window_mismatch": q_drift_by_window_mismatch,
+    "open_windows": q_open_windows,
     "chi_square_by_window": q_chi_square_by_window,
     "report_by_window": q_report_by_window,
     "prep_fill_constant": q_prep_fill_constant,
