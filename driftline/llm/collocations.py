@@ -16,7 +16,6 @@ and merge-joined in lockstep; there is no table of phrases in memory.
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import repeat
@@ -24,7 +23,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.llm.common import checkpointed, small, text_runs
@@ -32,7 +31,7 @@ from driftline.llm.common import checkpointed, small, text_runs
 #: Known words, and known pairs, that may be sent to the tasks.
 KNOWN = 1_000_000
 #: Bytes of text and rows of counts that a task holds at a time.
-RUN_BYTES, HELD_ROWS = 4 << 20, 1_000_000
+RUN_BYTES, HELD_ROWS, HELD_PAIRS = 4 << 20, 1_000_000, 2_000_000
 
 # Fixed values of the text rules: what ends a piece, letters that fold.
 _ENDS = b".,;:!?\n\v\f\r"
@@ -107,33 +106,69 @@ def _windows(ids: np.ndarray, size: int, joined: np.ndarray) -> np.ndarray:
     return np.stack([ids[at + k] for k in range(size)]).astype(np.int32)
 
 
-def _phrases(rows: np.ndarray, names: pa.Array) -> pa.Array:
-    return pc.binary_join_element_wise(*(names.take(pa.array(r)) for r in rows), " ")
+class Numbering:
+    """Numbers of the known words, lang by lang in order: ``ids[lang]`` by word, and the
+    words by number in ``names``. Two numbers make a pair's: first times ``size`` plus second."""
+
+    def __init__(self, words: dict[str, list[str]]) -> None:
+        self.ids, names = {}, []
+        self.langs = sorted(words)
+        self.starts = []
+        for lang in self.langs:
+            of = [w.encode() for w in words[lang]]
+            self.starts.append(len(names))
+            self.ids[lang] = dict(zip(of, range(len(names), len(names) + len(of)), strict=True)) | {b"": _NOTHING}
+            names += of
+        self.names, self.size = _as_text(names), len(names)
+
+    def of(self, lang: str) -> dict[bytes, int]:
+        return self.ids.get(lang, {b"": _NOTHING})
+
+    def pairs(self, numbers: np.ndarray) -> tuple[list[str], pa.Array]:
+        """Langs and phrases of pairs."""
+        first, second = np.divmod(numbers, self.size)
+        at = np.searchsorted(np.array(self.starts), first, side="right") - 1
+        return [self.langs[i] for i in at], _phrases(np.stack([first, second]), self.names)
+
+
+def count_pairs(batches: Iterable[pa.RecordBatch], words: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
+    """(number, c) of the pairs of known words within pieces."""
+    known = Numbering(words)
+    held, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts)], names=["number", "c"])
+
+    for lang, data in _runs(batches):
+        ids, _ = _ids(data, known.of(lang))
+        joined = (ids[:-1] >= 0) & (ids[1:] >= 0)
+        got, n = np.unique((ids[:-1] * known.size + ids[1:])[joined], return_counts=True)
+        held, at = np.unique(np.concatenate((held, got)), return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate((counts, n)), minlength=len(held)).astype(np.int64)
+        if len(held) > HELD_PAIRS:
+            yield rows()
+            held, counts = held[:0], counts[:0]
+    yield rows()
 
 
 def count_windows(batches: Iterable[pa.RecordBatch], sizes: Iterable[int], words: dict[str, list[str]] | None,
-                  pairs: dict[str, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
+                  pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Counts of the windows of each of ``sizes`` within pieces. ``words``: the known words
-    by lang, or None for any; ``pairs`` (only with words): the known pairs by lang as
-    ascending numbers, first id times the number of words plus second id."""
+    by lang, or None for any; ``pairs`` (only with words): the numbers of the known pairs,
+    ascending, or None for any."""
     sums: dict = {}
-    numbered = {}
+    known = Numbering(words) if words is not None else None
 
     def rows_of(key) -> pa.RecordBatch:
-        lang, _ = key
-        return _rows(lang, _phrases(sums[key][0], numbered[lang][1]), sums[key][1])
+        return _rows(key[0], _phrases(sums[key][0], known.names), sums[key][1])
 
     for lang, data in _runs(batches):
-        if words is not None and lang not in numbered:
-            of = [w.encode() for w in words.get(lang, ())]
-            numbered[lang] = {w: i for i, w in enumerate(of)} | {b"": _NOTHING}, _as_text(of)
-        ids, names = _ids(data, numbered[lang][0] if words is not None else None)
+        ids, names = _ids(data, known.of(lang) if known else None)
         joined = (ids[:-1] >= 0) & (ids[1:] >= 0)
         if pairs is not None:
-            known = pairs.get(lang, np.empty(0, dtype=np.int64))
-            number = ids[:-1] * len(words.get(lang, ())) + ids[1:]
-            at = np.minimum(np.searchsorted(known, number), max(0, len(known) - 1))
-            joined &= known[at] == number if len(known) else False
+            number = ids[:-1] * known.size + ids[1:]
+            at = np.minimum(np.searchsorted(pairs, number), max(0, len(pairs) - 1))
+            joined &= pairs[at] == number if len(pairs) else False
         for size in sizes:
             got = _windows(ids, size, joined)
             rows, counts = _summed(got, np.ones(got.shape[1], dtype=np.int64))
@@ -154,6 +189,10 @@ def count_windows(batches: Iterable[pa.RecordBatch], sizes: Iterable[int], words
         yield rows_of(key)
 
 
+def _phrases(rows: np.ndarray, names: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise(*(names.take(pa.array(r)) for r in rows), " ")
+
+
 def _at_least(counted: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, f) of the phrases that reach the threshold."""
     return counted.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
@@ -179,43 +218,40 @@ def phrase_counts(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
     totals = checkpointed(words.groupBy("lang").agg(F.sum("f").alias("n")))
     words = words.where("phrase IS NOT NULL")
     levels = [words.withColumn("k", F.lit(1))]
-    sent = _send(spark, words, None, known)
-    if longest >= 2:
-        pairs = checkpointed(_at_least(_window_counts(texts, [2], sent), least))
-        levels.append(pairs.withColumn("k", F.lit(2)))
-        if longest >= 3:
-            sent = _send(spark, words, pairs, known)
-            more = _at_least(_window_counts(texts, list(range(3, longest + 1)), sent), least)
-            levels.append(checkpointed(more).withColumn("k", F.size(F.split("phrase", " "))))
+    sent = spark.sparkContext.broadcast(_by_lang(words)) if words.count() <= known else None
+    few = None
+    if longest >= 2 and sent is None:
+        levels.append(checkpointed(_at_least(_window_counts(texts, [2], None, None), least)).withColumn("k", F.lit(2)))
+    elif longest >= 2:
+        numbers = texts.mapInArrow(lambda batches: count_pairs(batches, sent.value), "number bigint, c bigint") \
+            .groupBy("number").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+        pairs = checkpointed(numbers)
+        levels.append(pairs.mapInArrow(lambda batches: _named_pairs(batches, sent.value), "lang string, phrase string, f bigint")
+                      .withColumn("k", F.lit(2)))
+        if pairs.count() <= known:
+            got = pairs.select("number").toArrow().column(0).to_numpy()
+            few = spark.sparkContext.broadcast(np.sort(got))
+    if longest >= 3:
+        more = _at_least(_window_counts(texts, list(range(3, longest + 1)), sent, few), least)
+        levels.append(checkpointed(more).withColumn("k", F.size(F.split("phrase", " "))))
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
     return out.select("lang", "phrase", F.col("k").cast("int").alias("k"), "f"), totals
 
 
-def _send(spark: SparkSession, words: DataFrame, pairs: DataFrame | None, known: int):
-    """A broadcast of the known words and pairs as far as they are few, else None."""
-    if words.count() > known:
-        return None
-    of = _by_lang(words)
-    if pairs is None or pairs.count() > known:
-        return spark.sparkContext.broadcast((uuid.uuid4().hex, of, None))
-    ids = {lang: {w: i for i, w in enumerate(x)} for lang, x in of.items()}
-    numbers = {}
-    for lang, phrases in _by_lang(pairs).items():
-        split = [p.split(" ") for p in phrases]
-        numbers[lang] = np.sort(np.array([ids[lang][a] * len(ids[lang]) + ids[lang][b] for a, b in split], dtype=np.int64))
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, of, numbers))
-
-
-def _window_counts(texts: DataFrame, sizes: list[int], sent) -> DataFrame:
-    def count(batches):
-        words = pairs = None
-        if sent is not None:
-            _, words, pairs = sent.value
-        return count_windows(batches, sizes, words, pairs)
-
-    return texts.mapInArrow(count, SCHEMA)
+def _named_pairs(batches: Iterable[pa.RecordBatch], words: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
+    known = None
+    for batch in batches:
+        known = known or Numbering(words)
+        langs, phrases = known.pairs(batch.column(0).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(langs, type=pa.string()), phrases, batch.column(1)], names=["lang", "phrase", "f"])
+
+
+def _window_counts(texts: DataFrame, sizes: list[int], words, pairs) -> DataFrame:
+    """``words``, ``pairs``: broadcasts of what is known, or None."""
+    return texts.mapInArrow(lambda batches: count_windows(
+        batches, sizes, words.value if words else None, pairs.value if pairs else None), SCHEMA)
 
 
 def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
