@@ -288,7 +288,7 @@ def test_arc_to_warc_round_trip(spark, tmp_path, monkeypatch, version, few):
         revisit = key is not None and first.get(body, key) != key
         assert r.record_type == ("revisit" if revisit else "response")
         assert r.refers_to_key == (str(first[body]) if revisit else None)
-        assert r.payload == (None if revisit else body)
+        assert r.payload == (None if revisit else body.encode())
         assert r.date == "2024-01-01T00:00:00Z" and r.url.isascii() and " " not in r.url
 
 
@@ -317,9 +317,59 @@ def test_damaged_archives_raise():
         list(arc.convert(good.replace(b"\n1 0 ", b"\n3 0 ", 1)))
     with pytest.raises(ValueError, match="fields"):
         list(arc.convert(good.replace(b"http://a 0.0.0.0", b"http://a", 1)))
-    record = arc.warc_record(("1", "u", "d", "HTTP/1.1 200 OK", "body", "<id>", arc.digest(b"other"), None))
+    record = arc.warc_record(("1", "u", "d", "t", b"HTTP/1.1 200 OK\r\n\r\n", b"body", "<id>", arc.digest(b"other"), 4, None))
     with pytest.raises(ValueError, match="digest"):
-        list(arc.read_warc_bytes(record.encode()))
+        list(arc.read_warc_bytes(record))
+    with pytest.raises(ValueError, match="whole"):
+        list(arc.read_warc_bytes(record[:-1]))
+
+
+def _foreign_arc(*records):
+    """An ARC 1 file as other writers made them, of (header without length, content)."""
+    block = b"1 0 InternetArchive\n" + arc.ARC_FIELDS[1].encode() + b"\n\n"
+    parts = [b"filedesc://x.arc 0.0.0.0 19961022035000 text/plain %d\n" % len(block) + block]
+    return b"\n".join(parts + [line + b" %d\n" % len(content) + content for line, content in records]) + b"\n"
+
+
+FOREIGN = [
+    (b"http://a/latin 1.2.3.4 19970101120000 text/html", b"HTTP/1.0 200 OK\r\nServer: caf\xe9\r\n\r\n<p>\xe9\xff\x00</p>"),
+    (b"http://b/lf 1.2.3.4 19970101120001 text/html", b"HTTP/1.0 200 OK\nContent-Length: 999\n\nbody\r\n\r\nmore"),
+    (b"dns:www.a.com 1.2.3.4 199701011200 text/dns", b"19970101120002\nwww.a.com. 100 IN A 1.2.3.4\n"),
+    (b"http://c/a b c.html 1.2.3.4 19970101120003 text/html; charset=x", b"HTTP/1.0 404 Not Found\r\n\r\n"),
+    (b"http://d/\xe9 1.2.3.4 19970101120004 no-type", b"HTTP/1.0 200 OK\r\nno empty line"),
+    (b"http://e/same 1.2.3.4 19970101120005 text/html", b"HTTP/1.0 200 OK\r\nX-Record-Key: 2\r\n\r\n<p>\xe9\xff\x00</p>"),
+    (b"http://f/none 1.2.3.4 19970101120006 text/html", b""),
+]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_foreign_archives(spark, tmp_path, packed):
+    import gzip
+    keyed = [(line, content.replace(b"\r\n", b"\r\nX-Record-Key: 1\r\n", 1) if i == 0 else content) for i, (line, content) in enumerate(FOREIGN)]
+    data = _foreign_arc(*keyed)
+    arcs, warcs = tmp_path / "arc", str(tmp_path / "warc")
+    arcs.mkdir()
+    # Members of a gzip archive, one per record, as crawlers write them.
+    (arcs / "x.arc").write_bytes(gzip.compress(data[:300]) + gzip.compress(data[300:]) if packed else data)
+    arc.arc_to_warc(spark, str(arcs), warcs, key_type="bigint")
+    got = {r.url: r for r in arc.read_warc(spark, warcs).collect()}
+    assert set(got) == {"http://a/latin", "http://b/lf", "dns:www.a.com", "http://c/a%20b%20c.html", "http://d/%C3%A9", "http://e/same", "http://f/none"}
+    a, b, dns, c, d, e, f = (got[u] for u in ("http://a/latin", "http://b/lf", "dns:www.a.com", "http://c/a%20b%20c.html", "http://d/%C3%A9", "http://e/same", "http://f/none"))
+    assert (bytes(a.payload), a.payload_bytes) == (b"<p>\xe9\xff\x00</p>", 10) and a.payload_digest == arc.digest(bytes(a.payload))
+    assert bytes(b.payload) == b"body\r\n\r\nmore" and b.record_type == "response"
+    assert (dns.record_type, bytes(dns.payload), dns.date) == ("resource", FOREIGN[2][1], "1997-01-01T12:00:00Z")
+    assert bytes(c.payload) == b"" and bytes(d.payload) == b"" and (f.record_type, bytes(f.payload)) == ("resource", b"")
+    assert (e.record_type, e.payload, e.payload_bytes, e.refers_to_key) == ("revisit", None, 10, "1")
+    records = arc.read_arc(spark, str(arcs)).collect()
+    assert {bytes(r.head + r.payload) for r in records} == {content for _, content in keyed}
+    assert len({r.record_id for r in records}) == len(FOREIGN)
+
+
+def test_clashing_columns_of_pages(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a", "x", "k", 5)], "page_id bigint, url string, html string, key string, payload_bytes int")
+    arcs = str(tmp_path / "arc")
+    arc.write_arc(pages, arcs, "page_id", "url", "html")
+    assert [(r.key, bytes(r.payload)) for r in arc.read_arc(spark, arcs).withColumn("salt", F.lit(1)).collect()] == [("1", b"x")]
 
 
 # --- order MinHash --------------------------------------------------------------------------
