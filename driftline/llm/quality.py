@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import by_bytes, held, text_runs, utf8_values
+from driftline.llm.common import by_bytes, checkpointed, held, text_runs, utf8_values
 
 #: Lengths of character n-grams; the base of their rolling hash (an odd number).
 GRAMS, BASE = (3, 4, 5), np.uint64(0x9E3779B97F4A7C15)
@@ -37,9 +37,11 @@ KEPT, LONGEST, TOGETHER, WORD_BYTES = 100_000, 64, 2 << 20, 128 << 10
 
 @dataclass(frozen=True)
 class Settings:
-    """``max_rows`` bounds the labelled sample the driver trains on."""
+    """``max_rows`` bounds the labelled sample the driver trains on, ``max_features`` the
+    distinct features of all its texts (8 bytes each there)."""
 
     max_rows: int = 4000
+    max_features: int = 40_000_000
     buckets: int = 1 << 16
     size: int = 8
     epochs: int = 6
@@ -210,17 +212,22 @@ def fit(df: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_co
         text_col: str = "text", label_col: str = "quality") -> Model:
     """Train on at most ``max_rows`` labelled documents that are not held out.
 
-    The sample is that of the smallest hashes of ids. Ids alone are ordered; the
-    chosen documents' features are made on the executors and come to the driver as
-    arrays. An id labelled twice has the smaller label; null labels and ids are left
-    out, and of documents that share an id each counts.
+    The sample is that of the smallest hashes of ids: the first ``max_rows`` of them, as
+    far as their features add up to ``max_features``. Ids alone are ordered; the chosen
+    documents' features are made on the executors and come to the driver as arrays. An id
+    labelled twice has the smaller label; of documents that share an id one counts, that
+    with the smallest text hash; null labels and ids are left out.
     """
     chosen = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")) \
         .where(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("id"))) \
         .groupBy("id").agg(F.min("y").alias("y")) \
         .orderBy(F.xxhash64("id"), "id").limit(settings.max_rows)
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
+    chosen = checkpointed(chosen)
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h")) \
         .join(F.broadcast(chosen), "id")  # at most max_rows small rows
+    one = texts.groupBy("id").agg(F.min("h").alias("h"))   # at most max_rows again
+    # Copies are one row before they leave their task.
+    rows = texts.join(F.broadcast(one), ["id", "h"]).groupBy("id", "h", "y").agg(F.first("text").alias("text"))
     buckets = settings.buckets
     made = pa.struct([("ids", pa.list_(pa.int32())), ("shares", pa.list_(pa.float32()))])
 
@@ -229,8 +236,18 @@ def fit(df: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_co
         got = (text_features(t, buckets) for t in utf8_values(texts))
         return pa.array([{"ids": i, "shares": w} for i, w in got], type=made)
 
-    found = rows.select("id", "y", features("text").alias("f"), F.xxhash64("text").alias("h")) \
-        .select("id", "y", "h", "f.ids", "f.shares").toArrow()
+    found = checkpointed(rows.select("id", "y", "h", features("text").alias("f")).select("id", "y", "h", "f.ids", "f.shares"))
+    sizes = found.select("id", F.size("ids").alias("n"), F.xxhash64("id").alias("o")).toArrow().to_pylist()
+    total, kept = 0, []
+    for r in sorted(sizes, key=lambda r: (r["o"], r["id"])):
+        total += r["n"]
+        if total > settings.max_features:
+            break
+        kept.append(r["id"])
+    if len(kept) < len(sizes):
+        few = df.sparkSession.createDataFrame([(i,) for i in kept], found.select("id").schema)
+        found = found.join(F.broadcast(few), "id")
+    found = found.toArrow()
     made = []                                  # views of the Arrow buffers, in a set order
     for batch in found.to_batches():
         ids, shares, ends = (batch["ids"].values.to_numpy(), batch["shares"].values.to_numpy(),

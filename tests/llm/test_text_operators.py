@@ -3,6 +3,7 @@ tokenizers' own libraries, and the awkward rows: nulls, empty and long texts, ti
 repeated rows, empty tables, and extra columns with clashing names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -99,6 +100,55 @@ def test_scan_and_redact_awkward_rows(awkward):
 
 # --- quality ----------------------------------------------------------------------
 
+def _plain_features(text, buckets):
+    """Every feature of a text, one by one."""
+    out, words = [], text.split()
+    for w in words:
+        codes = [zlib.crc32(w)]
+        marked = b"<" + w + b">"
+        for n in quality.GRAMS:
+            for i in range(len(marked) - n + 1):
+                h = n
+                for c in marked[i:i + n]:
+                    h = (h * int(quality.BASE) + c + 1) % 2**64
+                codes.append(h)
+        for h in codes:
+            h = h * int(quality.BASE) % 2**64
+            h = (h ^ h >> 32) * int(quality.BASE) % 2**64
+            out.append((h >> 40) % buckets)
+    for d in quality.REPEATS:
+        out += [quality.repeat_bucket(d, buckets)] * sum(a == b for a, b in zip(words, words[d:]))
+    return out
+
+
+def test_scores_are_plain_averages_and_softmax():
+    rng = np.random.default_rng(5)
+    buckets = 997
+    model = quality.Model(rng.normal(scale=9, size=buckets), 0.3)
+    texts = [b"", b"a", b"one two two one", "é \u4e2d\u6587 x".encode(), b"again again again", b"w" * 100 + b" tail", b" \t\n", b"a b " * 500]
+    got = quality.Scorer(model).scores(texts) + quality.Scorer(model).scores(texts[::-1])[::-1]
+    for text, score, again in zip(texts, got[:len(texts)], got[len(texts):], strict=True):
+        feats = _plain_features(text, buckets)
+        logits = (0.0, model.bias + (sum(model.weights[f] for f in feats) / len(feats) if feats else 0.0))
+        assert score == again == pytest.approx(math.exp(logits[1]) / (math.exp(logits[0]) + math.exp(logits[1])), rel=1e-9)
+        ids, shares = quality.text_features(text, buckets)
+        assert dict(zip(ids.tolist(), shares.tolist(), strict=True)) == pytest.approx({f: feats.count(f) / len(feats) for f in feats})
+
+
+def test_the_sample_is_bounded_in_rows_and_features(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "train", lambda rows, settings: taken.append(rows) or quality.Model(np.zeros(4), 0.0))
+    ids = a, b, c, d = [i for i in range(50) if zlib.crc32(str(i).encode()) % 3 != 1][:4]
+    docs = spark.createDataFrame([(a, "same text")] * 3000 + [(a, "other text"), (b, "a b c"), (c, "d " * 5000), (d, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(a, 1), (b, 0), (c, 1), (d, 0), (a, 1)], "doc_id bigint, quality int")
+    quality.fit(docs, labels)
+    assert len(taken[-1]) == len(ids)
+    quality.fit(docs, labels, quality.Settings(max_rows=1))
+    assert len(taken[-1]) == 1
+    quality.fit(docs, labels, quality.Settings(max_features=0))
+    assert all(len(features) == 0 for features, *_ in taken[-1])
+
+
 def test_classifier_learns_and_is_held_out(spark):
     rng = random.Random(1)
     vocabulary = ["river", "stone", "garden", "letter", "window", "morning", "paper", "silver"]
