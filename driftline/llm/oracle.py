@@ -25,12 +25,10 @@ FROM w JOIN reach ON reach.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP
 DECONTAMINATION = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
-ds AS (SELECT doc_id, unnest(range(0, greatest(len(w) - 4, 1))) AS p, w FROM d WHERE len(w) > 0),
-ds2 AS (SELECT doc_id, p, CASE WHEN len(w) < 5 THEN len(w) || ':' ELSE '' END || array_to_string(w[p + 1:p + 5], ' ') AS s FROM ds),
-bs AS (SELECT item_id, greatest(len(w) - 4, 1) AS m, len(w) AS n_words, unnest(range(0, greatest(len(w) - 4, 1))) AS q, w
-       FROM b WHERE len(w) > 0),
-bs2 AS (SELECT item_id, m, n_words, q, CASE WHEN len(w) < 5 THEN len(w) || ':' ELSE '' END
-        || array_to_string(w[q + 1:q + 5], ' ') AS s FROM bs),
+ds AS (SELECT doc_id, unnest(range(0, len(w) - 4)) AS p, w FROM d WHERE len(w) > 4),
+ds2 AS (SELECT doc_id, p, array_to_string(w[p + 1:p + 5], ' ') AS s FROM ds),
+bs AS (SELECT item_id, len(w) - 4 AS m, len(w) AS n_words, unnest(range(0, len(w) - 4)) AS q, w FROM b WHERE len(w) > 4),
+bs2 AS (SELECT item_id, m, n_words, q, array_to_string(w[q + 1:q + 5], ' ') AS s FROM bs),
 hits AS (SELECT DISTINCT doc_id, m, p FROM ds2 JOIN bs2 USING (s)),
 starts AS (SELECT DISTINCT doc_id, m, p - o AS start
            FROM (SELECT doc_id, m, p, unnest(range(0, m)) AS o FROM hits)),
@@ -40,8 +38,13 @@ tot AS (SELECT doc_id, m, start, sum(c) AS c FROM win GROUP BY ALL),
 item AS (SELECT item_id, m, n_words, s, count(*) AS c FROM bs2 GROUP BY ALL),
 pairs AS (SELECT doc_id, item_id, m, start, n_words, sum(least(win.c, item.c)) AS both_c
           FROM win JOIN item USING (m, s) GROUP BY ALL),
-sim AS (SELECT doc_id, item_id, n_words, start, both_c, both_c / (tot.c + m - both_c) AS similarity
-        FROM pairs JOIN tot USING (doc_id, m, start) WHERE 100 * both_c >= 80 * (tot.c + m - both_c))
+short AS (SELECT item_id, len(w) AS n_words, array_to_string(w, ' ') AS t FROM b WHERE len(w) BETWEEN 1 AND 4),
+runs AS (SELECT doc_id, n_words, unnest(range(0, len(w) - n_words + 1)) AS start, w
+         FROM d, (SELECT DISTINCT n_words FROM short) WHERE len(w) >= n_words),
+sim AS (SELECT doc_id, item_id, n_words, start, both_c / (tot.c + m - both_c) AS similarity
+        FROM pairs JOIN tot USING (doc_id, m, start) WHERE 100 * both_c >= 80 * (tot.c + m - both_c)
+        UNION ALL SELECT doc_id, item_id, runs.n_words, start, 1.0 FROM runs JOIN short
+        ON short.n_words = runs.n_words AND t = array_to_string(runs.w[start + 1:start + runs.n_words], ' '))
 SELECT doc_id, item_id, CAST(similarity AS DOUBLE) AS similarity, CAST(n_words AS INTEGER) AS n_words,
        CAST(greatest(start, 0) AS INTEGER) AS start
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS r FROM sim)
