@@ -1,10 +1,11 @@
 """Phrase collocations from count streams in prefix and suffix order.
 
 Phrases of up to five words are counted level by level. A phrase occurs no more often than
-any part of it, so words seen fewer than ``least`` times end a window, and so do, from three
-words on, word pairs seen fewer than ``least`` times: no phrase that reaches the threshold
-is lost. The known words and pairs are sent to the tasks only while they are counted to be
-few (``KNOWN``); beyond that all windows are counted, with the same result.
+any part of it, so words seen fewer than ``least`` times end a window, and so do, from four
+words on, word triples seen fewer than ``least`` times: no phrase that reaches the threshold
+is lost. Pairs and triples come from one pass over windows of three known words. The known
+words and triples are sent to the tasks only while they are counted to be few (``KNOWN``);
+beyond that all windows are counted, with the same result.
 
 The counts make one stream of (lang, phrase, f). Every cut of a phrase reads the stream
 twice: its first part in prefix order, its rest in suffix order. A phrase one word longer
@@ -28,10 +29,10 @@ from pyspark.sql import functions as F
 
 from driftline.llm.common import checkpointed, small, text_runs
 
-#: Known words, and known pairs, that may be sent to the tasks.
+#: Known words, and known triples, that may be sent to the tasks.
 KNOWN = 1_000_000
 #: Bytes of text and rows of counts that a task holds at a time.
-RUN_BYTES, HELD_ROWS, HELD_PAIRS = 4 << 20, 1_000_000, 2_000_000
+RUN_BYTES, HELD_ROWS, HELD_TRIPLES = 4 << 20, 1_000_000, 2_000_000
 
 # Fixed values of the text rules: what ends a piece, letters that fold.
 _ENDS = b".,;:!?\n\v\f\r"
@@ -94,21 +95,23 @@ def _summed(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rows[:, first], np.add.reduceat(counts, first)
 
 
-def _windows(ids: np.ndarray, size: int, joined: np.ndarray) -> np.ndarray:
-    """Columns of words of each window of ``size`` words whose neighbours are joined."""
+def _windows(ids: np.ndarray, size: int, least: int, begins: np.ndarray) -> np.ndarray:
+    """Columns of words of each window of ``size`` words of which every ``least`` words in
+    a row begin a shortest window."""
     n = len(ids) - size + 1
     if n <= 0:
         return np.empty((size, 0), dtype=np.int32)
-    ok = joined[:n].copy()
-    for k in range(1, size - 1):
-        ok &= joined[k:n + k]
+    ok = begins[:n].copy()
+    for k in range(1, size - least + 1):
+        ok &= begins[k:n + k]
     at = np.flatnonzero(ok)
     return np.stack([ids[at + k] for k in range(size)]).astype(np.int32)
 
 
 class Numbering:
     """Numbers of the known words, lang by lang in order: ``ids[lang]`` by word, and the
-    words by number in ``names``. Two numbers make a pair's: first times ``size`` plus second."""
+    words by number in ``names``. A window of up to three words is one number as well, its
+    words being digits to the base ``size``, with the digit ``size - 1`` for no third word."""
 
     def __init__(self, words: dict[str, list[str]]) -> None:
         self.ids, names = {}, []
@@ -119,20 +122,30 @@ class Numbering:
             self.starts.append(len(names))
             self.ids[lang] = dict(zip(of, range(len(names), len(names) + len(of)), strict=True)) | {b"": _NOTHING}
             names += of
-        self.names, self.size = _as_text(names), len(names)
+        self.names, self.size = _as_text(names), len(names) + 1
 
     def of(self, lang: str) -> dict[bytes, int]:
         return self.ids.get(lang, {b"": _NOTHING})
 
-    def pairs(self, numbers: np.ndarray) -> tuple[list[str], pa.Array]:
-        """Langs and phrases of pairs."""
-        first, second = np.divmod(numbers, self.size)
-        at = np.searchsorted(np.array(self.starts), first, side="right") - 1
-        return [self.langs[i] for i in at], _phrases(np.stack([first, second]), self.names)
-
-
-def count_pairs(batches: Iterable[pa.RecordBatch], words: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
-    """(number, c) of the pairs of known words within pieces."""
+    def numbers(self, ids: np.ndarray) -> np.ndarray:
+        """The windows of three words, or of two before a break, that begin in a run of ids."""
+        first, second = ids[:-1], ids[1:]
+        third = np.append(ids[2:], _BREAK)
+        third = np.where(third >= 0, third, self.size - 1)
+        return ((first * self.size + second) * self.size + third)[(first >= 0) & (second >= 0)]
+
+    def phrases(self, numbers: np.ndarray, words: int) -> tuple[list[str], pa.Array]:
+        """Langs and phrases of numbers of pairs or triples."""
+        digits = []
+        for _ in range(words):
+            numbers, digit = np.divmod(numbers, self.size)
+            digits.insert(0, digit)
+        at = np.searchsorted(np.array(self.starts), digits[0], side="right") - 1
+        return [self.langs[i] for i in at], _phrases(np.stack(digits), self.names)
+
+
+def count_triples(batches: Iterable[pa.RecordBatch], words: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
+    """(number, c) of the windows of up to three known words within pieces."""
     known = Numbering(words)
     held, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
 
@@ -141,21 +154,20 @@ def count_pairs(batches: Iterable[pa.RecordBatch], words: dict[str, list[str]])
 
     for lang, data in _runs(batches):
         ids, _ = _ids(data, known.of(lang))
-        joined = (ids[:-1] >= 0) & (ids[1:] >= 0)
-        got, n = np.unique((ids[:-1] * known.size + ids[1:])[joined], return_counts=True)
+        got, n = np.unique(known.numbers(ids), return_counts=True)
         held, at = np.unique(np.concatenate((held, got)), return_inverse=True)
         counts = np.bincount(at, weights=np.concatenate((counts, n)), minlength=len(held)).astype(np.int64)
-        if len(held) > HELD_PAIRS:
+        if len(held) > HELD_TRIPLES:
             yield rows()
             held, counts = held[:0], counts[:0]
     yield rows()
 
 
 def count_windows(batches: Iterable[pa.RecordBatch], sizes: Iterable[int], words: dict[str, list[str]] | None,
-                  pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+                  triples: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Counts of the windows of each of ``sizes`` within pieces. ``words``: the known words
-    by lang, or None for any; ``pairs`` (only with words): the numbers of the known pairs,
-    ascending, or None for any."""
+    by lang, or None for any; ``triples`` (only with words and sizes over three): the numbers
+    of the known triples, ascending, or None for any."""
     sums: dict = {}
     known = Numbering(words) if words is not None else None
 
@@ -164,13 +176,15 @@ def count_windows(batches: Iterable[pa.RecordBatch], sizes: Iterable[int], words
 
     for lang, data in _runs(batches):
         ids, names = _ids(data, known.of(lang) if known else None)
-        joined = (ids[:-1] >= 0) & (ids[1:] >= 0)
-        if pairs is not None:
-            number = ids[:-1] * known.size + ids[1:]
-            at = np.minimum(np.searchsorted(pairs, number), max(0, len(pairs) - 1))
-            joined &= pairs[at] == number if len(pairs) else False
+        # How many words the shortest window has, and where one begins.
+        least, begins = 2, (ids[:-1] >= 0) & (ids[1:] >= 0)
+        if triples is not None:
+            least, begins = 3, begins[:-1] & begins[1:]
+            number = (ids[:-2] * known.size + ids[1:-1]) * known.size + ids[2:]
+            at = np.minimum(np.searchsorted(triples, number), max(0, len(triples) - 1))
+            begins &= triples[at] == number if len(triples) else False
         for size in sizes:
-            got = _windows(ids, size, joined)
+            got = _windows(ids, size, least, begins)
             rows, counts = _summed(got, np.ones(got.shape[1], dtype=np.int64))
             if names is not None:   # numbers of this run alone
                 yield _rows(lang, _phrases(rows, _as_text(names)), counts)
@@ -223,16 +237,26 @@ def phrase_counts(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
     if longest >= 2 and sent is None:
         levels.append(checkpointed(_at_least(_window_counts(texts, [2], None, None), least)).withColumn("k", F.lit(2)))
     elif longest >= 2:
-        numbers = texts.mapInArrow(lambda batches: count_pairs(batches, sent.value), "number bigint, c bigint") \
-            .groupBy("number").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-        pairs = checkpointed(numbers)
-        levels.append(pairs.mapInArrow(lambda batches: _named_pairs(batches, sent.value), "lang string, phrase string, f bigint")
-                      .withColumn("k", F.lit(2)))
-        if pairs.count() <= known:
-            got = pairs.select("number").toArrow().column(0).to_numpy()
-            few = spark.sparkContext.broadcast(np.sort(got))
-    if longest >= 3:
-        more = _at_least(_window_counts(texts, list(range(3, longest + 1)), sent, few), least)
+        # Triples that reach the threshold, and pairs as sums of triples, from one shuffled
+        # count: a row is either a pair or a triple.
+        size = F.lit(sum(len(x) for x in sent.value.values()) + 1).cast("bigint")
+        number, f = F.col("number"), F.col("f")
+        third = F.pmod(number, size) < size - 1
+        either = F.array(F.struct(F.expr("div(number, size)").alias("pair"), F.lit(None).cast("bigint").alias("triple")),
+                         F.when(third & (f >= least), F.struct(F.lit(None).cast("bigint").alias("pair"), number.alias("triple"))))
+        counted = texts.mapInArrow(lambda batches: count_triples(batches, sent.value), "number bigint, c bigint") \
+            .groupBy("number").agg(F.sum("c").alias("f")).withColumn("size", size)
+        levels_of = checkpointed(counted.select(F.inline(F.array_compact(either)), "f").groupBy("pair", "triple")
+                                 .agg(F.sum("f").alias("f")).where(F.col("f") >= least))
+        for column, k in (("pair", 2), ("triple", 3))[:longest - 1]:
+            of = levels_of.select(column, "f").where(F.col(column).isNotNull())
+            levels.append(of.mapInArrow(_naming(sent, k), "lang string, phrase string, f bigint").withColumn("k", F.lit(k)))
+        triples = levels_of.where("triple IS NOT NULL").select("triple")
+        if triples.count() <= known:
+            few = spark.sparkContext.broadcast(np.sort(triples.toArrow().column(0).to_numpy()))
+    sizes = list(range(3 if sent is None else 4, longest + 1))
+    if sizes:
+        more = _at_least(_window_counts(texts, sizes, sent, few), least)
         levels.append(checkpointed(more).withColumn("k", F.size(F.split("phrase", " "))))
     out = levels[0]
     for level in levels[1:]:
@@ -240,18 +264,23 @@ def phrase_counts(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
     return out.select("lang", "phrase", F.col("k").cast("int").alias("k"), "f"), totals
 
 
-def _named_pairs(batches: Iterable[pa.RecordBatch], words: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
-    known = None
-    for batch in batches:
-        known = known or Numbering(words)
-        langs, phrases = known.pairs(batch.column(0).to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(langs, type=pa.string()), phrases, batch.column(1)], names=["lang", "phrase", "f"])
+def _naming(words, size: int):
+    """mapInArrow function: (number, f) of pairs or triples to (lang, phrase, f)."""
+
+    def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None
+        for batch in batches:
+            known = known or Numbering(words.value)
+            langs, phrases = known.phrases(batch.column(0).to_numpy(), size)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, type=pa.string()), phrases, batch.column(1)], names=["lang", "phrase", "f"])
+
+    return named
 
 
-def _window_counts(texts: DataFrame, sizes: list[int], words, pairs) -> DataFrame:
-    """``words``, ``pairs``: broadcasts of what is known, or None."""
+def _window_counts(texts: DataFrame, sizes: list[int], words, triples) -> DataFrame:
+    """``words``, ``triples``: broadcasts of what is known, or None."""
     return texts.mapInArrow(lambda batches: count_windows(
-        batches, sizes, words.value if words else None, pairs.value if pairs else None), SCHEMA)
+        batches, sizes, words.value if words else None, triples.value if triples else None), SCHEMA)
 
 
 def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

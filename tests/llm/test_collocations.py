@@ -76,14 +76,20 @@ def test_parts_of_a_task_add_up(spark, monkeypatch):
             for b in part:
                 for r in b.to_pylist():
                     out[r["lang"], r["phrase"]] += r["c"]
-        pairs = Counter()
-        for b in module.count_pairs(batches, words):
-            for lang, phrase, c in zip(*module.Numbering(words).pairs(b.column(0).to_numpy()), b.column(1).to_pylist(), strict=True):
-                pairs[lang, phrase.as_py()] += c
-        assert pairs == Counter({k: c for k, c in out.items() if k[1].count(" ") == 1})
+        known, twos, threes = module.Numbering(words), Counter(), Counter()
+        for b in module.count_triples(batches, words):
+            for number, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                pair, third = divmod(number, known.size)
+                (lang,), (phrase,) = (x for x in known.phrases(module.np.array([pair]), 2))
+                twos[lang, phrase.as_py()] += c
+                if third < known.size - 1:
+                    (lang,), (phrase,) = (x for x in known.phrases(module.np.array([number]), 3))
+                    threes[lang, phrase.as_py()] += c
+        assert twos == Counter({k: c for k, c in out.items() if k[1].count(" ") == 1})
+        assert threes == Counter({k: c for k, c in out.items() if k[1].count(" ") == 2})
         return out
 
-    assert total() == total(RUN_BYTES=50, HELD_ROWS=20, HELD_PAIRS=20) and len(total()) > 100
+    assert total() == total(RUN_BYTES=50, HELD_ROWS=20, HELD_TRIPLES=20) and len(total()) > 100
 
 
 def test_exact_beyond_64_bits(spark):
