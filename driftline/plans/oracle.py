@@ -548,6 +548,29 @@ SELECT experiment,
        timestamp, accuracy, fit_time_sec, shuffle_partitions
 FROM r"""
 
+_PASSENGERS = "(SELECT *, CAST(l_linenumber % 3 + 1 AS VARCHAR) AS pclass FROM lineitem)"
+TRAINING_LAYOUT = f"""WITH {_rank_cte("rf", "l_returnflag", "lineitem")},
+{_rank_cte("ls", "l_linestatus", "lineitem")}, {_rank_cte("pc", "pclass", _PASSENGERS)},
+b AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_extendedprice, pc.idx AS pci, pc.k AS pck, rf.idx AS rfi, rf.k AS rfk, ls.idx AS lsi,
+         CAST(l_quantity + (l_orderkey * 7 + l_linenumber * 13) % 41 - 20 > 25 AS DOUBLE) AS label
+  FROM {_PASSENGERS} l JOIN rf ON rf.v = l.l_returnflag JOIN ls ON ls.v = l.l_linestatus JOIN pc ON pc.v = l.pclass),
+s AS (SELECT l_orderkey, l_linenumber, label, unnest([0, 1, 2, 3, 4, 5 + pci, 5 + pck + rfi, 5 + pck + rfk + lsi]) AS slot,
+             unnest([l_linenumber % 3 + 1, l_quantity, l_linenumber - 1, l_orderkey % 2, l_extendedprice, 1, 1, 1]) AS value FROM b)
+SELECT l_orderkey, l_linenumber, label, CAST(slot AS INTEGER) AS slot, CAST(value AS DOUBLE) AS value FROM s WHERE value <> 0"""
+
+CONTINGENCY_SORTED = """WITH s AS (SELECT o_orderdate < TIMESTAMP '1998-01-01 00:00:00' AS base,
+  unnest(['o_orderstatus', 'o_orderpriority']) AS "column", unnest([o_orderstatus, o_orderpriority]) AS category FROM orders)
+SELECT "column", category, count(*) FILTER (WHERE base) AS n_base, count(*) FILTER (WHERE NOT base) AS n_new,
+       row_number() OVER (ORDER BY "column", category) AS place FROM s GROUP BY "column", category"""
+
+MODEL_CHOICE = """SELECT v.model_type, v.stage, CAST(3 + f.n AS INTEGER) AS features
+FROM (SELECT count(DISTINCT l_returnflag) + count(DISTINCT l_linestatus) AS n FROM lineitem) f,
+     (VALUES ('logreg', 'LogisticRegressionModel'), ('random_forest', 'RandomForestClassificationModel')) v(model_type, stage)"""
+
+SCORE_SEPARABLE = """SELECT CAST(l_quantity > 25 AS INTEGER) AS prediction, count(*) AS rows, count(*) AS right
+FROM lineitem GROUP BY 1"""
+
 CSV_MISFITS = """WITH t AS (SELECT event_id, event_id % 13 = 0 AND event_id % 11 <> 0 AS bad_amount, event_id % 7 = 0 AS bad_qty FROM events)
 SELECT event_id, CAST(NULL AS VARCHAR) AS "column", CAST(NULL AS VARCHAR) AS text,
        CASE WHEN event_id % 11 <> 0 THEN event_id / 4 END AS amount,
@@ -593,6 +616,10 @@ RETRAIN_COMMITTED = f"""SELECT count(*) AS scored, CAST(1 AS BIGINT) AS runs, co
 FROM lineitem, ({RETRAIN_DECISION}) d GROUP BY d.drift"""
 
 ORACLE_SQL = {
+    "training_layout": TRAINING_LAYOUT,
+    "contingency_sorted": CONTINGENCY_SORTED,
+    "model_choice": MODEL_CHOICE,
+    "score_separable": SCORE_SEPARABLE,
     "open_windows": OPEN_WINDOWS,
     "drift_by_window_mismatch": DRIFT_BY_WINDOW_MISMATCH,
     "csv_misfits": CSV_MISFITS,

@@ -25,6 +25,7 @@ from ..operators import evaluate as E
 from ..operators import features as FE
 from ..operators import sketches as SK
 from ..operators import train as TR
+from ..operators.ranking import running_totals
 from ..operators.runs import read_runs, run_series
 from ..session import scratch_path
 from ..sources import io
@@ -459,6 +460,29 @@ def q_assembled(spark, sf_dir):
     return FE.feature_slots(FE.encode(li, spec, model), spec, model, ["l_orderkey", "l_linenumber"])
 
 
+def q_training_layout(spark, sf_dir):
+    """The training layout over a passenger-like frame made of lineitem: the renamed
+    target and the non-zero slots of every row."""
+    li = table(spark, sf_dir, "lineitem")
+    frame = li.select("l_orderkey", "l_linenumber", noisy_label().alias("Survived"), (F.col("l_linenumber") % 3 + 1).alias("Pclass"),
+                      F.col("l_returnflag").alias("Sex"), F.col("l_quantity").alias("Age"), (F.col("l_linenumber") - 1).alias("SibSp"),
+                      (F.col("l_orderkey") % 2).alias("Parch"), F.col("l_extendedprice").alias("Fare"),
+                      F.col("l_linestatus").alias("Embarked"))
+    spec = FE.training_spec(frame.columns)
+    model = spec.fit(frame)
+    return FE.feature_slots(FE.encode(frame, spec, model), spec, model, ["l_orderkey", "l_linenumber", "label"])
+
+
+def q_contingency_sorted(spark, sf_dir):
+    """The contingency table of the orders' categories in display order, with the place
+    of each row."""
+    od = table(spark, sf_dir, "orders")
+    sides = D.split_sides(od, orders_base(), ["o_orderstatus", "o_orderpriority"])
+    rows = D.contingency(sides, ["o_orderstatus", "o_orderpriority"], ordered=True)
+    placed = running_totals(rows.withColumns({"at": F.monotonically_increasing_id(), "place": F.lit(1).cast("long")}), "at", ["place"])
+    return placed.select("column", "category", "n_base", "n_new", F.col("place_cum").alias("place"))
+
+
 def q_family_features(spark, sf_dir):
     """Family size and alone flag over counts derived from lineitem
     (siblings = line number - 1, parents = tax in cents mod 3)."""
@@ -557,6 +581,26 @@ def q_train_forest(spark, sf_dir):
     return TR.coefficients(spark, res.model, lineitem_spec())
 
 
+def q_model_choice(spark, sf_dir):
+    """The final stage of each kind of model and the width of its features."""
+    li = lineitem_labeled(spark, sf_dir)
+    rows = []
+    for kind in ("logreg", "random_forest"):
+        result = TR.fit(li, lineitem_spec(), kind, split_key="row_key", max_iter=2, num_trees=2)
+        rows.append((kind, type(TR.final_stage(result.model)).__name__, int(result.metrics["feature_count"])))
+    return spark.createDataFrame(rows, "model_type string, stage string, features int")
+
+
+def q_score_separable(spark, sf_dir):
+    """A model of a label that one feature separates scores every row as the label says."""
+    li = table(spark, sf_dir, "lineitem").withColumn("label", (F.col("l_quantity") > 25).cast("double")) \
+        .withColumn("row_key", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    spec = FE.FeatureSpec(numeric=["l_quantity"], label="label")
+    model = TR.fit(li, spec, "logreg", split_key="row_key").model
+    scored = SC.score_batch(model, li, ["label"], with_probability=False)
+    return scored.groupBy("prediction").agg(F.count("*").alias("rows"), F.count_if(F.col("prediction") == F.col("label")).alias("right"))
+
+
 def q_forest_layouts(spark, sf_dir):
     """The same forest fitted on the same rows in three layouts: the greatest difference
     between importances."""
@@ -766,6 +810,8 @@ QUERIES = {
     "category_index": q_category_index,
     "one_hot": q_one_hot,
     "assembled": q_assembled,
+    "training_layout": q_training_layout,
+    "contingency_sorted": q_contingency_sorted,
     "family_features": q_family_features,
     "hash_split": q_hash_split,
     "accuracy": q_accuracy,
@@ -776,6 +822,8 @@ QUERIES = {
     "train_logreg": q_train_logreg,
     "train_logreg_moments": q_train_logreg_moments,
     "train_forest": q_train_forest,
+    "model_choice": q_model_choice,
+    "score_separable": q_score_separable,
     "forest_layouts": q_forest_layouts,
     "cross_validate": q_cross_validate,
     "score_batch": q_score_batch,
