@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shuffle_partitions
@@ -183,19 +183,28 @@ def bracket_order_statistics(df: DataFrame, key_col: str, value_col: str, bracke
     """
     spark = df.sparkSession
     key_type = df.schema[key_col].dataType.simpleString()
-    rows = [(k, [float(a) for a, _ in iv], [float(b) for _, b in iv]) for k, iv in brackets.items()]
-    if not rows:
+    if not any(brackets.values()):
         return {}
-    # One row per monitored column: bounded by the schema.
-    table = spark.createDataFrame(rows, f"_dl_key {key_type}, _dl_a array<double>, _dl_b array<double>")
+    # One row per monitored column: bounded by the schema. Bounds are columns, not arrays,
+    # so that comparing a row with them stays in generated code.
+    width = max(len(iv) for iv in brackets.values())
+    rows = [(k, *(float(a) for a, _ in iv), *[None] * (width - len(iv)),
+             *(float(b) for _, b in iv), *[None] * (width - len(iv))) for k, iv in brackets.items()]
+    names = [f"_dl_{side}{i}" for side in "ab" for i in range(width)]
+    table = spark.createDataFrame(rows, f"_dl_key {key_type}, " + ", ".join(f"{n} double" for n in names))
     v = F.col(value_col)
     valid = df.where(v.isNotNull() & ~F.isnan(v)).select(key_col, v.cast("double").alias(value_col))
     met = valid.join(F.broadcast(table), F.col(key_col) == F.col("_dl_key"))
-    at = F.size(F.filter("_dl_a", lambda a: a <= v)) - 1
-    inside = (F.col("_dl_at") >= 0) & (v <= F.get("_dl_b", F.col("_dl_at")))
-    counts = (met.withColumn("_dl_at", at)
-                 .select(key_col, "_dl_at", F.when(inside, v).alias(value_col),
-                         (~inside).alias("_dl_gap"))
+
+    def passed(side: str) -> Column:
+        """Brackets that begin at or before the value, or that end before it."""
+        found = [(v >= F.col(n) if side == "a" else v > F.col(n)) for n in names if n.startswith(f"_dl_{side}")]
+        return sum((F.coalesce(f, F.lit(False)).cast("int") for f in found), F.lit(0))
+
+    # Intervals are disjoint: the value lies in the last begun one unless that has ended.
+    counts = (met.select(key_col, v, (passed("a") - 1).alias("_dl_at"), passed("b").alias("_dl_ended"))
+                 .withColumn("_dl_gap", F.col("_dl_ended") != F.col("_dl_at"))
+                 .select(key_col, "_dl_at", "_dl_gap", F.when(~F.col("_dl_gap"), v).alias(value_col))
                  .groupBy(key_col, "_dl_at", "_dl_gap", value_col)
                  .agg(F.count(F.lit(1)).alias("cnt")))
     cum = running_totals(counts, ["_dl_at", "_dl_gap", value_col], ["cnt"], by=[key_col],
