@@ -110,15 +110,16 @@ def _starts(hits: DataFrame, percent: int) -> DataFrame:
     return hits.select("t1", "t2", "m", F.inline_outer(found)).where("start IS NOT NULL")
 
 
-def _alike(windows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+def _alike(windows: DataFrame, items: DataFrame, index: DataFrame, percent: int) -> DataFrame:
     """(t1, t2, m, start, item_id, similarity): the pairs of windows (t1, t2, m, start, w)
-    and items (key, item_id, m, v, g) that are similar enough."""
+    and items (key, item_id, m, v, g) that are similar enough. ``index``: (key, m, g, block,
+    value), some 5,600 rows an item; the estimate of its size is that of the items, so Spark
+    is told not to broadcast it."""
     keyed = windows.withColumn("w1", F.xxhash64("w", F.lit(1))).withColumn("w2", F.xxhash64("w", F.lit(2)))
     distinct = keyed.select("m", "w1", "w2", "w").dropDuplicates(["m", "w1", "w2"])
     marked = checkpointed(distinct.withColumn("f", simhash(F.col("w"))))
-    index = items.select("key", "m", "g", F.inline(near_blocks(F.col("g"))))
     near = marked.select("m", "w1", "w2", "f", F.inline(blocks(F.col("f")))) \
-        .join(index, ["m", "block", "value"]).where(distance(F.col("f"), F.col("g")) <= RADIUS) \
+        .join(index.hint("merge"), ["m", "block", "value"]).where(distance(F.col("f"), F.col("g")) <= RADIUS) \
         .select("m", "w1", "w2", "key").distinct()
     both = F.size(F.array_intersect(_numbered(F.col("w")), _numbered(F.col("v"))))
     alike = near.join(marked.drop("f"), ["m", "w1", "w2"]).join(items, ["key", "m"]) \
@@ -187,14 +188,15 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
                             .dropDuplicates(["key"]).withColumn("g", simhash(F.col("v"))))
     top = checkpointed(bounded.groupBy("t1", "t2", "m").agg(F.max(F.struct("bound", (-F.col("start")).alias("back"))).alias("b"))
                        .select("t1", "t2", "m", (-F.col("b.back")).alias("start")))
-    first = checkpointed(_alike(checkpointed(cut_out(top)), of_items, percent))
+    index = checkpointed(of_items.select("key", "m", "g", F.inline(near_blocks(F.col("g")))))
+    first = checkpointed(_alike(checkpointed(cut_out(top)), of_items, index, percent))
     # What every item of this length has found already; nothing while one is missing.
     reached = first.groupBy("t1", "t2", "m").agg(F.count_distinct(F.struct("item_id")).alias("found"), F.min("similarity").alias("least")) \
         .join(of_items.groupBy("m").agg(F.count_distinct(F.struct("item_id")).alias("all")), "m").where("found = all") \
         .select("t1", "t2", "m", "least")
     rest = bounded.join(top.withColumnRenamed("start", "first"), ["t1", "t2", "m"]).join(reached, ["t1", "t2", "m"], "left") \
         .where("start <> first AND (least IS NULL OR bound > least OR bound = least AND start < first)")
-    second = _alike(checkpointed(cut_out(rest)), of_items, percent)
+    second = _alike(checkpointed(cut_out(rest)), of_items, index, percent)
     best = first.unionByName(second).groupBy("t1", "t2", "item_id") \
         .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "m")).alias("b")).select(
             "t1", "t2", "item_id", "b.similarity", (F.col("b.m") + (SHINGLE - 1)).alias("n_words"),
