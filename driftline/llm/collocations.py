@@ -27,10 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import checkpointed, small, text_runs
+from driftline.llm.common import checkpointed, partitions, small, text_runs
 
 #: Known words, and known triples, that may be sent to the tasks.
 KNOWN = 1_000_000
+#: Parts a pair of very frequent words is counted in.
+SALTS = 64
 #: Bytes of text and rows of counts that a task holds at a time.
 RUN_BYTES, HELD_ROWS, HELD_TRIPLES = 4 << 20, 1_000_000, 2_000_000
 
@@ -110,8 +112,8 @@ def _windows(ids: np.ndarray, size: int, least: int, begins: np.ndarray) -> np.n
 
 class Numbering:
     """Numbers of the known words, lang by lang in order: ``ids[lang]`` by word, and the
-    words by number in ``names``. A window of up to three words is one number as well, its
-    words being digits to the base ``size``, with the digit ``size - 1`` for no third word."""
+    words by number in ``names``. A pair and a triple are numbers as well, their words being
+    digits to the base ``size``."""
 
     def __init__(self, words: dict[str, list[str]]) -> None:
         self.ids, names = {}, []
@@ -128,7 +130,8 @@ class Numbering:
         return self.ids.get(lang, {b"": _NOTHING})
 
     def numbers(self, ids: np.ndarray) -> np.ndarray:
-        """The windows of three words, or of two before a break, that begin in a run of ids."""
+        """The windows of three words, or of two before a break, that begin in a run of
+        ids; ``size - 1`` stands for no third word."""
         first, second = ids[:-1], ids[1:]
         third = np.append(ids[2:], _BREAK)
         third = np.where(third >= 0, third, self.size - 1)
@@ -144,25 +147,51 @@ class Numbering:
         return [self.langs[i] for i in at], _phrases(np.stack(digits), self.names)
 
 
-def count_triples(batches: Iterable[pa.RecordBatch], words: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
-    """(number, c) of the windows of up to three known words within pieces."""
+def count_triples(batches: Iterable[pa.RecordBatch], words: dict[str, list[str]], counts: np.ndarray,
+                  limit: float) -> Iterator[pa.RecordBatch]:
+    """(pair, salt, third, c) of the windows of up to three known words within pieces; null
+    is no third word. A pair has salt 0, unless both its words occur more than ``limit``
+    times (``counts`` by number): then each third word has one of SALTS."""
     known = Numbering(words)
-    held, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    held, sums = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
 
     def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts)], names=["number", "c"])
+        pair, third = np.divmod(held, known.size)
+        first, second = np.divmod(pair, known.size)
+        hot = np.minimum(counts[first], counts[second]) > limit
+        return pa.RecordBatch.from_arrays(
+            [pa.array(pair), pa.array(np.where(hot, 1 + third % SALTS, 0).astype(np.int32)),
+             pa.array(third.astype(np.int32), mask=third == known.size - 1), pa.array(sums)], names=["pair", "salt", "third", "c"])
 
     for lang, data in _runs(batches):
         ids, _ = _ids(data, known.of(lang))
         got, n = np.unique(known.numbers(ids), return_counts=True)
         held, at = np.unique(np.concatenate((held, got)), return_inverse=True)
-        counts = np.bincount(at, weights=np.concatenate((counts, n)), minlength=len(held)).astype(np.int64)
+        sums = np.bincount(at, weights=np.concatenate((sums, n)), minlength=len(held)).astype(np.int64)
         if len(held) > HELD_TRIPLES:
             yield rows()
-            held, counts = held[:0], counts[:0]
+            held, sums = held[:0], sums[:0]
     yield rows()
 
 
+def _pairs_and_triples(texts: DataFrame, sent, size: int, limit: float, least: int) -> DataFrame:
+    """(pair, third, f) of the pairs (null third) and triples that reach the threshold.
+
+    The windows are shuffled once, by pair and salt. A pair without salt is whole in its
+    partition; the sums of a salted one, in at most SALTS partitions, are added up after.
+    """
+    windows = texts.mapInArrow(lambda batches: count_triples(batches, *sent.value, limit),
+                               "pair bigint, salt int, third int, c bigint")
+    third, f = F.col("third"), F.col("f")
+    summed = windows.repartition("pair", "salt").groupBy("pair", "salt", "third").agg(F.sum("c").alias("f"))
+    either = F.array(F.struct(F.lit(None).cast("int").alias("third")),
+                     F.when(third.isNotNull() & (f >= least), F.struct(third.alias("third"))))
+    parts = summed.select("pair", "salt", F.inline(F.array_compact(either)), "f").groupBy("pair", "salt", "third") \
+        .agg(F.sum("f").alias("f")).where((f >= least) | (F.col("salt") > 0) & third.isNull())
+    return checkpointed(parts.groupBy("pair", "third").agg(F.sum("f").alias("f")).where(f >= least)) \
+        .withColumn("triple", F.col("pair") * F.lit(size).cast("bigint") + F.col("third"))
+
+
 def count_windows(batches: Iterable[pa.RecordBatch], sizes: Iterable[int], words: dict[str, list[str]] | None,
                   triples: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Counts of the windows of each of ``sizes`` within pieces. ``words``: the known words
@@ -219,6 +248,12 @@ def _by_lang(df: DataFrame) -> dict[str, list]:
     return {lang: sorted(x) for lang, x in got.items()}
 
 
+def _counts_of(words: DataFrame, of: dict[str, list[str]]) -> np.ndarray:
+    """Occurrences of the known words by their number."""
+    got = {(r["lang"], r["phrase"]): r["f"] for r in words.toArrow().to_pylist()}
+    return np.array([got[lang, w] for lang in sorted(of) for w in of[lang]], dtype=np.int64)
+
+
 def phrase_counts(df: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 100, longest: int = 5,
                   known: int = KNOWN) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, k, f) of all phrases of k = 1 to ``longest`` words that occur
@@ -232,26 +267,20 @@ def phrase_counts(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
     totals = checkpointed(words.groupBy("lang").agg(F.sum("f").alias("n")))
     words = words.where("phrase IS NOT NULL")
     levels = [words.withColumn("k", F.lit(1))]
-    sent = spark.sparkContext.broadcast(_by_lang(words)) if words.count() <= known else None
-    few = None
+    sent = few = None
+    if words.count() <= known:
+        of = _by_lang(words)
+        sent = spark.sparkContext.broadcast(of)
     if longest >= 2 and sent is None:
         levels.append(checkpointed(_at_least(_window_counts(texts, [2], None, None), least)).withColumn("k", F.lit(2)))
     elif longest >= 2:
-        # Triples that reach the threshold, and pairs as sums of triples, from one shuffled
-        # count: a row is either a pair or a triple.
-        size = F.lit(sum(len(x) for x in sent.value.values()) + 1).cast("bigint")
-        number, f = F.col("number"), F.col("f")
-        third = F.pmod(number, size) < size - 1
-        either = F.array(F.struct(F.expr("div(number, size)").alias("pair"), F.lit(None).cast("bigint").alias("triple")),
-                         F.when(third & (f >= least), F.struct(F.lit(None).cast("bigint").alias("pair"), number.alias("triple"))))
-        counted = texts.mapInArrow(lambda batches: count_triples(batches, sent.value), "number bigint, c bigint") \
-            .groupBy("number").agg(F.sum("c").alias("f")).withColumn("size", size)
-        levels_of = checkpointed(counted.select(F.inline(F.array_compact(either)), "f").groupBy("pair", "triple")
-                                 .agg(F.sum("f").alias("f")).where(F.col("f") >= least))
-        for column, k in (("pair", 2), ("triple", 3))[:longest - 1]:
-            of = levels_of.select(column, "f").where(F.col(column).isNotNull())
-            levels.append(of.mapInArrow(_naming(sent, k), "lang string, phrase string, f bigint").withColumn("k", F.lit(k)))
-        triples = levels_of.where("triple IS NOT NULL").select("triple")
+        # A pair in no more than a quarter of a partition's share of the words is not salted.
+        limit = (totals.agg(F.sum("n")).first()[0] or 0) / (4 * partitions(spark))
+        found = _pairs_and_triples(texts, spark.sparkContext.broadcast((of, _counts_of(words, of))),
+                                   sum(map(len, of.values())) + 1, limit, least)
+        for column, rows, k in (("pair", found.where("third IS NULL"), 2), ("triple", found.where("third IS NOT NULL"), 3))[:longest - 1]:
+            levels.append(rows.select(column, "f").mapInArrow(_naming(sent, k), "lang string, phrase string, f bigint").withColumn("k", F.lit(k)))
+        triples = found.where("third IS NOT NULL").select("triple")
         if triples.count() <= known:
             few = spark.sparkContext.broadcast(np.sort(triples.toArrow().column(0).to_numpy()))
     sizes = list(range(3 if sent is None else 4, longest + 1))

@@ -76,15 +76,17 @@ def test_parts_of_a_task_add_up(spark, monkeypatch):
             for b in part:
                 for r in b.to_pylist():
                     out[r["lang"], r["phrase"]] += r["c"]
-        known, twos, threes = module.Numbering(words), Counter(), Counter()
-        for b in module.count_triples(batches, words):
-            for number, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                pair, third = divmod(number, known.size)
+        known, twos, threes, salts = module.Numbering(words), Counter(), Counter(), set()
+        often = module.np.arange(known.size - 1)
+        for b in module.count_triples(batches, words, often, known.size / 2):
+            for pair, salt, third, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 (lang,), (phrase,) = (x for x in known.phrases(module.np.array([pair]), 2))
                 twos[lang, phrase.as_py()] += c
-                if third < known.size - 1:
-                    (lang,), (phrase,) = (x for x in known.phrases(module.np.array([number]), 3))
+                salts.add((salt > 0, min(divmod(pair, known.size)) > known.size / 2))
+                if third is not None:
+                    (lang,), (phrase,) = (x for x in known.phrases(module.np.array([pair * known.size + third]), 3))
                     threes[lang, phrase.as_py()] += c
+        assert salts == {(False, False), (True, True)}
         assert twos == Counter({k: c for k, c in out.items() if k[1].count(" ") == 1})
         assert threes == Counter({k: c for k, c in out.items() if k[1].count(" ") == 2})
         return out
@@ -92,6 +94,13 @@ def test_parts_of_a_task_add_up(spark, monkeypatch):
     assert total() == total(RUN_BYTES=50, HELD_ROWS=20, HELD_TRIPLES=20) and len(total()) > 100
 
 
+def test_salted_pairs_add_up(spark, monkeypatch):
+    from driftline.llm import collocations as module
+    rows = random_rows(9)
+    monkeypatch.setattr(module, "partitions", lambda spark: 10**9)   # every pair is salted
+    assert sorted(tuple(r) for r in collocations(table(spark, rows), least=4).collect()) == brute(rows, 4, 2000)
+
+
 def test_exact_beyond_64_bits(spark):
     """1000 a n passes 64 bits only in large tables: the expression is tried alone."""
     df = spark.sql("SELECT cast(3000000000 as bigint) a, cast(90000000000000 as bigint) n, cast(4000000007 as bigint) l, cast(5000000003 as bigint) r")
