@@ -620,7 +620,7 @@ ORACLE_SQL = {
     "contingency_sorted": CONTINGENCY_SORTED,
     "model_choice": MODEL_CHOICE,
     "score_separable": SCORE_SEPARABLE,
-    "open_windows": OPEN_WINDOWS,
+    "windows_open": OPEN_WINDOWS,
     "drift_by_window_mismatch": DRIFT_BY_WINDOW_MISMATCH,
     "csv_misfits": CSV_MISFITS,
     "sketch_edge_ranks": SKETCH_EDGE_RANKS,

@@ -794,7 +794,7 @@ QUERIES = {
     "drift_by_window": q_drift_by_window,
     "drift_by_window_nulls": q_drift_by_window_nulls,
     "drift_by_window_mismatch": q_drift_by_window_mismatch,
-    "open_windows": q_open_windows,
+    "windows_open": q_open_windows,
     "chi_square_by_window": q_chi_square_by_window,
     "report_by_window": q_report_by_window,
     "prep_fill_constant": q_prep_fill_constant,
