@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 from driftline.operators import drift as D
 from driftline.plans import queries as Q
 
@@ -51,3 +51,18 @@ def test_edge_fit_pushes_the_lineitem_date_to_the_scan(spark):
     li, cols = Q.lineitem_numbers(spark, SF_MID)
     plan = plan_of(D.to_long(li.where(Q.lineitem_base()), cols))
     assert "LessThan(l_shipdate" in plan
+
+
+def test_single_rows_stand_side_by_side_without_a_join(spark):
+    one = spark.createDataFrame([(True, 3)], "drift boolean, n bigint")
+    two = spark.createDataFrame([(None, "x")], "runs bigint, name string")
+    before = spark.conf.get("spark.sql.crossJoin.enabled")
+    spark.conf.set("spark.sql.crossJoin.enabled", "false")   # a session may refuse joins without a condition
+    try:
+        out = Q.side_by_side([one, two])
+        assert out.dtypes == [("drift", "boolean"), ("n", "bigint"), ("runs", "bigint"), ("name", "string")]
+        assert out.collect() == [(True, 3, None, "x")]
+        rows = Q.q_retrain_committed(spark, SF_SMALL).collect() + Q.q_retrain_job(spark, SF_SMALL).collect()
+        assert [r["scored"] for r in rows] == [spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()] * 2
+    finally:
+        spark.conf.set("spark.sql.crossJoin.enabled", before)
