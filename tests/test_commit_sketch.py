@@ -13,6 +13,7 @@ from conftest import SF_SMALL
 from driftline.operators import drift as D
 from driftline.operators import evaluate as E
 from driftline.operators import features as FE
+from driftline.operators import forest as FO
 from driftline.operators import sketches as SK
 from driftline.operators import train as TR
 from driftline.operators.runs import append_run, run_row
@@ -327,3 +328,51 @@ def test_csv_with_misfits(spark):
         io.read_csv(spark, path, "id int, x double, flag boolean")
     with pytest.raises(io.MissingInput):
         io.read_csv_checked(spark, path + "-none", "id int")
+
+
+def test_counted_forest_learns_like_a_rowwise_one(spark):
+    df = labelled(spark, 1500, 6).withColumn("c", F.when(F.col("k") % 9 != 0, F.col("c"))).cache()
+    rows = TR.fit(df, SPEC, "random_forest", split_key="k", num_trees=30)
+    counted = [TR.fit(d, SPEC, "random_forest", split_key="k", num_trees=30, most_bag_bytes=0)
+               for d in (df, df.coalesce(1), df.repartition(7).orderBy("x2"))]
+    weights = [TR.final_stage(r.model).featureImportances.toArray() for r in (rows, *counted)]
+    assert all((weights[1] == w).all() for w in weights[2:])           # whatever the layout
+    assert len({TR.final_stage(r.model).toDebugString.split("\n", 1)[1] for r in counted}) == 1
+    assert abs(weights[0] - weights[1]).max() < 0.08
+    assert abs(rows.metrics["accuracy"] - counted[0].metrics["accuracy"]) < 0.05
+    model = TR.final_stage(counted[0].model)
+    assert model.getNumTrees == 30 and type(model) is type(TR.final_stage(rows.model)) and model.numClasses == 2
+    assert counted[0].metrics["feature_count"] == rows.metrics["feature_count"]
+    assert TR.feature_names(counted[0].model, SPEC) == TR.feature_names(rows.model, SPEC)
+    # Saved and loaded it scores alike; a row without a needed feature has no score.
+    path = scratch_path(spark, "counted-forest")
+    io.save_model(counted[0].model, path)
+    odd = df.select("k", "c", F.when(F.col("k") != 3, F.col("x1")).alias("x1"),
+                    F.when(F.col("k") == 4, float("nan")).otherwise(F.col("x2")).alias("x2"))
+    before, after = ({r.k: (r.prediction, r.probability) for r in SC.score_batch(m, odd, ["k"]).collect()}
+                     for m in (counted[0].model, io.load_model(path)))
+    assert before == after and len(before) == 1500
+    assert {k for k, v in before.items() if v == (None, None)} == {3, 4}
+
+
+def test_counted_forest_draws_every_row_about_once(spark):
+    df = labelled(spark, 600, 8).withColumn("label", F.col("y")).drop("y")
+    features = FO.Pipeline(stages=FO.binned_stages(SPEC, df, 600, 1)).fit(df)
+    got = FO.counted_rows(df, features, SPEC, 50, 1, 3)
+    total = np.array([r.draws for r in got.collect()]).sum(axis=0)
+    assert total.shape == (50,) and abs(total.mean() - 600) < 20 and 8 < total.std() < 45
+
+
+def test_split_values_of_few_and_of_many_values():
+    assert FO.split_values(np.array([3.0, 1.0, 2.0, 1.0])) == [1.5, 2.5]
+    assert FO.split_values(np.array([5.0, 5.0])) == [5.0] and FO.split_values(np.array([])) == [0.0]
+    found = FO.split_values(np.arange(1000.0))
+    assert len(found) == 31 and np.allclose(np.diff(found), 31.25, atol=1)
+
+
+def test_counted_forest_of_sampled_thresholds_does_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(FO, "SPLIT_ROWS", 200)      # thresholds from a part of the rows
+    df = labelled(spark, 800, 9)
+    models = [TR.final_stage(TR.fit(d, SPEC, "random_forest", split_key="k", num_trees=4, most_bag_bytes=0).model)
+              for d in (df.repartition(1), df.repartition(7), df.orderBy("x2"))]
+    assert len({m.toDebugString.split("\n", 1)[1] for m in models}) == 1
