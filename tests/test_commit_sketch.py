@@ -1,6 +1,8 @@
 """Commit log, committed retrain, sketches, grouped AUC, layout-free forests, hot categories,
 mismatched windows, quarantine and checked CSV."""
 
+import os
+import sys
 import threading
 import time
 
@@ -9,7 +11,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import ROOT, SF_SMALL
 from driftline.operators import drift as D
 from driftline.operators import evaluate as E
 from driftline.operators import features as FE
@@ -18,6 +20,7 @@ from driftline.operators import sketches as SK
 from driftline.operators import train as TR
 from driftline.operators.runs import append_run, run_row
 from driftline.plans import jobs
+from driftline.plans import queries as Q
 from driftline.session import scratch_path
 from driftline.sources import io
 from driftline.sources.commit_log import CommitLog
@@ -131,6 +134,25 @@ def test_a_check_without_retrain_keeps_the_model(spark):
     assert jobs.committed_runs(spark, root).count() == 1
 
 
+@pytest.mark.parametrize("query", [Q.q_retrain_committed])
+def test_a_retrain_needs_no_import_while_it_runs(spark, monkeypatch, query):
+    folder = scratch_path(spark, "tables")
+    k = F.col("id")
+    spark.range(600).select(
+        k.alias("l_orderkey"), (k % 7).cast("int").alias("l_linenumber"), (k * 37 % 50 + 1.0).alias("l_quantity"),
+        (k * 7 % 11 / 100.0).alias("l_discount"), (k * 5 % 9 / 100.0).alias("l_tax"), (k * 91 % 1009 + 1.0).alias("l_extendedprice"),
+        F.element_at(F.array(*map(F.lit, "ANR")), (k % 3 + 1).cast("int")).alias("l_returnflag"),
+        F.when(k % 2 == 0, "O").otherwise("F").alias("l_linestatus"),
+        F.make_timestamp_ntz((1995 + k % 7).cast("int"), *map(F.lit, (1, 1, 0, 0, 0))).alias("l_shipdate"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    # A caller may load several versions of the package and forget each after its import.
+    for name in [m for m in sys.modules if m.split(".")[0] == "driftline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setattr(sys, "path", [p for p in sys.path if os.path.abspath(p) != ROOT])
+    row = query(spark, folder).first()
+    assert (row.scored, row.runs, row.dataset_rows, row.retrained) == (600, 1, 600, True)
+
+
 def test_run_key_follows_content(spark):
     df = labelled(spark)
     key = jobs.run_key([df], a=1)
