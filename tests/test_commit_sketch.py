@@ -134,7 +134,7 @@ def test_a_check_without_retrain_keeps_the_model(spark):
     assert jobs.committed_runs(spark, root).count() == 1
 
 
-@pytest.mark.parametrize("query", [Q.q_retrain_committed])
+@pytest.mark.parametrize("query", [Q.q_retrain_committed, Q.q_retrain_job])
 def test_a_retrain_needs_no_import_while_it_runs(spark, monkeypatch, query):
     folder = scratch_path(spark, "tables")
     k = F.col("id")
